@@ -69,17 +69,19 @@ def upsert(
     keys: Sequence[str],
     *,
     newest_by: Sequence[str] = (),
+    staged: bool = False,
 ) -> UpsertReport:
     """Upsert into plain files: only the partitions of the source are rewritten.
 
-    The source is staged first, so that it is evaluated once and does not depend
-    on the files being replaced. The partition value must follow from the key;
-    otherwise a key could survive in its former partition.
+    The source is staged first (unless it already is), so that it is evaluated
+    once and does not depend on the files being replaced. The partition value
+    must follow from the key; otherwise a key could survive in its former
+    partition.
     """
     require_fields(source, keys, "upsert source")
     partition = store.partition_column
-    staged = stage(source, "upsert-source")
-    rows = check_source(staged, keys, "upsert source")
+    staged_rows = source if staged else stage(source, "upsert-source")
+    rows = check_source(staged_rows, keys, "upsert source")
     try:
         current = store.read()
     except AnalysisException as missing:
@@ -88,11 +90,11 @@ def upsert(
         current = None
 
     if current is None:
-        merged = staged
+        merged = staged_rows
     elif partition:
-        merged = merge_rows(_touched(current, staged, partition), staged, keys, newest_by)
+        merged = merge_rows(_touched(current, staged_rows, partition), staged_rows, keys, newest_by)
     else:
-        merged = merge_rows(current, staged, keys, newest_by)
+        merged = merge_rows(current, staged_rows, keys, newest_by)
     # even file sizes per partition, also when one partition is much larger
     merged = merged.hint("rebalance", *([partition] if partition else []))
     if current is not None:
@@ -104,16 +106,17 @@ def upsert(
 
 def upsert_table(
     spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str],
-    partition_column: str | None = None, newest_by: Sequence[str] = (),
+    partition_column: str | None = None, newest_by: Sequence[str] = (), staged: bool = False,
 ) -> UpsertReport:
     """Upsert into a catalog table: MERGE where the format has it, rewrite elsewhere."""
     require_table(spark, name)
     if provider_of(spark, name) not in TRANSACTIONAL:
-        return upsert(TableStore(spark, name, partition_column), source, keys, newest_by=newest_by)
-    staged = stage(source, "upsert-source")
-    rows = check_source(staged, keys, name)
+        store = TableStore(spark, name, partition_column)
+        return upsert(store, source, keys, newest_by=newest_by, staged=staged)
+    rows_to_merge = source if staged else stage(source, "upsert-source")
+    rows = check_source(rows_to_merge, keys, name)
     same_key = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
-    staged.createOrReplaceTempView("upsert_source")
+    rows_to_merge.select(*spark.table(name).columns).createOrReplaceTempView("upsert_source")
     spark.sql(
         f"MERGE INTO {name} t USING upsert_source s ON {same_key} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"

@@ -15,6 +15,7 @@ from meseta.operators.clean import in_window
 from meseta.operators.joins import new_members
 from meseta.operators.upsert import UpsertReport, upsert_table
 from meseta.plans import gold, silver
+from meseta.session import stage
 from meseta.sources.bronze import Bronze
 from meseta.sources.tables import create_namespace, create_table, with_partition
 
@@ -41,11 +42,17 @@ def create_tables(
 
 def _write(spark: SparkSession, namespace: str, spec: TableSpec, frame: DataFrame, **options) -> UpsertReport:
     return upsert_table(
-        spark, _qualified(namespace, spec.name), with_partition(frame, spec), spec.keys,
-        spec.partition_column, **options,
+        spark, _qualified(namespace, spec.name), frame, spec.keys, spec.partition_column,
+        staged=True, **options,
     )
 
 
+def _staged(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Evaluate each frame once; checks and merge then read the staged columns."""
+    specs = catalog.SILVER_TABLES | catalog.GOLD_TABLES
+    return {name: stage(with_partition(frame, specs[name]), name) for name, frame in frames.items()}
+
+
 def _scope(name: str):
     """Rows a place check covers: national scopes have no province to match."""
     if name == "silver_esios_energy_hourly":
@@ -75,6 +82,7 @@ def load_silver(
         raise ValueError(f"Unknown load mode {mode}; known: {sorted(catalog.LOAD_MODES)}")
     frames = silver.build_silver(bronze, catalog.LOAD_MODES[mode] if tables is None else tables)
     create_tables(spark, frames, namespace, provider)
+    frames = _staged(frames)
     quality.require_passed(silver_checks(frames))
     return {
         name: _write(spark, namespace, catalog.SILVER_TABLES[name], frame, newest_by=("ingestion_timestamp",))
@@ -156,6 +164,7 @@ def load_gold(
             for name, frame in facts.items()
         }
     create_tables(spark, facts, namespace, provider)
+    facts = _staged(facts)
     quality.require_passed(gold_checks(facts))
     reports = {
         name: _write(spark, namespace, catalog.GOLD_TABLES[name], frame)
@@ -172,11 +181,12 @@ def load_gold(
     create_tables(spark, {"gold_dim_time": instants}, namespace, provider)
     if new_geography:
         reports["gold_dim_geography"] = _write(
-            spark, namespace, catalog.GOLD_TABLES["gold_dim_geography"], geography)
+            spark, namespace, catalog.GOLD_TABLES["gold_dim_geography"],
+            stage(geography, "gold_dim_geography"))
     known = spark.table(_qualified(namespace, "gold_dim_time"))
     reports["gold_dim_time"] = _write(
         spark, namespace, catalog.GOLD_TABLES["gold_dim_time"],
-        new_members(instants, known, "time_key"))
+        stage(new_members(instants, known, "time_key"), "gold_dim_time"))
     places = spark.table(_qualified(namespace, "gold_dim_geography"))
     quality.require_passed([
         quality.dangling_references(frame, places, ["geography_key"], name)

@@ -287,64 +287,70 @@ def municipalities(bronze: DataFrame) -> DataFrame:
 # Composite builds ------------------------------------------------------------------
 
 
+def _family_builder(family: IndicatorFamily):
+    """Scans the family's own datasets only (14, 12 or 9 directories)."""
+    return lambda bronze: indicator_family(
+        indicator_observations(bronze.indicators(family.datasets)), family)
+
+
+# table -> function of the Bronze root; nothing is listed or read for other tables
+AEMET_BUILDERS = {
+    "silver_aemet_stations": lambda bronze: stations(bronze.stations()),
+    "silver_aemet_daily_climatology": lambda bronze: daily_climatology(bronze.daily_climatology()),
+    "silver_aemet_current_observations":
+        lambda bronze: current_observations(bronze.current_observations()),
+}
+OPEN_METEO_BUILDERS = {
+    HOURLY.table: lambda bronze: weather_series(bronze.weather_hourly(), HOURLY),
+    HISTORICAL_FORECAST.table:
+        lambda bronze: weather_series(bronze.weather_historical_forecast(), HISTORICAL_FORECAST),
+    QUARTER_HOURLY.table: lambda bronze: weather_series(bronze.weather_15min(), QUARTER_HOURLY),
+}
+CNIG_BUILDERS = {
+    "silver_cnig_provinces": lambda bronze: provinces(bronze.provinces()),
+    "silver_cnig_autonomous_communities":
+        lambda bronze: autonomous_communities(provinces(bronze.provinces())),
+    "silver_cnig_municipalities": lambda bronze: municipalities(bronze.municipalities()),
+}
+ESIOS_BUILDERS = {family.table: _family_builder(family) for family in FAMILIES}
+
+
+def _build(builders, bronze: Bronze) -> dict[str, DataFrame]:
+    return {name: build(bronze) for name, build in builders.items()}
+
+
 def build_aemet(bronze: Bronze) -> dict[str, DataFrame]:
-    return {
-        "silver_aemet_stations": stations(bronze.stations()),
-        "silver_aemet_daily_climatology": daily_climatology(bronze.daily_climatology()),
-        "silver_aemet_current_observations": current_observations(bronze.current_observations()),
-    }
+    return _build(AEMET_BUILDERS, bronze)
 
 
 def build_open_meteo(bronze: Bronze) -> dict[str, DataFrame]:
-    return {
-        HOURLY.table: weather_series(bronze.weather_hourly(), HOURLY),
-        HISTORICAL_FORECAST.table: weather_series(
-            bronze.weather_historical_forecast(), HISTORICAL_FORECAST),
-        QUARTER_HOURLY.table: weather_series(bronze.weather_15min(), QUARTER_HOURLY),
-    }
+    return _build(OPEN_METEO_BUILDERS, bronze)
 
 
 def build_cnig(bronze: Bronze) -> dict[str, DataFrame]:
-    master = provinces(bronze.provinces())
-    return {
-        "silver_cnig_provinces": master,
-        "silver_cnig_autonomous_communities": autonomous_communities(master),
-        "silver_cnig_municipalities": municipalities(bronze.municipalities()),
-    }
+    return _build(CNIG_BUILDERS, bronze)
 
 
 def build_esios(bronze: Bronze) -> dict[str, DataFrame]:
-    """Each family scans its own datasets only (14, 12 and 9 directories)."""
-    return {
-        family.table: indicator_family(
-            indicator_observations(bronze.indicators(family.datasets)), family)
-        for family in FAMILIES
-    }
-
-
-_BUILDERS = (build_cnig, build_aemet, build_open_meteo, build_esios)
+    return _build(ESIOS_BUILDERS, bronze)
 
 
 def build_silver(bronze: Bronze, tables: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """The named Silver frames (all by default), place-enriched where specified.
-
-    Frames are lazy: a table that is not asked for is never read.
-    """
+    """The named Silver frames (all by default), place-enriched where specified."""
     wanted = set(catalog.SILVER_TABLES if tables is None else tables)
     unknown = wanted - set(catalog.SILVER_TABLES)
     if unknown:
         raise ValueError(f"Unknown Silver tables: {sorted(unknown)}")
-    built: dict[str, DataFrame] = {}
-    for build in _BUILDERS:
-        built.update(build(bronze))
-    master = built["silver_cnig_provinces"]
+    builders = AEMET_BUILDERS | OPEN_METEO_BUILDERS | CNIG_BUILDERS | ESIOS_BUILDERS
     aliases = config.load("province_aliases")
-    result = {}
+    master = None
+    built = {}
     for name, spec in catalog.SILVER_TABLES.items():
         if name not in wanted:
             continue
-        frame = built[name]
+        frame = builders[name](bronze)
         if spec.place_column:
+            master = provinces(bronze.provinces()) if master is None else master
             frame = resolve_place(frame, master, spec.place_column, aliases)
-        result[name] = frame
-    return result
+        built[name] = frame
+    return built

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from meseta import catalog, schemas
 from meseta.functions import instant_with
 from meseta.operators.clean import flatten_envelope
+from meseta.sources.landing import RECORD_SEPARATOR
 
 ESIOS_DATASETS = frozenset({
     *catalog.HOURLY_ENERGY_DATASETS.values(),
@@ -82,10 +83,11 @@ class Bronze:
         )
         return self._in_landed_range(frame)
 
-    def text(self, source: str, dataset: str) -> DataFrame:
-        """One row per landed document."""
+    def text(self, source: str, dataset: str, packed: bool = False) -> DataFrame:
+        """One row per landed document: a whole file, or a record of a packed file."""
+        form = {"lineSep": RECORD_SEPARATOR} if packed else {"wholetext": True}
         return self._in_landed_range(
-            self.spark.read.text(self.path(source, dataset), wholetext=True)
+            self.spark.read.text(self.path(source, dataset), **form)
         )
 
     # AEMET -------------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _LAYOUT = ("year", "month", "day")
+RECORD_SEPARATOR = "\x1e"
 
 
 def _dated(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
@@ -60,11 +61,16 @@ def land_text(
     df: DataFrame, root: str, *, source: str, dataset: str, ingested_at: dt.datetime,
     text: str = "value",
 ) -> str:
-    """Append one file per document, so that ``wholetext`` reads one row per document."""
+    """Append one document per row, many documents per file.
+
+    Documents keep their line breaks; a record separator character stands
+    between them, so files stay few and splittable. Read them back with
+    ``Bronze.text(..., packed=True)``.
+    """
     path = _checked_path(root, source, dataset)
     rows = _dated(df.select(F.col(text).alias("value")), ingested_at)
     (
         rows.write.mode("append").partitionBy(*_LAYOUT)
-        .option("maxRecordsPerFile", 1).text(path)
+        .option("lineSep", RECORD_SEPARATOR).text(path)
     )
     return path

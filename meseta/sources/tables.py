@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import partitioning
+from pyspark.sql.types import StructType
 
 from meseta.catalog import TableSpec
 
@@ -122,13 +123,20 @@ def missing_tables(spark: SparkSession, names: Iterable[str], namespace: str) ->
 
 
 class PathStore:
-    """A Parquet directory as an upsert target."""
+    """A Parquet directory as an upsert target.
 
-    def __init__(self, spark: SparkSession, path: str, partition_column: str | None = None):
-        self.spark, self.path, self.partition_column = spark, path, partition_column
+    The schema is given, so that partition values keep their type and an
+    interrupted first load cannot be mistaken for another schema.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: StructType, partition_column: str | None = None
+    ):
+        self.spark, self.path, self.schema = spark, path, schema
+        self.partition_column = partition_column
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def replace(self, df: DataFrame) -> None:
         """Overwrite the partitions that occur in ``df`` (everything if unpartitioned)."""
