@@ -29,13 +29,17 @@ def blank_to_null(text: Column) -> Column:
 
 
 def parse_double(text: Column) -> Column:
-    """Lenient number: blank or non-numeric text becomes NULL, also under ANSI."""
-    return F.trim(text).try_cast("double")
+    """Lenient number: blank or non-numeric text becomes NULL, also under ANSI.
+
+    Blanks are common in reports and are sorted out before the cast, whose
+    failure path is slow.
+    """
+    return blank_to_null(text).try_cast("double")
 
 
 def decimal_comma(text: Column) -> Column:
     """``"12,5"`` -> 12.5; blank or non-numeric marks such as ``Ip`` -> NULL."""
-    return F.replace(F.trim(text), F.lit(","), F.lit(".")).try_cast("double")
+    return F.replace(blank_to_null(text), F.lit(","), F.lit(".")).try_cast("double")
 
 
 def plain_name(name: Column) -> Column:

@@ -77,5 +77,5 @@ def calendar_parts(ts: Column) -> dict[str, Column]:
 def solar_clock(hours: Column) -> Column:
     """Fraction of hours to clock text: 5.5 -> ``05:30``; any fraction counts as a half."""
     whole = F.floor(hours).cast("int")
-    half = F.when(hours > whole, F.lit(30)).otherwise(F.lit(0))
-    return F.format_string("%02d:%02d", whole, half)
+    half = F.when(hours > whole, F.lit(":30")).otherwise(F.lit(":00"))
+    return F.concat(F.lpad(whole.cast("string"), 2, "0"), half)

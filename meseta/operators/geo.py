@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meseta.functions import blank_to_null, plain_name
 from meseta.operators.clean import latest_by_key
 from meseta.operators.guards import require_fields
-from meseta.operators.joins import small_side
+from meseta.operators.joins import lookup
 
 PROVINCE_COLUMNS = (
     "province_code", "province_name", "autonomous_community_code", "autonomous_community_name",
@@ -66,14 +66,13 @@ def resolve_place(
 ) -> DataFrame:
     """Left join of the source name to the master; the source column is kept.
 
-    The master is counted before it is broadcast, so the facts are not shuffled.
+    A master of provinces is far below Spark's broadcast threshold, so the facts
+    are not shuffled.
     """
     require_fields(df, [source_column], "place source")
-    prepared = small_side(prepare_master(master, columns))
+    prepared = prepare_master(master, columns)
     keyed = df.withColumn("_place_key", canonical_key(F.col(source_column), aliases))
-    return keyed.join(prepared, "_place_key", "left").drop("_place_key").select(
-        *df.columns, *columns
-    )
+    return lookup(keyed, prepared, ["_place_key"]).select(*df.columns, *columns)
 
 
 def unmatched(df: DataFrame, columns: Sequence[str] = PROVINCE_COLUMNS[:2]) -> DataFrame:
@@ -97,4 +96,4 @@ def attach_station_place(
 ) -> DataFrame:
     """Place of each observation through its station."""
     places = latest_by_key(stations.select("station_id", *columns), ["station_id"])
-    return observations.join(small_side(places), "station_id", "left")
+    return lookup(observations, places, ["station_id"])

@@ -1,4 +1,11 @@
-"""Joins: checked broadcasts, assembly of pre-aggregated frames, references."""
+"""Joins: lookups, assembly of pre-aggregated frames, references.
+
+No join carries a broadcast hint. Spark broadcasts a side when its size is below
+``spark.sql.autoBroadcastJoinThreshold``, known from file sizes when planning or
+from shuffle sizes at run time, and otherwise shuffles and splits hot keys
+(adaptive skew join). A master that outgrows the threshold therefore changes the
+plan instead of the executors' memory.
+"""
 
 from __future__ import annotations
 
@@ -8,25 +15,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a master that may be copied to every executor without a second thought;
-# at some hundred bytes a row this stays below a few megabytes.
-BROADCAST_ROWS = 20_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the side.
-
-    Beyond ``max_rows`` the frame comes back unhinted: Spark then shuffles both
-    sides and splits hot keys at run time (adaptive skew join).
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def lookup(
-    facts: DataFrame, dim: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join to a dimension that is unique on ``on``; no fact row is lost or multiplied."""
-    return facts.join(small_side(dim, max_rows), list(on), "left")
+    return facts.join(dim, list(on), "left")
 
 
 def merge_on_grain(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:

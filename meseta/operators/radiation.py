@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from meseta.catalog import RADIATION_TYPES
 from meseta.functions import instant_with, parse_double, solar_clock
 
-# separator outside double quotes
-_SEPARATOR = r';(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_CELL_BREAK = "\x01"
 
 
 def _slots(first: float, last: float, step: float) -> int:
@@ -17,10 +16,10 @@ def _slots(first: float, last: float, step: float) -> int:
 
 
 def _by_type(code: Column, value_of) -> Column:
-    pairs = []
+    choice = F.lit(None)
     for name, rule in RADIATION_TYPES.items():
-        pairs += [F.lit(name), F.lit(value_of(rule))]
-    return F.create_map(*pairs)[code]
+        choice = F.when(code == name, F.lit(value_of(rule))).otherwise(choice)
+    return choice
 
 
 def _width(code: Column) -> Column:
@@ -28,37 +27,48 @@ def _width(code: Column) -> Column:
 
 
 def _cells(line: Column) -> Column:
-    def clean(cell: Column) -> Column:
-        bare = F.regexp_replace(F.trim(cell), r'^"(.*)"$', "$1")
-        return F.trim(F.replace(bare, F.lit('""'), F.lit('"')))
+    """Cells of a ``;`` separated line; quotes protect separators and are removed.
 
-    return F.transform(F.split(line, _SEPARATOR, -1), clean)
+    Splitting at quotes alternates text outside and inside of them. Only outside
+    text separates cells; an empty outside piece between two inside pieces is a
+    doubled, hence literal, quote.
+    """
+    pieces = F.split(line, '"')
+    last = F.size(pieces) - 1
+
+    def unquote(piece: Column, at: Column) -> Column:
+        outside = F.replace(piece, F.lit(";"), F.lit(_CELL_BREAK))
+        literal = (piece == "") & (at > 0) & (at < last)
+        return F.when(at % 2 == 1, piece).when(literal, F.lit('"')).otherwise(outside)
+
+    return F.split(F.array_join(F.transform(pieces, unquote), ""), _CELL_BREAK)
+
+
+def _cell(cells: Column, at: Column) -> Column:
+    return F.trim(F.get(cells, at))
 
 
 def _block_starts(cells: Column) -> Column:
     """Zero-based positions of the blocks of one line.
 
     A block is its code, one cell per solar time and the daily total. The walk
-    skips what a block covers, so a start depends on the blocks before it; a
-    block cut off by the end of the line ends the walk.
+    over the cells that hold a code skips what a block covers, so a start
+    depends on the blocks before it; a block cut off by the end of the line ends
+    the walk. A line without station name or id has no blocks.
     """
-    empty = F.struct(
-        F.lit(2).alias("free"), F.array().cast("array<int>").alias("starts")
-    )
+    named = (_cell(cells, F.lit(0)) != "") & (_cell(cells, F.lit(1)) != "")
+    positions = F.when(named & (F.size(cells) >= 3), F.sequence(F.lit(2), F.size(cells) - 1))
+    codes = F.filter(positions, lambda at: _cell(cells, at).isin(*RADIATION_TYPES))
+    nothing = F.struct(F.lit(2).alias("free"), F.array().cast("array<int>").alias("starts"))
 
     def step(state: Column, at: Column) -> Column:
-        width = _width(F.get(cells, at))
-        begins = (at >= state["free"]) & width.isNotNull()
-        end = at + width + 1
-        complete = end < F.size(cells)
+        end = at + _width(_cell(cells, at)) + 1
         taken = F.struct(
-            (end + 1).alias("free"), F.array_append(state["starts"], at).alias("starts")
-        )
+            (end + 1).alias("free"), F.array_append(state["starts"], at).alias("starts"))
         stopped = F.struct((F.size(cells) + 1).alias("free"), state["starts"].alias("starts"))
-        return F.when(begins & complete, taken).when(begins, stopped).otherwise(state)
+        return F.when(at < state["free"], state).when(end < F.size(cells), taken).otherwise(stopped)
 
-    positions = F.sequence(F.lit(2), F.size(cells) - 1)
-    return F.aggregate(positions, empty, step)["starts"]
+    return F.aggregate(codes, nothing, step)["starts"]
 
 
 def parse_radiation(df: DataFrame, text: str = "value", carried: tuple[str, ...] = ()) -> DataFrame:
@@ -67,41 +77,33 @@ def parse_radiation(df: DataFrame, text: str = "value", carried: tuple[str, ...]
     A report needs a title, a date, a header and at least one station line;
     anything shorter stops the query.
     """
-    body = F.regexp_replace(F.col(text), r"[\r\n]+$", "")
-    lines = F.split(body, r"\r?\n")
-    checked = F.when(F.size(lines) >= 4, lines).otherwise(
-        F.raise_error(F.lit("Radiation report with fewer than 4 lines")).cast("array<string>")
-    )
-    reported = F.get(_cells(F.get(F.col("_lines"), F.lit(1))), F.lit(0))
-    stations = (
-        df.select(*carried, checked.alias("_lines"))
-        .select(
-            *carried,
-            instant_with(reported, "dd-MM-yy").cast("date").alias("observation_date"),
-            F.explode(F.slice("_lines", F.lit(4), F.size("_lines") - 3)).alias("_line"),
-        )
-        .withColumn("_cells", _cells(F.col("_line")))
-        .filter(F.size("_cells") >= 3)
-        .withColumns({
-            "station_name": F.get("_cells", F.lit(0)),
-            "station_id": F.get("_cells", F.lit(1)),
-        })
-        .filter((F.col("station_name") != "") & (F.col("station_id") != ""))
-    )
-    kept = [*carried, "station_name", "station_id", "observation_date"]
+    lines = F.split(F.regexp_replace(F.col(text), r"[\r\n]+$", ""), r"\r?\n")
+    checked = F.when(F.size("_lines") >= 4, F.col("_lines")).otherwise(
+        F.raise_error(F.lit("Radiation report with fewer than 4 lines")).cast("array<string>"))
+    reported = _cell(_cells(F.get("_lines", F.lit(1))), F.lit(0))
+    stations = df.select(*carried, lines.alias("_lines")).select(
+        *carried,
+        instant_with(reported, "dd-MM-yy").cast("date").alias("observation_date"),
+        F.explode(F.slice(checked, F.lit(4), F.greatest(F.size("_lines") - 3, F.lit(0)))).alias("_line"),
+    ).select(*carried, "observation_date", _cells(F.col("_line")).alias("_cells"))
+
+    kept = [*carried, "observation_date"]
     blocks = stations.select(*kept, "_cells", F.explode(_block_starts(F.col("_cells"))).alias("_at"))
-    code = F.get("_cells", F.col("_at"))
-    blocks = blocks.withColumns({"radiation_type": code, "_width": _width(code)})
-    values = F.slice("_cells", F.col("_at") + 2, F.col("_width"))
+    code = _cell(F.col("_cells"), F.col("_at"))
+    total = F.get("_cells", F.col("_at") + _width(code) + 1)
+    labels = ["station_name", "station_id", "radiation_type", "daily_total"]
     slots = blocks.select(
-        *kept, "radiation_type",
-        parse_double(F.get("_cells", F.col("_at") + F.col("_width") + 1)).alias("daily_total"),
-        F.posexplode(values).alias("_slot", "_raw"),
-    )
+        *kept,
+        _cell(F.col("_cells"), F.lit(0)).alias("station_name"),
+        _cell(F.col("_cells"), F.lit(1)).alias("station_id"),
+        code.alias("radiation_type"),
+        parse_double(total).alias("daily_total"),
+        F.slice("_cells", F.col("_at") + 2, _width(code)).alias("_values"),
+    ).select(*kept, *labels, F.posexplode("_values").alias("_slot", "_raw"))
     code = F.col("radiation_type")
     clock = _by_type(code, lambda rule: rule[1]) + F.col("_slot") * _by_type(code, lambda rule: rule[3])
     return slots.select(
-        *kept, "radiation_type",
+        *carried, "station_name", "station_id", "observation_date", "radiation_type",
         solar_clock(clock).alias("solar_time"),
         parse_double(F.col("_raw")).alias("value"),
         _by_type(code, lambda rule: rule[0]).alias("unit"),

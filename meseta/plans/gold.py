@@ -22,7 +22,7 @@ from meseta.functions import (
 from meseta.operators.aggregate import energy_rollup, pivot_metrics, staged_mean
 from meseta.operators.clean import latest_by_key
 from meseta.operators.geo import PROVINCE_COLUMNS, attach_station_place, canonical_key
-from meseta.operators.joins import lookup, merge_on_grain, small_side
+from meseta.operators.joins import lookup, merge_on_grain
 
 _PROVINCE_HOUR = ("province_code", "gold_timestamp")
 _SCOPE_TIME = ("geography_key", "gold_timestamp")
@@ -127,11 +127,10 @@ def fact_installed_capacity_monthly(
     )
     columns = ["autonomous_community_code", "autonomous_community_name"]
     master = latest_by_key(communities.select(*columns), columns[:1])
-    keyed_master = small_side(
-        master.withColumn("_place", canonical_key(F.col(columns[1]), {})))
+    keyed_master = master.withColumn("_place", canonical_key(F.col(columns[1]), {}))
     aliases = config.load("community_aliases")
-    placed = wide.withColumn("_place", canonical_key(F.col("esios_geo_name"), aliases)).join(
-        keyed_master, "_place", "left")
+    named = wide.withColumn("_place", canonical_key(F.col("esios_geo_name"), aliases))
+    placed = lookup(named, keyed_master, ["_place"])
     fact = placed.select(
         "year_month",
         F.to_timestamp("year_month", "yyyy-MM").alias("gold_month_timestamp"),

@@ -153,8 +153,8 @@ def indicator_observations(bronze: DataFrame, dataset: Column | None = None) ->
             raise ValueError("ESIOS values hold records that are not structs.")
         return bronze.sparkSession.createDataFrame([], OBSERVATION_SCHEMA)
 
-    magnitude = F.try_element_at(series["magnitud"], F.lit(1))
-    time = F.try_element_at(series["tiempo"], F.lit(1))
+    magnitude = F.get(series["magnitud"], F.lit(0))
+    time = F.get(series["tiempo"], F.lit(0))
     exploded = bronze.select(
         series["id"].cast("bigint").alias("indicator_id"),
         (F.col("dataset") if dataset is None else dataset).alias("dataset"),

@@ -11,12 +11,14 @@ _local_roots: dict[str, str] = {}
 
 
 def build_session(app_name: str, **conf: str) -> SparkSession:
-    """A session with the two settings the engine relies on: UTC and adaptive execution."""
+    """A session with the settings the engine relies on: UTC and adaptive execution."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # no Python call-site capture per expression; wide facts build hundreds of them
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meseta.operators.joins import small_side
 from meseta.workload.registry import Tables
 
 # Envelopes built for the queries hold at most this many elements, whatever the
@@ -23,7 +22,7 @@ def direction() -> Column:
 def province_master(t: Tables) -> DataFrame:
     """Nations with their region under the names of the province master."""
     return t.nation.join(
-        small_side(t.region), F.col("n_regionkey") == F.col("r_regionkey")
+        t.region, F.col("n_regionkey") == F.col("r_regionkey")
     ).select(
         F.col("n_nationkey").cast("string").alias("province_code"),
         F.col("n_name").alias("province_name"),
@@ -35,11 +34,10 @@ def province_master(t: Tables) -> DataFrame:
 def located(t: Tables, events: DataFrame) -> DataFrame:
     """Events with nation and region.
 
-    The customer side grows with the data, so it carries no hint: Spark
-    broadcasts it below its size threshold and otherwise shuffles, splitting hot
-    users at run time.
+    The customer side grows with the data: Spark broadcasts it below its size
+    threshold and otherwise shuffles, splitting hot users at run time.
     """
-    master = small_side(province_master(t))
+    master = province_master(t)
     places = t.customer.select(
         F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("string").alias("province_code")
     ).join(master, "province_code")
@@ -51,7 +49,7 @@ def stations(t: Tables) -> DataFrame:
     return t.customer.select(
         F.col("c_custkey").cast("string").alias("station_id"),
         F.col("c_nationkey").cast("string").alias("province_code"),
-    ).join(small_side(province_master(t)), "province_code")
+    ).join(province_master(t), "province_code")
 
 
 def iso(ts: Column) -> Column:

@@ -221,7 +221,7 @@ def fact_join(t):
     WITH {SQL_LOCATED}, wide AS (
         SELECT province_name, date_trunc('hour', ts) AS hour, {_SQL_PIVOT} FROM located GROUP BY ALL),
     long AS (SELECT province_name, metric, count(*) AS n_rows, count(value) AS n_present FROM (
-        UNPIVOT INCLUDE NULLS wide ON clicks, views, purchases, signups, errors INTO NAME metric VALUE value)
+        SELECT * FROM wide UNPIVOT INCLUDE NULLS (value FOR metric IN (clicks, views, purchases, signups, errors)))
         GROUP BY ALL)
     SELECT province_name, metric, n_rows, n_present, {sql_r4('n_present / n_rows')} AS coverage FROM long""")
 def coverage(t):
@@ -343,7 +343,7 @@ def silver_capacity(t):
     for status, indicator in _CAPACITY_IDS.items():
         pairs += [F.lit(status), F.lit(indicator).cast("bigint")]
     indicator = F.create_map(*pairs)[F.col("o_orderstatus")]
-    master = joins.small_side(province_master(t))
+    master = province_master(t)
     customers = t.customer.select("c_custkey", F.col("c_nationkey").cast("string").alias("province_code"))
     placed = t.orders.select(
         "o_custkey", "o_totalprice", month.alias("observation_timestamp"), indicator.alias("indicator_id")
@@ -384,7 +384,7 @@ def gold_capacity_monthly(t):
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY ALL""")
 def capacity_monthly(t):
-    master = joins.small_side(province_master(t))
+    master = province_master(t)
     customers = t.customer.select(
         "c_custkey", "c_mktsegment", "c_acctbal", F.col("c_nationkey").cast("string").alias("province_code"))
     rows = t.orders.select("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("year_month")).join(

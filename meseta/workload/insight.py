@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from meseta.functions import floor_grain
 from meseta.operators import analytics, radiation, ranges
-from meseta.operators.joins import small_side
 from meseta.workload import facts
 from meseta.workload.derived import direction, SQL_LOCATED, province_master
 from meseta.workload.registry import query, r4, rounded, sql_r4
@@ -117,7 +116,7 @@ def unpivot_series(t):
 def topk_per_group(t):
     summed = t.customer.groupBy("c_mktsegment", "c_nationkey").agg(
         F.round(F.sum("c_acctbal"), 2).alias("balance"))
-    named = summed.join(small_side(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    named = summed.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_mktsegment", "n_name", "balance")
     return rounded(analytics.top_k(named, ["c_mktsegment"], "balance", 3, ["n_name"]), "balance")
 
@@ -133,7 +132,7 @@ def topk_per_group(t):
            {sql_r4('energy_mwh / nullif(capacity_mw, 0)')} AS mwh_per_mw
     FROM capacity JOIN produced USING (place, year_month)""")
 def capacity_vs_generation(t):
-    master = small_side(province_master(t))
+    master = province_master(t)
     customers = t.customer.select(
         "c_custkey", "c_acctbal", F.col("c_nationkey").cast("string").alias("province_code"))
     placed = t.orders.select(

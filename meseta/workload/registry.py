@@ -17,11 +17,14 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
 
 def _portable(df: DataFrame) -> DataFrame:
@@ -65,11 +68,11 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def angle4(column: Column) -> Column:
-    return F.round(column, 4) % F.lit(360.0)
+    return F.round(column + F.lit(_NUDGE), 4) % F.lit(360.0)
 
 
 def sql_angle4(expression: str) -> str:
-    return f"(round({expression}, 4) % 360.0)"
+    return f"(round(({expression}) + 1e-7, 4) % 360.0)"
 
 
 def sql_circular(degrees: str) -> str:
