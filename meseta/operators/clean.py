@@ -45,22 +45,22 @@ def distinct_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def drop_blank_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows whose listed columns are all NULL (the trace of an empty array)."""
-    return df.dropna(how="all", subset=list(columns))
-
-
 def flatten_envelope(df: DataFrame, keep_empty: bool = True) -> DataFrame:
     """One row per element of ``data`` with the envelope's ingestion timestamp.
 
-    An empty or NULL array leaves one all-NULL record unless ``keep_empty`` is off.
+    An empty or NULL array leaves one all-NULL record. ``keep_empty=False`` drops
+    it here, on the struct; a later filter over dozens of flattened columns
+    would multiply the constraints the optimizer tracks.
     """
     require_fields(df, ["data", "metadata.ingestion_timestamp"], "envelope")
     unfold = F.explode_outer if keep_empty else F.explode
-    return df.select(
+    records = df.select(
         F.col("metadata.ingestion_timestamp").alias("ingestion_timestamp"),
         unfold("data").alias("record"),
-    ).select("record.*", "ingestion_timestamp")
+    )
+    if not keep_empty:
+        records = records.filter(F.col("record").isNotNull())
+    return records.select("record.*", "ingestion_timestamp")
 
 
 def with_traceability(df: DataFrame, source: str) -> DataFrame:

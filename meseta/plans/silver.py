@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from meseta import catalog, config
 from meseta.functions import blank_to_null, day, decimal_comma, dms_to_degrees, instant
 from meseta.operators.clean import (
-    drop_blank_records,
     explode_parallel,
     latest_by_key,
     of_class,
@@ -35,7 +34,7 @@ def _unique(df: DataFrame, table: str, newest: tuple[str, ...] = _NEWEST) -> Dat
 def stations(bronze: DataFrame) -> DataFrame:
     """Station master with decimal coordinates."""
     require_fields(bronze, catalog.STATION_FIELDS, "AEMET stations")
-    rows = with_traceability(drop_blank_records(bronze, catalog.STATION_FIELDS), "aemet")
+    rows = with_traceability(bronze, "aemet")
     typed = rows.select(
         F.col("indicativo").alias("station_id"), "nombre", "provincia",
         decimal_comma(F.col("altitud")).alias("altitud"),
@@ -50,7 +49,7 @@ def daily_climatology(bronze: DataFrame) -> DataFrame:
     """Daily values; measurements arrive as text with a decimal comma."""
     fields = ("indicativo", "fecha", *catalog.DAILY_FIELD_ORDER)
     require_fields(bronze, fields, "AEMET daily climatology")
-    rows = with_traceability(drop_blank_records(bronze, fields), "aemet")
+    rows = with_traceability(bronze, "aemet")
     measured = set(catalog.DAILY_NUMBER_FIELDS)
     typed = rows.select(
         F.col("indicativo").alias("station_id"), day(F.col("fecha")).alias("observation_date"),
@@ -67,7 +66,7 @@ def current_observations(bronze: DataFrame) -> DataFrame:
     """Hourly station observations; the measures pass through as delivered."""
     fields = ("idema", "fint", "lat", "lon", *catalog.CURRENT_MEASURES)
     require_fields(bronze, fields, "AEMET current observations")
-    rows = with_traceability(drop_blank_records(bronze, fields), "aemet")
+    rows = with_traceability(bronze, "aemet")
     renamed = rows.select(
         F.col("idema").alias("station_id"), instant(F.col("fint")).alias("observation_timestamp"),
         F.col("lat").try_cast("double").alias("latitude"),

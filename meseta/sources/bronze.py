@@ -92,18 +92,18 @@ class Bronze:
 
     # AEMET -------------------------------------------------------------------
 
+    def _records(self, schema: T.StructType, dataset: str) -> DataFrame:
+        """Records without the all-NULL row an empty delivery would leave."""
+        return flatten_envelope(self.json(schema, "aemet", dataset), keep_empty=False)
+
     def stations(self) -> DataFrame:
-        return flatten_envelope(self.json(schemas.STATIONS, "aemet", "stations"))
+        return self._records(schemas.STATIONS, "stations")
 
     def daily_climatology(self) -> DataFrame:
-        return flatten_envelope(
-            self.json(schemas.DAILY_CLIMATOLOGY, "aemet", "daily_climatological_values")
-        )
+        return self._records(schemas.DAILY_CLIMATOLOGY, "daily_climatological_values")
 
     def current_observations(self) -> DataFrame:
-        return flatten_envelope(
-            self.json(schemas.CURRENT_OBSERVATIONS, "aemet", "current_observations")
-        )
+        return self._records(schemas.CURRENT_OBSERVATIONS, "current_observations")
 
     def radiation(self) -> DataFrame:
         return self.text("aemet", "radiation")

@@ -48,7 +48,6 @@ def test_envelope_keeps_or_drops_empty_arrays(spark):
     frame = spark.createDataFrame([(("t1",), [("x",), ("y",)]), (("t2",), []), (("t3",), None)], schema)
     assert clean.flatten_envelope(frame).count() == 4
     assert clean.flatten_envelope(frame, keep_empty=False).count() == 2
-    assert clean.drop_blank_records(clean.flatten_envelope(frame), ["a"]).count() == 2
     with pytest.raises(ValueError):
         clean.flatten_envelope(frame.drop("metadata"))
 
