@@ -26,9 +26,27 @@ def _hourly(t):
         F.avg(F.when(F.col("event_type") == "view", F.col("value"))).alias("y"))
 
 
-def _sql_corr(by, source="hourly"):
+def _sql_pearson(x, y):
+    """Correlation over complete pairs; NULL unless both sides vary."""
+    varies = " AND ".join(
+        f"min({side}) FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL) < "
+        f"max({side}) FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)" for side in (x, y))
+    return f"CASE WHEN {varies} THEN corr({x}, {y}) END"
+
+
+def _sql_corr(by):
     return f"""SELECT {by} AS place, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS n_pairs,
-        {sql_r4('corr(x, y)')} AS correlation FROM {source} GROUP BY ALL"""
+        {sql_r4(_sql_pearson('x', 'y'))} AS correlation FROM hourly GROUP BY ALL"""
+
+
+# every offset of every place is listed, also without a pair
+_SQL_SCAN = f"""{_SQL_HOURLY},
+    offsets AS (SELECT CAST(unnest(range(-3, 4)) AS INTEGER) AS offset_hours),
+    shifted AS (SELECT offset_hours, place, hour + to_hours(offset_hours) AS hour, x FROM hourly, offsets),
+    scan AS (SELECT s.offset_hours, s.place,
+                    count(*) FILTER (WHERE s.x IS NOT NULL AND h.y IS NOT NULL) AS n_pairs,
+                    {_sql_pearson('s.x', 'h.y')} AS c
+             FROM shifted s LEFT JOIN hourly h ON s.place = h.place AND s.hour = h.hour GROUP BY ALL)"""
 
 
 @query("corr_by_geo", f"""{_SQL_HOURLY} {_sql_corr('place')} UNION ALL {_sql_corr("'all'")}""")
@@ -39,25 +57,16 @@ def corr_by_geo(t):
     return rounded(by_place.unionByName(overall), "correlation")
 
 
-@query("offset_scan", f"""{_SQL_HOURLY},
-    offsets AS (SELECT CAST(unnest(range(-3, 4)) AS INTEGER) AS offset_hours),
-    shifted AS (SELECT offset_hours, place, hour + to_hours(offset_hours) AS hour, x FROM hourly, offsets)
-    SELECT s.offset_hours, s.place, count(*) AS n_pairs, {sql_r4('corr(s.x, h.y)')} AS correlation
-    FROM shifted s JOIN hourly h ON s.place = h.place AND s.hour = h.hour
-    WHERE s.x IS NOT NULL AND h.y IS NOT NULL GROUP BY ALL""")
+@query("offset_scan", f"""{_SQL_SCAN}
+    SELECT offset_hours, place, n_pairs, {sql_r4('c')} AS correlation FROM scan""")
 def offset_scan(t):
     scan = analytics.offset_scan(
         _hourly(t), ["place"], "hour", "x", "y", range(-3, 4), by=["place"])
     return rounded(scan, "correlation")
 
 
-@query("best_offset", f"""{_SQL_HOURLY},
-    offsets AS (SELECT CAST(unnest(range(-3, 4)) AS INTEGER) AS offset_hours),
-    shifted AS (SELECT offset_hours, place, hour + to_hours(offset_hours) AS hour, x FROM hourly, offsets),
-    scan AS (SELECT s.offset_hours, s.place, corr(s.x, h.y) AS c FROM shifted s
-             JOIN hourly h ON s.place = h.place AND s.hour = h.hour
-             WHERE s.x IS NOT NULL AND h.y IS NOT NULL GROUP BY ALL)
-    SELECT place, offset_hours, {sql_r4('c')} AS correlation FROM scan
+@query("best_offset", f"""{_SQL_SCAN}
+    SELECT place, offset_hours, {sql_r4('c')} AS correlation FROM scan WHERE c IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY place ORDER BY c DESC, offset_hours) = 1""")
 def best_offset(t):
     scan = analytics.offset_scan(
