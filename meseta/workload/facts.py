@@ -198,23 +198,31 @@ def time_shift(t):
 
 @query("fact_join", f"""
     WITH {SQL_LOCATED},
-    a AS (SELECT province_name, date_trunc('hour', ts) AS hour, avg(value) AS clicks FROM located WHERE event_type = 'click' GROUP BY ALL),
-    b AS (SELECT province_name, date_trunc('hour', ts) AS hour, avg(value) AS views FROM located WHERE event_type = 'view' GROUP BY ALL),
-    c AS (SELECT province_name, date_trunc('hour', ts) AS hour, max(value) AS errors FROM located WHERE event_type = 'error' GROUP BY ALL)
-    SELECT province_name, hour, {sql_r4('clicks')} AS clicks, {sql_r4('views')} AS views, errors
-    FROM a FULL JOIN b USING (province_name, hour) FULL JOIN c USING (province_name, hour)""")
+    a AS (SELECT province_name, date_trunc('month', ts) AS month, avg(value) AS events FROM located GROUP BY ALL),
+    b AS (SELECT n_name AS province_name, date_trunc('month', o_orderdate) AS month, max(o_totalprice) AS orders
+          FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+    c AS (SELECT n_name AS province_name, date_trunc('month', l_shipdate) AS month, sum(l_quantity) AS shipped
+          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)
+    SELECT province_name, month, {sql_r4('events')} AS events, orders, shipped
+    FROM a FULL JOIN b USING (province_name, month) FULL JOIN c USING (province_name, month)""")
 def fact_join(t):
-    rows = _hourly_located(t)
-    keys = ["province_name", "hour"]
-
-    def frame(kind, fold, name):
-        return rows.filter(F.col("event_type") == kind).groupBy(*keys).agg(fold("value").alias(name))
-
-    merged = joins.merge_on_grain({
-        "click": frame("click", F.avg, "clicks"), "view": frame("view", F.avg, "views"),
-        "error": frame("error", F.max, "errors"),
-    }, keys)
-    return rounded(merged, "clicks", "views")
+    """Three sources at the grain nation x month, each aggregated from its own table."""
+    keys = ["province_name", "month"]
+    month = lambda ts: F.date_trunc("month", ts).alias("month")
+    nations = t.nation.select("n_nationkey", F.col("n_name").alias("province_name"))
+    events = located(t, t.events.select("user_id", "ts", "value")).groupBy("province_name", month("ts")).agg(
+        F.avg("value").alias("events"))
+    # aggregated by the customer or supplier before the nation is looked up
+    orders = t.orders.groupBy("o_custkey", month("o_orderdate")).agg(F.max("o_totalprice").alias("orders")).join(
+        t.customer, F.col("o_custkey") == F.col("c_custkey")
+    ).join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(*keys).agg(
+        F.max("orders").alias("orders"))
+    shipped = t.lineitem.groupBy("l_suppkey", month("l_shipdate")).agg(F.sum("l_quantity").alias("shipped")).join(
+        t.supplier, F.col("l_suppkey") == F.col("s_suppkey")
+    ).join(nations, F.col("s_nationkey") == F.col("n_nationkey")).groupBy(*keys).agg(
+        F.sum("shipped").alias("shipped"))
+    merged = joins.merge_on_grain({"events": events, "orders": orders, "lineitem": shipped}, keys)
+    return rounded(merged, "events")
 
 
 @query("coverage", f"""
@@ -280,8 +288,7 @@ _HOURLY_ROUNDED = ("temperature", "humidity", "precipitation", "wind_speed_80m",
                    "solar_radiation", "direct_normal_irradiance")
 
 
-@query("gold_province_hourly", f"""
-    WITH {SQL_LOCATED},
+SQL_PROVINCE_HOURLY = f"""{SQL_LOCATED},
     hours AS (SELECT *, date_trunc('hour', ts) AS hour FROM located),
     station AS (SELECT province_code, hour,
             avg(CASE WHEN event_type = 'click' THEN value END) AS ta,
@@ -302,14 +309,13 @@ _HOURLY_ROUNDED = ("temperature", "humidity", "precipitation", "wind_speed_80m",
             max(CASE WHEN event_type = 'signup' THEN value END) AS total_generation_mwh
         FROM hours WHERE event_type <> 'error' GROUP BY ALL),
     joined AS (SELECT * FROM station FULL JOIN wind USING (province_code, hour)
-               FULL JOIN energy USING (province_code, hour))
-    SELECT hour AS gold_timestamp, concat('PROVINCE|', province_code) AS geography_key, province_code,
-           n.n_name AS province_name, r.r_name AS autonomous_community_name,
-           {sql_r4('coalesce(ta, t2m)')} AS temperature, {sql_r4('coalesce(hr, rh)')} AS humidity,
-           {sql_r4('coalesce(prec, t2m)')} AS precipitation,
-           {sql_r4('v')} AS wind_speed_80m, {sql_r4('v * 2')} AS wind_speed_120m,
-           {sql_angle4('d')} AS wind_direction_80m,
-           {sql_r4('sw')} AS solar_radiation, {sql_r4('dni')} AS direct_normal_irradiance,
+               FULL JOIN energy USING (province_code, hour)),
+    fact AS (SELECT hour AS gold_timestamp, concat('PROVINCE|', province_code) AS geography_key, province_code,
+           n.n_name AS province_name, CAST(r.r_regionkey AS VARCHAR) AS autonomous_community_code,
+           r.r_name AS autonomous_community_name,
+           coalesce(ta, t2m) AS temperature, coalesce(hr, rh) AS humidity, coalesce(prec, t2m) AS precipitation,
+           v AS wind_speed_80m, v * 2 AS wind_speed_120m, d AS wind_direction_80m,
+           sw AS solar_radiation, dni AS direct_normal_irradiance,
            wind_generation_mwh, solar_photovoltaic_generation_mwh, hydraulic_generation_mwh,
            total_generation_mwh, CAST(NULL AS DOUBLE) AS nuclear_generation_mwh,
            CASE WHEN ta IS NOT NULL THEN 'AEMET' WHEN t2m IS NOT NULL THEN 'OPEN_METEO' END AS temperature_source,
@@ -317,19 +323,26 @@ _HOURLY_ROUNDED = ("temperature", "humidity", "precipitation", "wind_speed_80m",
            CASE WHEN prec IS NOT NULL THEN 'AEMET' WHEN t2m IS NOT NULL THEN 'OPEN_METEO' END AS precipitation_source,
            TIMESTAMP '2024-03-01 00:00:00' AS gold_created_at
     FROM joined JOIN nation n ON province_code = CAST(n.n_nationkey AS VARCHAR)
-    JOIN region r ON n.n_regionkey = r.r_regionkey""")
+    JOIN region r ON n.n_regionkey = r.r_regionkey)
+"""
+_PLAIN_COLUMNS = (
+    "gold_timestamp", "geography_key", "province_code", "province_name", "autonomous_community_name",
+    "wind_generation_mwh", "solar_photovoltaic_generation_mwh", "hydraulic_generation_mwh",
+    "total_generation_mwh", "nuclear_generation_mwh",
+    "temperature_source", "humidity_source", "precipitation_source", "gold_created_at")
+
+
+@query("gold_province_hourly", f"""
+    WITH {SQL_PROVINCE_HOURLY}
+    SELECT {', '.join(_PLAIN_COLUMNS)}, {', '.join(f'{sql_r4(name)} AS {name}' for name in _HOURLY_ROUNDED)},
+           {sql_angle4('wind_direction_80m')} AS wind_direction_80m FROM fact""")
 def gold_province_hourly(t):
     fact = province_hourly(t).select(
-        "gold_timestamp", "geography_key", "province_code", "province_name",
-        "autonomous_community_name", *_HOURLY_ROUNDED,
-        angle4(F.col("wind_direction_80m")).alias("wind_direction_80m"),
-        "wind_generation_mwh", "solar_photovoltaic_generation_mwh", "hydraulic_generation_mwh",
-        "total_generation_mwh", "nuclear_generation_mwh",
-        "temperature_source", "humidity_source", "precipitation_source", "gold_created_at")
+        *_PLAIN_COLUMNS, *_HOURLY_ROUNDED, angle4(F.col("wind_direction_80m")).alias("wind_direction_80m"))
     return rounded(fact, *_HOURLY_ROUNDED)
 
 
-# months of supplier balances, one row per region, month and indicator
+# order status -> capacity indicator
 _CAPACITY_IDS = {"F": 1475, "O": 1485, "P": 10302}
 
 
@@ -355,8 +368,8 @@ def silver_capacity(t):
     ).agg(F.max("o_totalprice").alias("value"))
 
 
-@query("gold_capacity_monthly", """
-    SELECT strftime(o_orderdate, '%Y-%m') AS year_month,
+SQL_CAPACITY = """
+    capacity AS (SELECT strftime(o_orderdate, '%Y-%m') AS year_month,
            date_trunc('month', o_orderdate) AS gold_month_timestamp,
            concat('AUTONOMOUS_COMMUNITY|', r_regionkey) AS geography_key,
            CAST(r_regionkey AS VARCHAR) AS autonomous_community_code, r_name AS autonomous_community_name,
@@ -366,11 +379,17 @@ def silver_capacity(t):
            max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS renewable_total_installed_capacity_mw,
            CAST(NULL AS DOUBLE) AS nuclear_installed_capacity_mw
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
-def gold_capacity_monthly(t):
+    JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)"""
+
+
+def capacity_fact(t):
     communities = province_master(t).select("autonomous_community_code", "autonomous_community_name")
-    fact = gold.fact_installed_capacity_monthly(silver_capacity(t), communities, created_at=_CREATED)
-    return fact.select(
+    return gold.fact_installed_capacity_monthly(silver_capacity(t), communities, created_at=_CREATED)
+
+
+@query("gold_capacity_monthly", f"WITH {SQL_CAPACITY} SELECT * FROM capacity")
+def gold_capacity_monthly(t):
+    return capacity_fact(t).select(
         "year_month", "gold_month_timestamp", "geography_key", "autonomous_community_code",
         "autonomous_community_name", "esios_geo_id", "hydraulic_installed_capacity_mw",
         "wind_installed_capacity_mw", "renewable_total_installed_capacity_mw",
@@ -456,8 +475,7 @@ _COUNTRY_15_ROUNDED = [
     *[f"{name}_energy_mwh_15min" for name in _POWER_COLUMNS.values()]]
 
 
-@query("fact_country_15min", f"""
-    WITH {SQL_LOCATED}, {_SQL_POWER},
+SQL_COUNTRY_15 = f"""{SQL_LOCATED}, {_SQL_POWER},
     province AS (SELECT province_code, time_bucket(INTERVAL '15 minutes', ts) AS slot,
             avg(CASE WHEN event_type = 'purchase' THEN value END) AS t,
             avg(CASE WHEN event_type = 'signup' THEN value END) AS h, avg(value) AS v,
@@ -465,13 +483,19 @@ _COUNTRY_15_ROUNDED = [
     weather AS (SELECT 'COUNTRY|ES' AS geography_key, slot, avg(t) AS t, avg(h) AS h, avg(v) AS v,
             {sql_circular('d')} AS d FROM province GROUP BY ALL),
     energy AS (SELECT geography_key, time_bucket(INTERVAL '15 minutes', tick) AS slot, {_SQL_ENERGY_15}
-               FROM power GROUP BY ALL)
-    SELECT slot AS gold_timestamp, geography_key,
+               FROM power GROUP BY ALL),
+    quarter AS (SELECT slot AS gold_timestamp, geography_key,
            CASE WHEN geography_key = 'COUNTRY|ES' THEN 'COUNTRY' ELSE 'PENINSULA' END AS geography_level,
-           {sql_r4('t')} AS temperature, {sql_r4('h')} AS humidity, {sql_r4('v')} AS wind_speed_80m,
-           {sql_angle4('d')} AS wind_direction_120m,
-           {', '.join(f"{sql_r4(name)} AS {name}_energy_mwh_15min" for name in _POWER_COLUMNS.values())}
-    FROM weather FULL JOIN energy USING (geography_key, slot)""")
+           t AS temperature, h AS humidity, v AS wind_speed_80m, d AS wind_direction_120m,
+           {', '.join(f"{name} AS {name}_energy_mwh_15min" for name in _POWER_COLUMNS.values())}
+    FROM weather FULL JOIN energy USING (geography_key, slot))"""
+
+
+@query("fact_country_15min", f"""
+    WITH {SQL_COUNTRY_15}
+    SELECT gold_timestamp, geography_key, geography_level,
+           {', '.join(f"{sql_r4(name)} AS {name}" for name in _COUNTRY_15_ROUNDED)},
+           {sql_angle4('wind_direction_120m')} AS wind_direction_120m FROM quarter""")
 def fact_country_15min(t):
     fact = country_15min(t).select(
         "gold_timestamp", "geography_key", "geography_level",

@@ -26,7 +26,7 @@ def _hourly(t):
         F.avg(F.when(F.col("event_type") == "view", F.col("value"))).alias("y"))
 
 
-def _sql_pearson(x, y):
+def sql_pearson(x, y):
     """Correlation over complete pairs; NULL unless both sides vary."""
     varies = " AND ".join(
         f"min({side}) FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL) < "
@@ -36,7 +36,7 @@ def _sql_pearson(x, y):
 
 def _sql_corr(by):
     return f"""SELECT {by} AS place, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS n_pairs,
-        {sql_r4(_sql_pearson('x', 'y'))} AS correlation FROM hourly GROUP BY ALL"""
+        {sql_r4(sql_pearson('x', 'y'))} AS correlation FROM hourly GROUP BY ALL"""
 
 
 # every offset of every place is listed, also without a pair
@@ -45,7 +45,7 @@ _SQL_SCAN = f"""{_SQL_HOURLY},
     shifted AS (SELECT offset_hours, place, hour + to_hours(offset_hours) AS hour, x FROM hourly, offsets),
     scan AS (SELECT s.offset_hours, s.place,
                     count(*) FILTER (WHERE s.x IS NOT NULL AND h.y IS NOT NULL) AS n_pairs,
-                    {_sql_pearson('s.x', 'h.y')} AS c
+                    {sql_pearson('s.x', 'h.y')} AS c
              FROM shifted s LEFT JOIN hourly h ON s.place = h.place AND s.hour = h.hour GROUP BY ALL)"""
 
 
