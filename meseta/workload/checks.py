@@ -182,7 +182,7 @@ def month_check(t):
 
 
 @query("sign_check", _verdict(
-    "sign", "events", "ERROR", "count(*)", _bad("event_type = 'error'"), "events"))
+    "sign", "events", "ERROR", "count(*)", _bad("event_type = 'error' AND value <> 0"), "events"))
 def sign_check(t):
     flipped = F.when(F.col("event_type") == "error", -F.col("value")).otherwise(F.col("value"))
     return quality.row_checks(t.events, "events", {
@@ -234,11 +234,11 @@ def provenance_check(t):
 
 @query("energy_integrity", f"""
     WITH rolled AS (SELECT event_type, time_bucket(INTERVAL '15 minutes', ts) AS slot,
-                           count(value) >= 3 AS complete FROM events GROUP BY ALL)
+                           count(value) >= 3 AND sum(value) > 1e-6 AS complete FROM events GROUP BY ALL)
     {_verdict('rolled_energy', 'events', 'ERROR', 'count(*)',
               _bad("complete AND event_type = 'view'"), 'rolled')}
     UNION ALL
-    {_verdict('interval_energy', 'events', 'ERROR', 'count(*)', _bad("event_type = 'view'"), 'events')}""")
+    {_verdict('interval_energy', 'events', 'ERROR', 'count(*)', _bad("event_type = 'view' AND value - value / 12 > 1e-6"), 'events')}""")
 def energy_integrity(t):
     def rolled(df):
         return aggregate.energy_rollup(df, ["event_type"], "ts", {"energy": F.col("value")}, out="slot")
