@@ -65,9 +65,15 @@ def main() -> None:
     import __spark_entry__ as driver
     from meseta.session import build_session
 
-    folder, wanted = sys.argv[1], sys.argv[2:]
-    spark = build_session("oracle", spark__master="local[8]", spark__sql__shuffle__partitions="8",
-                          spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
+    plain, (folder, *wanted) = "--plain" in sys.argv, [a for a in sys.argv[1:] if a != "--plain"]
+    if plain:  # a session with Spark's own defaults
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        spark = build_session("oracle", spark__master="local[8]", spark__sql__shuffle__partitions="8",
+                              spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+                              spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
     oracles = driver.oracle_sql()
