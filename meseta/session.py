@@ -17,6 +17,11 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # streaming state on local disk with remote checkpoints, not on the heap
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         # no Python call-site capture per expression; wide facts build hundreds of them
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -176,3 +176,11 @@ def test_dim_geography(spark, provinces):
         "AUTONOMOUS_COMMUNITY|13": (None, "ES", 8), "AUTONOMOUS_COMMUNITY|09": (None, "ES", None),
         "COUNTRY|ES": (None, "ES", 3), "PENINSULA|PENINSULA": (None, None, 8741)}
     assert set(catalog.GEOGRAPHY_LEVELS) == {r["geography_level"] for r in dim.collect()}
+
+
+def test_excluded_indicators_have_no_metric():
+    mapped = {*catalog.HOURLY_METRICS, *catalog.CAPACITY_METRICS, *catalog.NATIONAL_SERIES}
+    assert not mapped & catalog.EXCLUDED_FROM_GOLD
+    configured = {
+        *catalog.HOURLY_ENERGY_DATASETS, *catalog.FIVE_MINUTE_POWER_DATASETS, *catalog.MONTHLY_CAPACITY_DATASETS}
+    assert configured == mapped | catalog.EXCLUDED_FROM_GOLD and len(configured) == 35
