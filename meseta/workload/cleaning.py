@@ -38,11 +38,18 @@ def dedup_latest(t):
     return clean.latest_by_key(rows, ["user_id", "event_type", "day"], ["ts", "event_id"])
 
 
+def _places(t):
+    """Nation and region of every customer: the masters as repeated deliveries."""
+    return t.customer.select("c_nationkey").join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey")
+    ).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+
+
 @query("dedup_master", """
     SELECT DISTINCT r.r_regionkey AS community_code, r.r_name AS community_name
-    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
+    FROM customer JOIN nation n ON c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def dedup_master(t):
-    pairs = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    pairs = _places(t).select(
         F.col("r_regionkey").alias("community_code"), F.col("r_name").alias("community_name"))
     return clean.distinct_by_key(pairs, ["community_code"])
 
@@ -384,16 +391,17 @@ def silver_weather_15min(t):
 
 
 @query("silver_provinces", """
-    SELECT CAST(n_nationkey AS VARCHAR) AS province_code, n_name AS province_name,
+    SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS province_code, n_name AS province_name,
            CAST(r_regionkey AS VARCHAR) AS autonomous_community_code, r_name AS autonomous_community_name,
            concat('Capital of ', n_name) AS capital_name, 'cnig' AS source
-    FROM nation JOIN region ON n_regionkey = r_regionkey""")
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def silver_provinces(t):
-    return silver.provinces(_provinces_csv(t)).drop("ingestion_timestamp")
+    return silver.provinces(provinces_csv(t)).drop("ingestion_timestamp")
 
 
-def _provinces_csv(t):
-    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+def provinces_csv(t):
+    """The province snapshot, one delivery per customer."""
+    return _places(t).select(
         F.col("n_nationkey").cast("string").alias("COD_PROV"), F.col("n_name").alias("PROVINCIA"),
         F.col("r_regionkey").cast("string").alias("COD_CA"),
         F.col("r_name").alias("COMUNIDAD_AUTONOMA"),
@@ -403,9 +411,9 @@ def _provinces_csv(t):
 @query("silver_communities", """
     SELECT DISTINCT CAST(r_regionkey AS VARCHAR) AS autonomous_community_code,
            r_name AS autonomous_community_name, 'cnig' AS source
-    FROM nation JOIN region ON n_regionkey = r_regionkey""")
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def silver_communities(t):
-    built = silver.autonomous_communities(silver.provinces(_provinces_csv(t)))
+    built = silver.autonomous_communities(silver.provinces(provinces_csv(t)))
     return built.drop("ingestion_timestamp")
 
 
@@ -461,12 +469,12 @@ def landing_text(t):
 
 
 @query("landing_csv", """
-    SELECT CAST(n_nationkey AS VARCHAR) AS province_code, concat('Ávila y León ', n_name) AS province_name,
+    SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS province_code, concat('Ávila y León ', n_name) AS province_name,
            TIMESTAMP '2024-02-01 06:30:00.123456' AS ingestion_timestamp
-    FROM nation""")
+    FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def landing_csv(t):
     root = scratch_path(t.spark, "landing")
-    rows = _provinces_csv(t).withColumn("PROVINCIA", F.concat(F.lit("Ávila y León "), "PROVINCIA"))
+    rows = provinces_csv(t).withColumn("PROVINCIA", F.concat(F.lit("Ávila y León "), "PROVINCIA"))
     # the snapshot's file name cannot be chosen on write; its folder carries the stamp
     folder = f"{root}/cnig/provinces"
     rows.write.options(header=True, sep=";", encoding="iso-8859-1").csv(folder)

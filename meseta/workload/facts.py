@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from meseta import catalog
 from meseta.functions import calendar_parts, fallback, floor_grain, shift_hours, surrogate_key
 from meseta.operators import aggregate, geo, joins, quality
-from meseta.plans import gold
+from meseta.plans import gold, silver
+from meseta.workload.cleaning import provinces_csv
 from meseta.workload.derived import (
     direction,
     SQL_LOCATED,
@@ -83,15 +84,17 @@ def station_to_province(t):
 
 
 @query("functional_dependency", """
-    SELECT 'n_nationkey_to_n_name' AS "check", 'nation' AS "table", 'ERROR' AS severity,
+    SELECT 'n_nationkey_to_n_name' AS "check", 'customer' AS "table", 'ERROR' AS severity,
            count(*) AS n_total, count(*) FILTER (WHERE k > 1) AS n_bad
-    FROM (SELECT n_nationkey, count(DISTINCT n_name) AS k FROM nation GROUP BY 1)
+    FROM (SELECT n_nationkey, count(DISTINCT n_name) AS k FROM customer
+          JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
     UNION ALL
     SELECT 'o_orderstatus_to_o_orderpriority', 'orders', 'ERROR', count(*),
            count(*) FILTER (WHERE k > 1)
     FROM (SELECT o_orderstatus, count(DISTINCT o_orderpriority) AS k FROM orders GROUP BY 1)""")
 def functional_dependency(t):
-    return quality.functional_dependency(t.nation, "n_nationkey", "n_name", "nation").unionByName(
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return quality.functional_dependency(named, "n_nationkey", "n_name", "customer").unionByName(
         quality.functional_dependency(t.orders, "o_orderstatus", "o_orderpriority", "orders"))
 
 
@@ -566,10 +569,11 @@ def order_calendar(t):
         "o_orderkey", *[column.alias(name) for name, column in parts.items()], key.alias("order_key"))
 
 
-def geography_dimension(t):
-    master = province_master(t)
-    communities = master.select("autonomous_community_code", "autonomous_community_name").distinct()
-    return gold.dim_geography(master, communities, created_at=_CREATED)
+def geography_dimension(t, esios_ids=None):
+    """Dimension over the province master as the customers deliver it."""
+    master = silver.provinces(provinces_csv(t))
+    return gold.dim_geography(
+        master, silver.autonomous_communities(master), created_at=_CREATED, esios_ids=esios_ids)
 
 
 SQL_DIM_GEOGRAPHY = """
@@ -579,20 +583,26 @@ SQL_DIM_GEOGRAPHY = """
            CAST(r_regionkey AS VARCHAR) AS autonomous_community_code, r_name AS autonomous_community_name,
            'ES' AS country_code, 'Spain' AS country_name, CAST(NULL AS BIGINT) AS esios_geo_id
     FROM nation JOIN region ON n_regionkey = r_regionkey
+    WHERE n_nationkey IN (SELECT c_nationkey FROM customer)
     UNION ALL
     SELECT DISTINCT concat('AUTONOMOUS_COMMUNITY|', r_regionkey), 'AUTONOMOUS_COMMUNITY',
            CAST(r_regionkey AS VARCHAR), r_name, NULL, NULL, CAST(r_regionkey AS VARCHAR), r_name,
            'ES', 'Spain', CAST(NULL AS BIGINT)
     FROM nation JOIN region ON n_regionkey = r_regionkey
+    WHERE n_nationkey IN (SELECT c_nationkey FROM customer)
     UNION ALL
     SELECT 'COUNTRY|ES', 'COUNTRY', 'ES', 'Spain', NULL, NULL, NULL, NULL, 'ES', 'Spain', 3
     UNION ALL
     SELECT 'PENINSULA|PENINSULA', 'PENINSULA', 'PENINSULA', 'Peninsula', NULL, NULL, NULL, NULL, NULL, NULL, 8741"""
 
 
-@query("dim_geography", SQL_DIM_GEOGRAPHY)
+@query("dim_geography", f"""
+    WITH {SQL_CAPACITY.strip()}, seen AS (SELECT DISTINCT geography_key, esios_geo_id AS id FROM capacity)
+    SELECT d.* REPLACE (coalesce(d.esios_geo_id, seen.id) AS esios_geo_id)
+    FROM ({SQL_DIM_GEOGRAPHY}) d LEFT JOIN seen ON d.geography_key = seen.geography_key""")
 def dim_geography(t):
-    return geography_dimension(t).drop("gold_created_at")
+    """Communities carry the source id seen with their capacity; other members none."""
+    return geography_dimension(t, capacity_fact(t)).drop("gold_created_at")
 
 
 @query("dim_reference", f"""
