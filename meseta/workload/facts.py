@@ -22,7 +22,6 @@ from meseta.workload.derived import (
 from meseta.workload.registry import (
     angle4,
     query,
-    r4,
     rounded,
     sql_angle4,
     sql_circular,

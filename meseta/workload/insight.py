@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meseta.functions import floor_grain
 from meseta.operators import analytics, radiation, ranges
 from meseta.workload import facts
-from meseta.workload.derived import direction, SQL_LOCATED, province_master
-from meseta.workload.registry import query, r4, rounded, sql_r4
+from meseta.workload.derived import SQL_LOCATED, direction, province_master
+from meseta.workload.registry import query, rounded, sql_r4
 
 _SQL_HOURLY = f"""
     WITH {SQL_LOCATED}, hourly AS (
