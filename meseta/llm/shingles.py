@@ -31,7 +31,7 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     if not n:
         return words
     if n < size:
-        return mixed(np.array([(words * _PLACES[:n]).sum() + _PLACES[5] * _U64(n)], _U64))
+        return mixed((words * _PLACES[:n]).sum(keepdims=True) + _PLACES[5:] * np.array([n], _U64))
     total = words[:n - size + 1] * _PLACES[0]
     for place in range(1, size):
         total = total + words[place:n - size + 1 + place] * _PLACES[place]
