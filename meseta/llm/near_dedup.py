@@ -46,11 +46,14 @@ def _minima(hashes: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> np
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc, n_shingles, class (hash of the whole set, null for no shingles), minima (binary)."""
+    """doc, sum, n_shingles, class (hash of the whole set, null for no shingles), minima (binary).
+
+    ``sum`` is a checksum of the text; with the id it finds the row again.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sign(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts = batch.column(1).to_pylist()
+        texts = batch.column("body").to_pylist()
         for first, end in slices(np.array([len(text) for text in texts]), 400_000):
             hashes = [shingle_hashes(word_hashes(text)) for text in texts[first:end]]
             sets = [np.unique(h) for h in hashes]
@@ -62,12 +65,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS,
                 for k, row in zip(filled, found):
                     minima[k] = row.tobytes()
             yield {
-                "doc": batch.column(0).slice(first, end - first), "n_shingles": [len(s) for s in sets],
+                "doc": batch.column("doc").slice(first, end - first),
+                "sum": batch.column("sum").slice(first, end - first), "n_shingles": [len(s) for s in sets],
                 "class": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], "minima": minima}
 
     return arrow_map(
-        docs.select(id_col, utf8(text_col).alias("body")), sign,
-        f"doc {kind}, n_shingles long, class binary, minima binary")
+        docs.select(F.col(id_col).alias("doc"), F.crc32(utf8(text_col)).alias("sum"), utf8(text_col).alias("body")),
+        sign, f"doc {kind}, sum long, n_shingles long, class binary, minima binary")
 
 
 def _agreeing(a: pa.Array, b: pa.Array, width: int) -> np.ndarray:
@@ -176,7 +180,7 @@ def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
     bands: int = BANDS, rows: int = ROWS, agree: int = AGREE, block: int = BLOCK,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``id_col``, n_shingles, component_id, kept.
+    """One row per row of ``docs``: ``id_col``, n_shingles, component_id, kept, text_sum.
 
     Null and empty texts have no shingles and are linked with nothing, so each is its
     own component. ``component_id`` is the smallest id of the component; rows that
@@ -218,13 +222,36 @@ def near_dedup(
     named = stage(named, "named")
     least = stage(named.groupBy("label").agg(F.min("doc").alias("component")), "least")
     of_class = stage(named.join(least, "label").select("class", "component"), "component-of")
-    found = signed.where("class IS NOT NULL").join(of_class, "class").select("doc", "n_shingles", "component")
-    alone = signed.where("class IS NULL").select("doc", "n_shingles", F.col("doc").alias("component"))
+    found = signed.where("class IS NOT NULL").join(of_class, "class").select("doc", "sum", "n_shingles", "component")
+    alone = signed.where("class IS NULL").select(
+        "doc", "sum", "n_shingles", F.col("doc").alias("component"))
     return found.unionByName(alone).select(
         F.col("doc").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
-        F.col("doc").eqNullSafe(F.col("component")).alias("kept"))
+        F.col("doc").eqNullSafe(F.col("component")).alias("kept"), F.col("sum").alias("text_sum"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents whose id names their component, with all their columns.
+
+    Should documents of one component share that id, the one with the least checksum
+    stays; repeated rows come out once.
+    """
+    result = near_dedup(docs, id_col, text_col, **options)
+    stays = result.where("kept").groupBy(F.col(id_col).alias("__id"), (F.col("n_shingles") == 0).alias("bare")).agg(
+        F.min("text_sum").alias("__sum"), F.count("*").alias("n")).drop("bare")
+    stays = stage(stays, "stays")
+
+    def staying(which: DataFrame) -> DataFrame:
+        keyed = docs.withColumn("__key", F.crc32(utf8(text_col)))
+        same = keyed[id_col].eqNullSafe(which["__id"]) & (keyed["__key"] == which["__sum"])
+        return keyed.join(which, same, "left_semi")
+
+    kept, several = staying(stays.where("n = 1")), stays.where("n > 1")
+    if not several.isEmpty():
+        kept = kept.unionByName(staying(several).dropDuplicates([id_col, "__key"]))
+    return kept.drop("__key")
 
 
 @query("op8_near_dedup")
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup(table(spark, folder, "documents"))
+    return near_dedup(table(spark, folder, "documents")).drop("text_sum")
