@@ -1,0 +1,170 @@
+"""Secret scans: fixed patterns, and a character network over every other candidate."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meseta.llm.char_cnn import WIDTH, CharCNN, codes, fit, platt, recall_threshold
+from meseta.llm.common import arrow_map
+from meseta.llm.registry import query, table
+
+SAMPLE_DOCUMENTS = 30_000
+"""Documents whose candidates the network is fitted on, at most; chosen by a hash of the id."""
+SAMPLE_CANDIDATES = 3_000
+"""Candidates of each label, at most."""
+RECALL = 0.98
+"""Share of labelled findings that the threshold must find among rows held out from fitting."""
+BEFORE = 24
+"""Characters of context in front of a candidate."""
+
+# Fixed values
+KINDS = ("assign", "access", "hex")
+_ASSIGN = re.compile(
+    r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
+_ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+_HEX = re.compile(r"[0-9a-f]{16,}")
+
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=@:~-]{16,}")
+_TELLING = re.compile(r"[0-9]|[a-z][A-Z]|[A-Z][a-z]+[A-Z]")
+
+Span = tuple[str, int, int]
+
+
+def base_spans(text: str) -> list[Span]:
+    """(kind, start, end) in code points, by start and then kind."""
+    found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[1]) >= 12]
+    found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
+    found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
+    return sorted(found, key=lambda span: (span[1], KINDS.index(span[0])))
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Runs of 16 or more characters of keys, with a digit or letters of mixed case."""
+    return [m.span() for m in _CANDIDATE.finditer(text) if _TELLING.search(m[0])]
+
+
+def windows(text: str, start: int, end: int) -> list[str]:
+    """The candidate with the context before it, in as many windows as its length needs."""
+    step = WIDTH - BEFORE
+    return [text[max(at - BEFORE, 0):at].rjust(BEFORE, "\0") + text[at:at + step] for at in range(start, end, step)]
+
+
+def joined(spans: list[Span]) -> str:
+    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+
+
+@dataclass
+class SecretModel:
+    """A network with its calibration and threshold."""
+
+    network: CharCNN
+    slope: float
+    offset: float
+    threshold: float
+
+    def scores(self, found: list[list[str]]) -> np.ndarray:
+        """Probability of each candidate, the highest of its windows."""
+        if not found:
+            return np.zeros(0)
+        counts = np.array([len(w) for w in found])
+        logits = self.network.logits(codes([one for w in found for one in w]))
+        best = np.maximum.reduceat(logits, np.cumsum(counts) - counts)
+        return 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -30, 30)))
+
+
+def _overlaps(spans: list[Span], start: int, end: int) -> bool:
+    return any(s < end and start < e for _, s, e in spans)
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> SecretModel | None:
+    """A model of the findings of the fixed patterns; None where the sample holds too few.
+
+    Candidates that overlap a finding are positive, the others negative. A third is held
+    out from fitting and sets calibration and threshold.
+    """
+    ids = docs.select(F.col(id_col).alias("doc")).where("doc IS NOT NULL").distinct().orderBy(
+        F.xxhash64("doc")).limit(SAMPLE_DOCUMENTS)
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body")).join(
+        F.broadcast(ids), "doc", "left_semi")  # at most SAMPLE_DOCUMENTS ids
+
+    def label(batch: pa.RecordBatch) -> Iterator[dict]:
+        rows: list[tuple] = []
+        for text in batch.column("body").to_pylist():
+            base = base_spans(text or "")
+            for start, end in candidates(text or ""):
+                rows += [(window, int(_overlaps(base, start, end))) for window in windows(text, start, end)[:1]]
+        yield {"window": [r[0] for r in rows], "label": [r[1] for r in rows]}
+
+    rows = arrow_map(texts, label, "window string, label int").distinct()
+    chosen = [
+        row for value in (0, 1)
+        for row in rows.where(F.col("label") == value).orderBy(F.xxhash64("window"), "window").limit(
+            SAMPLE_CANDIDATES).collect()]
+    labels = np.array([row["label"] for row in chosen], np.float32)
+    if labels.sum() < 20 or (1 - labels).sum() < 20:
+        return None
+    x = codes([row["window"] for row in chosen])
+    apart = np.random.default_rng(2).random(len(x)) < 1 / 3
+    network = fit(x[~apart], labels[~apart])
+    logits = network.logits(x[apart])
+    slope, offset = platt(logits, labels[apart])
+    scores = 1 / (1 + np.exp(-np.clip(slope * logits + offset, -30, 30)))
+    return SecretModel(network, slope, offset, recall_threshold(scores, labels[apart], recall))
+
+
+def scan(
+    docs: DataFrame, model: SecretModel | None, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One row per row of ``docs``: ``id_col``, the counts, base and all spans; a null text counts as empty.
+
+    The network judges every candidate that no base span overlaps; kind ``learned``
+    marks what it adds. Base spans always stay.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def find(batch: pa.RecordBatch) -> Iterator[dict]:
+        texts = [text or "" for text in batch.column(1).to_pylist()]
+        base = [base_spans(text) for text in texts]
+        added: list[list[Span]] = [[] for _ in texts]
+        if model is not None:
+            asked: list[tuple[int, int, int]] = []
+            found: list[list[str]] = []
+
+            def judge() -> None:
+                for (row, start, end), score in zip(asked, model.scores(found)):
+                    if score >= model.threshold:
+                        added[row].append(("learned", start, end))
+                asked.clear()
+                found.clear()
+
+            for row, text in enumerate(texts):
+                for start, end in candidates(text):
+                    if not _overlaps(base[row], start, end):
+                        asked.append((row, start, end))
+                        found.append(windows(text, start, end))
+                        if len(asked) >= 2000:
+                            judge()
+            judge()
+        order = {name: k for k, name in enumerate((*KINDS, "learned"))}
+        everything = [sorted(b + a, key=lambda span: (span[1], order[span[0]])) for b, a in zip(base, added)]
+        counts = {f"n_{k}": [sum(span[0] == k for span in b) for b in base] for k in KINDS}
+        yield {"doc": batch.column(0), **counts, "base": [joined(b) for b in base], "spans": [joined(e) for e in everything]}
+
+    return arrow_map(
+        docs.select(id_col, text_col), find,
+        f"doc {kind}, n_assign long, n_access long, n_hex long, base string, spans string",
+    ).withColumnRenamed("doc", id_col)
+
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return scan(docs, train(docs)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
