@@ -1,5 +1,5 @@
 """All queries of this package; importing it registers them."""
 
 from meseta.llm import (  # noqa: F401
-    chat, exact_dedup, mixing, near_dedup, packing, quality_model, quality_rules, repeats, secrets, tokens)
+    chat, exact_dedup, mixing, near_dedup, packing, quality_model, quality_rules, repeats, secret_scan, tokens)
 from meseta.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from fixture import WORD, documents, ordered, texts
 
-from meseta.llm import char_cnn, decision_list, quality_model, quality_rules, secrets
+from meseta.llm import char_cnn, decision_list, quality_model, quality_rules, secret_scan
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -115,31 +115,31 @@ def test_covering_finds_a_conjunction_and_its_expression(spark):
 
 def test_base_spans():
     text = 'Token= "abc/def+ghi=jkl" ſecret=abcdefghijklmn é AKIAABCDEFGHIJKLMN0 deadbeefdeadbeef00 token=x'
-    spans = secrets.base_spans(text)
+    spans = secret_scan.base_spans(text)
     assert [s[0] for s in spans] == ["assign", "access", "hex"]
     assert [text[a:b] for _, a, b in spans][1:] == ["AKIAABCDEFGHIJKLMN0", "deadbeefdeadbeef00"]
     # a match that is too short is dropped together with what it covered
-    assert secrets.base_spans("secret:token:abcdefghijkl1") == []
+    assert secret_scan.base_spans("secret:token:abcdefghijkl1") == []
 
 
 def test_secret_scan(spark, tables):
-    model = secrets.train(tables[0].unionByName(tables[0]))
-    found = {row["doc_id"]: row for row in secrets.scan(documents(spark), model).collect()}
+    model = secret_scan.train(tables[0].unionByName(tables[0]))
+    found = {row["doc_id"]: row for row in secret_scan.scan(documents(spark), model).collect()}
     assert (found[23]["n_assign"], found[23]["n_access"], found[23]["n_hex"]) == (2, 1, 1)
     for doc, text, _ in texts():
         if doc is not None:
-            base = secrets.base_spans(text or "")
-            assert found[doc]["base"] == secrets.joined(base)
+            base = secret_scan.base_spans(text or "")
+            assert found[doc]["base"] == secret_scan.joined(base)
             assert set(found[doc]["spans"].split(",")) >= set(found[doc]["base"].split(","))
-    assert secrets.train(tables[0].limit(0)) is None
-    assert secrets.scan(documents(spark).limit(0), None).count() == 0
+    assert secret_scan.train(tables[0].limit(0)) is None
+    assert secret_scan.scan(documents(spark).limit(0), None).count() == 0
 
 
 def test_query_hashes_the_base_spans(spark):
-    rows = secrets.op2_secret_scan(spark, "/root/testdata/sf0.001").limit(50).collect()
+    rows = secret_scan.op2_secret_scan(spark, "/root/testdata/sf0.001").limit(50).collect()
     texts_ = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     for row in rows:
-        base = secrets.joined(secrets.base_spans(texts_[row["doc_id"]]))
+        base = secret_scan.joined(secret_scan.base_spans(texts_[row["doc_id"]]))
         assert row["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
 
 
