@@ -8,7 +8,14 @@ from meseta.functions.measures import (
     power_to_energy,
     sector,
 )
-from meseta.functions.text import blank_to_null, decimal_comma, parse_double, plain_name, surrogate_key
+from meseta.functions.text import (
+    blank_to_null,
+    decimal_comma,
+    parse_double,
+    plain_name,
+    surrogate_key,
+    windows_1252,
+)
 from meseta.functions.time import (
     calendar_parts,
     civil_month,
@@ -45,4 +52,5 @@ __all__ = [
     "shift_hours",
     "solar_clock",
     "surrogate_key",
+    "windows_1252",
 ]

@@ -23,6 +23,17 @@ def _accent_table() -> tuple[str, str]:
 _COMPOSED, _PLAIN = _accent_table()
 
 
+# Bytes 0x80 to 0x9F that Windows-1252 defines; the others of the range have no character.
+_WINDOWS_1252 = {
+    chr(byte): bytes([byte]).decode("cp1252") for byte in range(0x80, 0xA0)
+    if byte not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def windows_1252(text: Column) -> Column:
+    """Text that was decoded as Latin-1, as Windows-1252 means it."""
+    return F.translate(text, "".join(_WINDOWS_1252), "".join(_WINDOWS_1252.values()))
+
+
 def blank_to_null(text: Column) -> Column:
     """Trimmed text, or NULL when nothing is left."""
     return F.nullif(F.trim(text), F.lit(""))

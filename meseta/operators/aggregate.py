@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,17 +52,17 @@ def pivot_metrics(
     ]
     if not strict:
         return wanted.groupBy(*keys).agg(*metrics)
-    wide = wanted.groupBy(*keys).agg(*metrics, F.count(value).alias("_values"))
-    filled = reduce(
-        lambda a, b: a + b, [F.col(name).isNotNull().cast("int") for name in mapping.values()]
-    )
-    first = next(iter(mapping.values()))
-    kind = dict(wide.dtypes)[first]
-    guarded = F.when(
-        F.col("_values") > filled,
-        F.raise_error(F.lit("Several values for one metric and key")).cast(kind),
-    ).otherwise(F.col(first))
-    return wide.withColumn(first, guarded).drop("_values")
+    counts = [
+        F.count(F.when(F.col(indicator) == key, F.col(value))).alias(f"_n_{i}") for i, key in enumerate(mapping)]
+    wide = wanted.groupBy(*keys).agg(*metrics, *counts)
+    # on every metric: a reader that takes one column only must meet the guard as well
+    kinds = dict(wide.dtypes)
+    return wide.withColumns({
+        name: F.when(
+            F.col(f"_n_{i}") > 1, F.raise_error(F.lit("Several values for one metric and key")).cast(kinds[name]),
+        ).otherwise(F.col(name))
+        for i, name in enumerate(mapping.values())
+    }).drop(*[f"_n_{i}" for i in range(len(mapping))])
 
 
 def energy_rollup(
@@ -79,14 +78,23 @@ def energy_rollup(
 ) -> DataFrame:
     """Power samples to interval energy, summed to ``grain``.
 
-    Power itself is never summed. A metric with fewer than ``expected`` samples
-    in the interval stays NULL; signs are kept.
+    Power itself is never summed. A metric needs one sample in each of its
+    ``expected`` steps, otherwise the interval stays NULL; signs are kept. A step with
+    several samples stops the query: which of them counts isn't decided here.
     """
+    # two levels, so that a step is seen as a whole: samples of a step, steps of an interval
+    step = F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / (60 * step_minutes)) * (60 * step_minutes))
+    steps = df.groupBy(*keys, step.alias("_step")).agg(*[
+        F.struct(F.count(power).alias("n"), F.max(power).alias("power")).alias(name)
+        for name, power in powers.items()])
     energies = [
-        F.when(F.count(power) >= expected, F.sum(power_to_energy(power, step_minutes))).alias(name)
-        for name, power in powers.items()
+        F.when(F.count_if(F.col(name)["n"] > 1) > 0,
+               F.raise_error(F.lit(f"Several samples of {name} in one step")).cast("double"))
+        .when(F.count(F.col(name)["power"]) == expected, F.sum(power_to_energy(F.col(name)["power"], step_minutes)))
+        .alias(name)
+        for name in powers
     ]
-    return df.groupBy(*keys, floor_grain(F.col(ts), grain).alias(out)).agg(*energies)
+    return steps.groupBy(*keys, floor_grain(F.col("_step"), grain).alias(out)).agg(*energies)
 
 
 def period_sum(

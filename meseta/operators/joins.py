@@ -45,12 +45,12 @@ def merge_on_grain(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFra
     ]
     merged = stacked.groupBy(*keys).agg(*[F.max(m).alias(m) for m in metrics], *counts)
     repeated = reduce(lambda a, b: a | b, [F.col(f"_rows_{i}") > 1 for i in range(len(frames))])
-    first = keys[0]
-    kind = dict(merged.dtypes)[first]
-    guarded = F.when(
-        repeated, F.raise_error(F.lit(f"A frame repeats a key of {keys}")).cast(kind)
-    ).otherwise(F.col(first))
-    return merged.withColumn(first, guarded).select(*keys, *metrics)
+    # on every column, so that no selection of columns prunes the guard away
+    kinds = dict(merged.dtypes)
+    return merged.select(*[
+        F.when(repeated, F.raise_error(F.lit(f"A frame repeats a key of {keys}")).cast(kinds[name]))
+        .otherwise(F.col(name)).alias(name)
+        for name in (*keys, *metrics)])
 
 
 def dangling(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:

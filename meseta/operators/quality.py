@@ -73,8 +73,8 @@ def coordinate_checks(latitude: str, longitude: str) -> dict[str, tuple[str, Col
     }
 
 
-def dms_check(text: str) -> tuple[str, Column]:
-    return WARNING, F.col(text).isNotNull() & ~dms_is_valid(F.col(text))
+def dms_check(text: str, axis: str) -> tuple[str, Column]:
+    return WARNING, F.col(text).isNotNull() & ~dms_is_valid(F.col(text), axis)
 
 
 def class_purity(magnitude: str, time: str, wanted: tuple) -> tuple[str, Column]:
@@ -123,9 +123,9 @@ def wrong_interval_energy(power: str, energy: str, minutes: int, tolerance: floa
 
 
 def dim_time_checks(df: DataFrame, table: str = "gold_dim_time") -> DataFrame:
-    """Grain, ranges and the absence of an hour on months."""
+    """Grain, ranges, the absence of an hour on months, and one row per key."""
     monthly = F.col("time_grain") == "MONTH"
-    return row_checks(df, table, {
+    rows = row_checks(df, table, {
         "null_key": null_key(["time_key", "time_grain"]),
         "unknown_grain": (ERROR, ~F.col("time_grain").isin(*catalog.TIME_GRAINS)),
         "month_range": (ERROR, ~F.col("month").between(1, 12)),
@@ -134,10 +134,15 @@ def dim_time_checks(df: DataFrame, table: str = "gold_dim_time") -> DataFrame:
         "hour_on_month": (ERROR, monthly & F.col("hour").isNotNull()),
         "hour_missing": (ERROR, ~monthly & F.col("hour").isNull()),
     })
+    return rows.unionByName(duplicate_keys(df, ["time_key"], table))
 
 
 def dim_geography_checks(df: DataFrame, table: str = "gold_dim_geography") -> DataFrame:
-    """Levels and, through a self join, the province -> community -> country chain."""
+    """Levels, keys, and through a self join the province -> community -> country chain.
+
+    The country and the Peninsula are members of their own: neither takes the other's
+    code, and every community belongs to the country that is a member.
+    """
     level = F.col("geography_level")
     required = ["geography_key", "geography_level", "geography_code", "geography_name"]
     rows = row_checks(df, table, {
@@ -157,7 +162,22 @@ def dim_geography_checks(df: DataFrame, table: str = "gold_dim_geography") -> Da
     hierarchy = _verdict(
         _side_by_side(totals, orphans), "broken_hierarchy", table, ERROR, F.col("total"), F.col("bad")
     )
-    return rows.unionByName(hierarchy)
+    countries = df.filter(level == "COUNTRY").select("country_code")
+    stray = df.filter(level == "AUTONOMOUS_COMMUNITY").join(countries, "country_code", "left_anti").agg(
+        F.count(F.lit(1)).alias("bad"))
+    communities_total = communities.agg(F.count(F.lit(1)).alias("total"))
+    country_link = _verdict(
+        _side_by_side(communities_total, stray), "community_without_country", table, ERROR,
+        F.col("total"), F.col("bad"))
+    # one code names one member across the two national scopes
+    national = duplicate_keys(
+        df.filter(level.isin("COUNTRY", "PENINSULA")), ["geography_code"], table).withColumn(
+        "check", F.lit("scopes_share_code"))
+    parts = [
+        rows, hierarchy, country_link, national, duplicate_keys(df, ["geography_key"], table),
+        duplicate_keys(df, ["geography_level", "geography_code"], table).withColumn(
+            "check", F.lit("duplicate_level_and_code"))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Checks with a shuffle of their own -------------------------------------------
@@ -250,6 +270,14 @@ def lost_coverage(source: DataFrame, gold: DataFrame, by: Sequence[str], value:
     )
 
 
+def unplaced(counted: DataFrame, table: str) -> DataFrame:
+    """Observations, as ``n`` per station, whose station has no province: no province fact can hold them."""
+    lost = F.sum(F.when(F.col("province_code").isNull(), F.col("n")))
+    return counted.agg(
+        F.lit("unplaced_observation").alias("check"), F.lit(table).alias("table"), F.lit(WARNING).alias("severity"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"), F.coalesce(lost, F.lit(0)).alias("n_bad"))
+
+
 def changed_outside(before: DataFrame, after: DataFrame, outside: Column, table: str) -> DataFrame:
     """Rows outside a reprocessed range that appeared, vanished or changed.
 

@@ -11,17 +11,14 @@ from pyspark.sql import functions as F
 
 from meseta.operators.clean import any_null, in_window, latest_by_key
 from meseta.operators.guards import require_fields
-from meseta.session import stage
+from meseta.session import discard, stage
 from meseta.sources.tables import TRANSACTIONAL, PathStore, TableStore, provider_of, require_table
 
-# Partition values listed for pruning; beyond that a semi join selects the partitions.
-LISTED_PARTITIONS = 4_000
-
 
 @dataclass(frozen=True)
 class UpsertReport:
     source_rows: int
-    target_rows: int
+    merged_rows: int  # rows of the partitions written; all rows where the format merges in place
 
 
 def check_source(source: DataFrame, keys: Sequence[str], what: str) -> int:
@@ -40,12 +37,8 @@ def check_source(source: DataFrame, keys: Sequence[str], what: str) -> int:
 
 
 def _touched(current: DataFrame, source: DataFrame, partition: str) -> DataFrame:
-    """Target rows of the partitions the source writes to."""
-    values = source.select(partition).distinct()
-    listed = [row[0] for row in values.limit(LISTED_PARTITIONS + 1).collect()]
-    if len(listed) <= LISTED_PARTITIONS:
-        return current.filter(F.col(partition).isin(listed))
-    return current.join(values, partition, "left_semi")
+    """Target rows of the partitions the source writes to; Spark prunes the others from the scan."""
+    return current.join(source.select(partition).distinct(), partition, "left_semi")
 
 
 def merge_rows(
@@ -54,11 +47,14 @@ def merge_rows(
     """Target state after the upsert: matched keys replaced, others kept, new ones added.
 
     With ``newest_by`` the newer of the two rows wins, so a late delivery of old
-    data cannot overwrite a later value.
+    data cannot overwrite a later value. Where both are equally new the source wins:
+    a rebuild of the same deliveries replaces what is stored.
     """
     source = source.select(*current.columns)
     if newest_by:
-        return latest_by_key(current.unionByName(source), keys, newest_by)
+        sided = current.withColumn("_incoming", F.lit(False)).unionByName(
+            source.withColumn("_incoming", F.lit(True)))
+        return latest_by_key(sided, keys, [*newest_by, "_incoming"]).drop("_incoming")
     kept = current.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source)
 
@@ -70,13 +66,14 @@ def upsert(
     *,
     newest_by: Sequence[str] = (),
     staged: bool = False,
+    insert_only: bool = False,
 ) -> UpsertReport:
     """Upsert into plain files: only the partitions of the source are rewritten.
 
     The source is staged first (unless it already is), so that it is evaluated
     once and does not depend on the files being replaced. The partition value
     must follow from the key; otherwise a key could survive in its former
-    partition.
+    partition. With ``insert_only`` stored rows win over rows of the same key.
     """
     require_fields(source, keys, "upsert source")
     partition = store.partition_column
@@ -91,17 +88,20 @@ def upsert(
 
     if current is None:
         merged = staged_rows
-    elif partition:
-        merged = merge_rows(_touched(current, staged_rows, partition), staged_rows, keys, newest_by)
     else:
-        merged = merge_rows(current, staged_rows, keys, newest_by)
+        touched = _touched(current, staged_rows, partition) if partition else current
+        incoming = staged_rows.join(touched.select(*keys), list(keys), "left_anti") if insert_only else staged_rows
+        merged = merge_rows(touched, incoming, keys, newest_by)
     # even file sizes per partition, also when one partition is much larger
     merged = merged.hint("rebalance", *([partition] if partition else []))
+    written = rows
     if current is not None:
         merged = stage(merged, "upsert-merged")
+        written = merged.count()  # from file footers; the target itself is not counted
     if rows or current is None:
         store.replace(merged)
-    return UpsertReport(source_rows=rows, target_rows=store.read().count())
+    discard(*([merged] if current is not None else []), *([] if staged else [staged_rows]))
+    return UpsertReport(source_rows=rows, merged_rows=written)
 
 
 def upsert_table(
@@ -116,12 +116,13 @@ def upsert_table(
     rows_to_merge = source if staged else stage(source, "upsert-source")
     rows = check_source(rows_to_merge, keys, name)
     same_key = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
+    as_new = "".join(f" AND s.`{name}` >= t.`{name}`" for name in newest_by)
     rows_to_merge.select(*spark.table(name).columns).createOrReplaceTempView("upsert_source")
     spark.sql(
         f"MERGE INTO {name} t USING upsert_source s ON {same_key} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        f"WHEN MATCHED{as_new} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )
-    return UpsertReport(source_rows=rows, target_rows=spark.table(name).count())
+    return UpsertReport(source_rows=rows, merged_rows=rows)
 
 
 def backfill(

@@ -49,11 +49,16 @@ def weather_by_province_hour(
     current: DataFrame, stations: DataFrame, hourly: DataFrame, quarter_hourly: DataFrame
 ) -> dict[str, DataFrame]:
     """The weather inputs of the province fact, each already on its grain."""
-    by_station = attach_station_place(
-        current.select("station_id", "observation_timestamp", "ta", "hr", "prec"), stations,
-        ("province_code",),
-    )
-    aemet = staged_mean(_hour(_located(by_station)), [_PROVINCE_HOUR], ["ta", "hr", "prec"])
+    # sums and counts of a station's hour first: the place join then sees one row of each,
+    # however many observations a station has, and the mean is still that of all of them
+    measured = ("ta", "hr", "prec")
+    timed = _hour(current.filter(F.col("observation_timestamp").isNotNull()))
+    hours = timed.groupBy("station_id", "gold_timestamp").agg(*[
+        F.struct(F.sum(F.col(name).cast("double")).alias("sum"), F.count(name).alias("n")).alias(name)
+        for name in measured])
+    placed = attach_station_place(hours, stations, ("province_code",)).filter(F.col("province_code").isNotNull())
+    aemet = placed.groupBy(*_PROVINCE_HOUR).agg(*[
+        (F.sum(F.col(name)["sum"]) / F.sum(F.col(name)["n"])).alias(name) for name in measured])
     points = staged_mean(
         _hour(_located(hourly)), [_PROVINCE_HOUR],
         ["temperature_2m", "relative_humidity_2m", "precipitation", "shortwave_radiation",
@@ -220,20 +225,23 @@ def fact_country_15min(
 
     indicators = F.col("indicator_id").isin(*catalog.NATIONAL_SERIES)
     scoped = power.filter(indicators).select(
-        national_scope()["geography_key"].alias("geography_key"), "indicator_id", "value",
-        shift_hours(F.col("observation_timestamp"), shift).alias("_ts"),
-    ).filter(F.col("geography_key").isNotNull())
+        F.coalesce(
+            national_scope()["geography_key"], surrogate_key(F.lit("UNKNOWN"), F.col("esios_geo_id").cast("string")),
+        ).alias("geography_key"),
+        "indicator_id", "value", shift_hours(F.col("observation_timestamp"), shift).alias("_ts"),
+    )
     energy = energy_rollup(scoped, ["geography_key"], "_ts", {
         f"{stem}_energy_mwh_15min": F.when(F.col("indicator_id") == key, F.col("value"))
         for key, stem in catalog.NATIONAL_SERIES.items()
     })
 
     merged = merge_on_grain({"weather": weather, "energy": energy}, _SCOPE_TIME)
-    spain = F.col("geography_key") == SPAIN_KEY
+    # an id that is neither scope keeps its rows without a level, for the level check to report
+    spain, peninsula = F.col("geography_key") == SPAIN_KEY, F.col("geography_key") == PENINSULA_KEY
     fact = merged.select(
         "gold_timestamp", "geography_key",
-        F.when(spain, "COUNTRY").otherwise("PENINSULA").alias("geography_level"),
-        F.when(spain, "Spain").otherwise("Peninsula").alias("geography_name"),
+        F.when(spain, "COUNTRY").when(peninsula, "PENINSULA").alias("geography_level"),
+        F.when(spain, "Spain").when(peninsula, "Peninsula").alias("geography_name"),
         "temperature", "humidity", "precipitation",
         "wind_speed_80m", "wind_direction_80m", "wind_speed_120m", "wind_direction_120m",
         "solar_radiation", "direct_normal_irradiance",

@@ -12,6 +12,7 @@ from meseta import catalog
 from meseta.catalog import TableSpec
 from meseta.operators import quality
 from meseta.operators.clean import in_window
+from meseta.operators.geo import attach_station_place
 from meseta.operators.joins import new_members
 from meseta.operators.upsert import UpsertReport, upsert_table
 from meseta.plans import gold, silver
@@ -144,6 +145,41 @@ def gold_checks(facts: Mapping[str, DataFrame]) -> list[DataFrame]:
     return verdicts
 
 
+_PADDING = dt.timedelta(days=1)  # more than any alignment shift plus the longest sub-monthly grain
+
+
+def _silver_of_window(
+    tables: Mapping[str, DataFrame], window: tuple[dt.datetime, dt.datetime],
+) -> dict[str, DataFrame]:
+    """The instants that a Gold window can need, by physical partition as well, so that files are skipped."""
+    start, end = window[0] - _PADDING, window[1] + _PADDING
+    needed = {}
+    for name, frame in tables.items():
+        kind, column = catalog.SILVER_TABLES[name].partition or (None, None)
+        if column == "observation_timestamp" and kind in ("days", "months"):
+            form = "%Y-%m-%d" if kind == "days" else "%Y-%m"
+            part = catalog.SILVER_TABLES[name].partition_column
+            frame = in_window(frame, column, start, end)
+            if part in frame.columns:
+                value = F.col(part)
+                bounds = [start.date(), end.date()] if kind == "days" else [start.strftime(form), end.strftime(form)]
+                frame = frame.filter((value >= F.lit(bounds[0])) & (value <= F.lit(bounds[1])))
+        needed[name] = frame
+    return needed
+
+
+def placement_checks(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Observations without a province or instant, which no province fact can hold: counted, not lost in silence."""
+    unplaced = F.col("province_code").isNull() | F.col("observation_timestamp").isNull()
+    verdicts = [
+        quality.row_checks(tables[name], name, {"unplaced_observation": (quality.WARNING, unplaced & _scope(name))})
+        for name in ("silver_open_meteo_hourly", "silver_open_meteo_15min", "silver_esios_energy_hourly")]
+    current = attach_station_place(
+        tables["silver_aemet_current_observations"].groupBy("station_id").agg(F.count("*").alias("n")),
+        tables["silver_aemet_stations"], ("province_code",))
+    return [*verdicts, quality.unplaced(current, "silver_aemet_current_observations")]
+
+
 def load_gold(
     spark: SparkSession, namespace: str, *, created_at: dt.datetime, provider: str = "parquet",
     window: tuple[dt.datetime, dt.datetime] | None = None,
@@ -155,6 +191,8 @@ def load_gold(
     dimension receives the members it lacks.
     """
     tables = {name: spark.table(_qualified(namespace, name)) for name in catalog.SILVER_TABLES}
+    if window:
+        tables = _silver_of_window(tables, window)
     facts = build_gold(tables, created_at)
     if window:
         facts = {
@@ -165,31 +203,32 @@ def load_gold(
         }
     create_tables(spark, facts, namespace, provider)
     facts = _staged(facts)
-    quality.require_passed(gold_checks(facts))
-    reports = {
-        name: _write(spark, namespace, catalog.GOLD_TABLES[name], frame)
-        for name, frame in facts.items()
-    }
 
-    stored = {name: spark.table(_qualified(namespace, name)) for name in facts}
-    geography = gold.dim_geography(
+    # dimensions from the staged facts of this run; every control runs before the first write
+    capacity = facts["gold_fact_installed_capacity_monthly"]
+    geography = stage(gold.dim_geography(
         tables["silver_cnig_provinces"], tables["silver_cnig_autonomous_communities"],
-        created_at=created_at)
-    instants = gold.dim_time(
-        {_GRAIN_OF_FACT[name]: frame for name, frame in stored.items()}, created_at=created_at)
+        created_at=created_at,
+        esios_ids=capacity.select("geography_key", "esios_geo_id").filter(F.col("esios_geo_id").isNotNull()).distinct(),
+    ), "gold_dim_geography")
+    instants = stage(gold.dim_time(
+        {_GRAIN_OF_FACT[name]: frame for name, frame in facts.items()}, created_at=created_at), "gold_dim_time")
     new_geography = create_tables(spark, {"gold_dim_geography": geography}, namespace, provider)
     create_tables(spark, {"gold_dim_time": instants}, namespace, provider)
+    places = geography if new_geography else spark.table(_qualified(namespace, "gold_dim_geography"))
+    quality.require_passed([
+        *gold_checks(facts), *placement_checks(tables),
+        quality.dim_time_checks(instants), quality.dim_geography_checks(places),
+        *[quality.dangling_references(frame, places, ["geography_key"], name) for name, frame in facts.items()],
+    ])
+    reports = {}
     if new_geography:
         reports["gold_dim_geography"] = _write(
-            spark, namespace, catalog.GOLD_TABLES["gold_dim_geography"],
-            stage(geography, "gold_dim_geography"))
+            spark, namespace, catalog.GOLD_TABLES["gold_dim_geography"], geography)
     known = spark.table(_qualified(namespace, "gold_dim_time"))
     reports["gold_dim_time"] = _write(
         spark, namespace, catalog.GOLD_TABLES["gold_dim_time"],
         stage(new_members(instants, known, "time_key"), "gold_dim_time"))
-    places = spark.table(_qualified(namespace, "gold_dim_geography"))
-    quality.require_passed([
-        quality.dangling_references(frame, places, ["geography_key"], name)
-        for name, frame in stored.items()
-    ])
+    for name, frame in facts.items():
+        reports[name] = _write(spark, namespace, catalog.GOLD_TABLES[name], frame)
     return reports

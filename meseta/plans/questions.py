@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,11 +43,12 @@ def _relation(x: str, y: str) -> Callable[[Facts], DataFrame]:
 
 def wind_height(facts: Facts) -> DataFrame:
     """Both heights side by side; the stronger one has rank 1."""
-    heights = [
-        _labelled(analytics.correlate(facts[HOURLY], f"wind_speed_{h}", "wind_generation_mwh"), height=h, all="all")
-        for h in ("80m", "120m")
-    ]
-    stacked = reduce(DataFrame.unionByName, heights).withColumn("strength", F.abs("correlation"))
+    heights = ("80m", "120m")
+    # one pass: both heights of a row in one long frame
+    long = facts[HOURLY].select("wind_generation_mwh", F.inline(F.array(*[
+        F.struct(F.lit(h).alias("height"), F.col(f"wind_speed_{h}").alias("speed")) for h in heights])))
+    stacked = _labelled(analytics.correlate(long, "speed", "wind_generation_mwh", ["height"]), all="all").withColumn(
+        "strength", F.abs("correlation"))
     return analytics.top_k(stacked, ["all"], "strength", len(heights), ["height"]).drop("all", "strength")
 
 
@@ -59,10 +59,13 @@ def temperature_and_demand(facts: Facts) -> DataFrame:
     on purpose and says so in its columns; it converts neither value.
     """
     fact = facts[QUARTER]
-    weather = fact.filter(F.col("geography_level") == "COUNTRY").select("gold_timestamp", "temperature")
-    demand = fact.filter(F.col("geography_level") == "PENINSULA").select(
-        "gold_timestamp", F.col("real_demand_energy_mwh_15min").alias("demand_mwh"))
-    paired = weather.join(demand, "gold_timestamp")
+    country, peninsula = F.col("geography_level") == "COUNTRY", F.col("geography_level") == "PENINSULA"
+    # one row per scope and instant, so a conditional maximum is that row's value
+    paired = fact.groupBy("gold_timestamp").agg(
+        F.max(F.when(country, F.col("temperature"))).alias("temperature"),
+        F.max(F.when(peninsula, F.col("real_demand_energy_mwh_15min"))).alias("demand_mwh"),
+        F.count_if(country).alias("_countries"), F.count_if(peninsula).alias("_peninsulas"),
+    ).filter("_countries > 0 AND _peninsulas > 0").drop("_countries", "_peninsulas")
     return _labelled(paired, temperature_scope="COUNTRY", demand_scope="PENINSULA")
 
 

@@ -38,8 +38,8 @@ def stations(bronze: DataFrame) -> DataFrame:
     typed = rows.select(
         F.col("indicativo").alias("station_id"), "nombre", "provincia",
         decimal_comma(F.col("altitud")).alias("altitud"),
-        dms_to_degrees(F.col("latitud")).alias("latitude"),
-        dms_to_degrees(F.col("longitud")).alias("longitude"),
+        dms_to_degrees(F.col("latitud"), "latitude").alias("latitude"),
+        dms_to_degrees(F.col("longitud"), "longitude").alias("longitude"),
         "indsinop", *_TRACE,
     )
     return _unique(typed, "silver_aemet_stations")
@@ -349,7 +349,8 @@ def build_silver(bronze: Bronze, tables: Iterable[str] | None = None) -> dict[st
             continue
         frame = builders[name](bronze)
         if spec.place_column:
-            master = provinces(bronze.provinces()) if master is None else master
+            # the master is a snapshot of its own: a load of some landing days needs all of it
+            master = provinces(bronze.everything().provinces()) if master is None else master
             frame = resolve_place(frame, master, spec.place_column, aliases)
         built[name] = frame
     return built

@@ -52,6 +52,18 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete staged folders that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        root = shared_root(spark)
+        # a staged file lies below <root>/<purpose>-<hex>
+        for name in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            if root.removeprefix("file:").lstrip("/") in name:
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meseta import catalog, schemas
-from meseta.functions import instant_with
+from meseta.functions import instant_with, windows_1252
 from meseta.operators.clean import flatten_envelope
 from meseta.sources.landing import RECORD_SEPARATOR
 
@@ -42,6 +42,10 @@ class Bronze:
         self.landed = landed
         self.multiline = multiline
 
+    def everything(self) -> Bronze:
+        """The same landing root without a range of landing dates."""
+        return Bronze(self.spark, self.root, None, self.multiline)
+
     def path(self, source: str, dataset: str) -> str:
         source, dataset = source.strip(), dataset.strip()
         if not source or not dataset:
@@ -73,15 +77,17 @@ class Bronze:
     def csv(self, schema: T.StructType, source: str, dataset: str, sep: str = ";") -> DataFrame:
         """Delimited snapshot with a header.
 
-        The published files are Windows-1252; Latin-1 decodes the same letters
-        and is accepted by Spark 4 without a legacy switch.
+        The published files are Windows-1252, which Spark 4 reads only with a legacy
+        switch. Latin-1 is accepted and differs in 27 characters, which are put right
+        in every text column.
         """
         frame = (
             self.spark.read.schema(schema)
             .options(header=True, sep=sep, encoding="iso-8859-1")
             .csv(self.path(source, dataset))
         )
-        return self._in_landed_range(frame)
+        texts = [field.name for field in schema if isinstance(field.dataType, T.StringType)]
+        return self._in_landed_range(frame.withColumns({name: windows_1252(F.col(name)) for name in texts}))
 
     def text(self, source: str, dataset: str, packed: bool = False) -> DataFrame:
         """One row per landed document: a whole file, or a record of a packed file."""

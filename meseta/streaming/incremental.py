@@ -1,11 +1,10 @@
-"""New files only: upsert per micro-batch, and deduplication with bounded state."""
+"""New files only: upsert per micro-batch, and deduplication against what is stored."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meseta.operators.clean import latest_by_key
@@ -40,24 +39,22 @@ def upsert_stream(
 
 
 def dedup_stream(
-    arrivals: DataFrame, keys: Sequence[str], event_time: str, horizon: str = "2 days"
-) -> DataFrame:
-    """Drop repeated deliveries of a key.
+    arrivals: DataFrame, store: PathStore | TableStore, keys: Sequence[str], checkpoint: str,
+) -> StreamingQuery:
+    """Keep one row of each key, whatever the order of the files, then stop.
 
-    State is kept for ``horizon`` behind the newest instant, so the horizon must
-    exceed the overlap between deliveries.
+    Every micro-batch is reduced to one row per key and inserted where the store lacks
+    the key, so a delivery that comes years late is compared like any other: nothing
+    is dropped for its age, and no state outgrows a batch. A store that is partitioned
+    by a column that follows from the key is read in the partitions of the batch only.
     """
-    timed = arrivals.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
+    def insert(batch: DataFrame, _batch_id: int) -> None:
+        upsert(store, latest_by_key(batch, keys), keys, insert_only=True)
 
-def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to Parquet, all available input, then stop."""
     return (
-        rows.writeStream.format("parquet")
-        .option("path", path)
+        arrivals.writeStream.foreachBatch(insert)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -11,7 +11,7 @@ from meseta.functions import floor_grain, power_to_energy
 from meseta.operators import aggregate, gaps, quality
 from meseta.plans import gold
 from meseta.workload import facts
-from meseta.workload.cleaning import _dms
+from meseta.workload.cleaning import _SQL_DMS_LATITUDE, _dms
 from meseta.workload.derived import SQL_LOCATED, located
 from meseta.workload.registry import query
 
@@ -91,7 +91,7 @@ def required_fields(t):
 
 
 _SQL_LAT, _SQL_LON = "(c_custkey % 100)", "(CASE WHEN c_custkey % 7 <> 0 THEN c_custkey % 200 END)"
-_SQL_DMS_BAD = "NOT (c_custkey % 70 < 60 AND c_custkey * 7 % 63 <= 60)"
+_SQL_DMS_BAD = f"NOT {_SQL_DMS_LATITUDE}"
 
 
 @query("coordinate_range", " UNION ALL ".join((
@@ -105,7 +105,7 @@ def coordinate_range(t):
         (key % 100).cast("double").alias("latitude"),
         F.when(key % 7 != 0, key % 200).cast("double").alias("longitude"), _dms(key).alias("dms"))
     return quality.row_checks(rows, "customer", {
-        **quality.coordinate_checks("latitude", "longitude"), "dms_shape": quality.dms_check("dms")})
+        **quality.coordinate_checks("latitude", "longitude"), "dms_shape": quality.dms_check("dms", "latitude")})
 
 
 @query("key_profile", """
@@ -233,8 +233,10 @@ def provenance_check(t):
 
 
 @query("energy_integrity", f"""
-    WITH rolled AS (SELECT event_type, time_bucket(INTERVAL '15 minutes', ts) AS slot,
-                           count(value) >= 3 AND sum(value) > 1e-6 AS complete FROM events GROUP BY ALL)
+    WITH steps AS (SELECT event_type, time_bucket(INTERVAL '5 minutes', ts) AS step, max(value) AS value
+                   FROM events GROUP BY ALL),
+    rolled AS (SELECT event_type, time_bucket(INTERVAL '15 minutes', step) AS slot,
+                      count(value) = 3 AND sum(value) > 1e-6 AS complete FROM steps GROUP BY ALL)
     {_verdict('rolled_energy', 'events', 'ERROR', 'count(*)',
               _bad("complete AND event_type = 'view'"), 'rolled')}
     UNION ALL
@@ -243,7 +245,9 @@ def energy_integrity(t):
     def rolled(df):
         return aggregate.energy_rollup(df, ["event_type"], "ts", {"energy": F.col("value")}, out="slot")
 
-    expected = rolled(t.events)
+    steps = t.events.groupBy("event_type", floor_grain(F.col("ts"), "FIVE_MINUTES").alias("ts")).agg(
+        F.max("value").alias("value"))
+    expected = rolled(steps)
     # one series stored as summed power instead of energy
     stored = expected.withColumn("energy", F.when(
         F.col("event_type") == "view", F.col("energy") * 12).otherwise(F.col("energy")))
@@ -264,7 +268,8 @@ def _planted_time(t):
 
 
 @query("dim_time_checks", f"""
-    WITH members AS ({facts.SQL_DIM_TIME}) SELECT * FROM (
+    WITH once AS ({facts.SQL_DIM_TIME}),
+    members AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE time_key LIKE 'MONTH|%') SELECT * FROM (
     {_verdict('null_key', 'gold_dim_time', 'ERROR', 'count(*)', '0', 'members')} UNION ALL
     {_verdict('unknown_grain', 'gold_dim_time', 'ERROR', 'count(*)',
               _bad("time_grain = 'HOUR' AND day_of_week = 3"), 'members')} UNION ALL
@@ -272,9 +277,14 @@ def _planted_time(t):
     {_verdict('hour_range', 'gold_dim_time', 'ERROR', 'count(*)', _bad('day_of_week = 2'), 'members')} UNION ALL
     {_verdict('minute_range', 'gold_dim_time', 'ERROR', 'count(*)', '0', 'members')} UNION ALL
     {_verdict('hour_on_month', 'gold_dim_time', 'ERROR', 'count(*)', '0', 'members')} UNION ALL
-    {_verdict('hour_missing', 'gold_dim_time', 'ERROR', 'count(*)', '0', 'members')})""")
+    {_verdict('hour_missing', 'gold_dim_time', 'ERROR', 'count(*)', '0', 'members')} UNION ALL
+    {_verdict('duplicate_key', 'gold_dim_time', 'ERROR', 'count(*)',
+              "count(DISTINCT CASE WHEN time_grain = 'MONTH' THEN time_key END)", 'members')})""")
 def dim_time_checks(t):
-    return quality.dim_time_checks(_planted_time(t))
+    planted = _planted_time(t)
+    # every month twice
+    return quality.dim_time_checks(planted.unionByName(
+        planted.filter("time_key LIKE 'MONTH|%'")), "gold_dim_time")
 
 
 @query("dim_geography_checks", f"""
@@ -286,7 +296,12 @@ def dim_time_checks(t):
     {_verdict('lower_level_filled', 'gold_dim_geography', 'ERROR', 'count(*)', '0', 'kept')} UNION ALL
     {_verdict('country_missing', 'gold_dim_geography', 'ERROR', 'count(*)', _bad("geography_name = 'NATION_4'"), 'kept')} UNION ALL
     {_verdict('broken_hierarchy', 'gold_dim_geography', 'ERROR', _bad("geography_level = 'PROVINCE'"),
-              _bad("geography_level = 'PROVINCE' AND autonomous_community_name = 'EUROPE'"), 'kept')})""")
+              _bad("geography_level = 'PROVINCE' AND autonomous_community_name = 'EUROPE'"), 'kept')} UNION ALL
+    {_verdict('community_without_country', 'gold_dim_geography', 'ERROR',
+              _bad("geography_level = 'AUTONOMOUS_COMMUNITY'"), '0', 'kept')} UNION ALL
+    {_verdict('scopes_share_code', 'gold_dim_geography', 'ERROR', _bad("geography_level = 'COUNTRY'"), '0', 'kept')} UNION ALL
+    {_verdict('duplicate_key', 'gold_dim_geography', 'ERROR', 'count(*)', '0', 'kept')} UNION ALL
+    {_verdict('duplicate_level_and_code', 'gold_dim_geography', 'ERROR', 'count(*)', '0', 'kept')})""")
 def dim_geography_checks(t):
     members = facts.geography_dimension(t)
     lost = (F.col("geography_level") == "AUTONOMOUS_COMMUNITY") & (F.col("geography_name") == "EUROPE")

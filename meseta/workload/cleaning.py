@@ -73,7 +73,7 @@ def decimal_comma_text(t):
     SELECT nullif(trim(substr(o_orderpriority, 9)), '') AS tail, count(*) AS n
     FROM orders GROUP BY 1""")
 def blank_tail(t):
-    tail = blank_to_null(F.substring("o_orderpriority", 9, 100))
+    tail = blank_to_null(F.expr("substr(o_orderpriority, 9)"))
     return t.orders.groupBy(tail.alias("tail")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -95,7 +95,10 @@ def _dms(key):
         F.element_at(F.array(F.lit("N"), F.lit("S"), F.lit("E"), F.lit("W")), (key % 4 + 1).cast("int")))
 
 
-_SQL_DMS_VALID = "(c_custkey % 70 < 60 AND c_custkey * 7 % 63 <= 60)"
+_SQL_DMS_SHAPE = "c_custkey % 70 < 60 AND c_custkey * 7 % 63 <= 60"
+# a latitude is north or south, a longitude east or west; neither reads the other's text
+_SQL_DMS_LATITUDE = f"({_SQL_DMS_SHAPE} AND c_custkey % 4 IN (0, 1))"
+_SQL_DMS_LONGITUDE = f"({_SQL_DMS_SHAPE} AND c_custkey % 4 IN (2, 3))"
 _SQL_DMS = (
     "(c_custkey % 90 + (c_custkey % 70) / 60.0 + (c_custkey * 7 % 63) / 3600.0)"
     " * CASE WHEN c_custkey % 4 IN (1, 3) THEN -1 ELSE 1 END"
@@ -103,13 +106,15 @@ _SQL_DMS = (
 
 
 @query("dms_to_decimal", f"""
-    SELECT c_custkey, {_SQL_DMS_VALID} AS valid,
-           CASE WHEN {_SQL_DMS_VALID} THEN {sql_r4(_SQL_DMS)} END AS degrees
+    SELECT c_custkey, {_SQL_DMS_LATITUDE} AS valid_latitude, {_SQL_DMS_LONGITUDE} AS valid_longitude,
+           CASE WHEN {_SQL_DMS_LATITUDE} THEN {sql_r4(_SQL_DMS)} END AS latitude,
+           CASE WHEN {_SQL_DMS_LONGITUDE} THEN {sql_r4(_SQL_DMS)} END AS longitude
     FROM customer""")
 def dms_to_decimal(t):
     text = _dms(F.col("c_custkey"))
     return t.customer.select(
-        "c_custkey", dms_is_valid(text).alias("valid"), r4(dms_to_degrees(text)).alias("degrees"))
+        "c_custkey", *[dms_is_valid(text, axis).alias(f"valid_{axis}") for axis in ("latitude", "longitude")],
+        *[r4(dms_to_degrees(text, axis)).alias(axis) for axis in ("latitude", "longitude")])
 
 
 @query("arrays_zip_explode", "SELECT event_id, user_id, ts, event_type, value FROM events")
@@ -261,8 +266,8 @@ def union_by_name(t):
 @query("silver_stations", f"""
     SELECT CAST(c_custkey AS VARCHAR) AS station_id, c_name AS nombre, n.n_name AS provincia,
            c_acctbal AS altitud,
-           CASE WHEN {_SQL_DMS_VALID} THEN {sql_r4(_SQL_DMS)} END AS latitude,
-           c_mktsegment AS indsinop, 'aemet' AS source
+           CASE WHEN {_SQL_DMS_LATITUDE} THEN {sql_r4(_SQL_DMS)} END AS latitude,
+           CASE WHEN {_SQL_DMS_LONGITUDE} THEN {sql_r4(_SQL_DMS)} END AS longitude, c_mktsegment AS indsinop, 'aemet' AS source
     FROM customer JOIN nation n ON c_nationkey = n.n_nationkey""")
 def silver_stations(t):
     text = _dms(F.col("c_custkey"))
@@ -276,6 +281,7 @@ def silver_stations(t):
     built = silver.stations(bronze.unionByName(bronze))
     return built.select(
         "station_id", "nombre", "provincia", "altitud", r4(F.col("latitude")).alias("latitude"),
+        r4(F.col("longitude")).alias("longitude"),
         "indsinop", "source")
 
 
@@ -469,12 +475,13 @@ def landing_text(t):
 
 
 @query("landing_csv", """
-    SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS province_code, concat('Ávila y León ', n_name) AS province_name,
+    SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS province_code, concat('Ávila – León 5 € ', n_name) AS province_name,
            TIMESTAMP '2024-02-01 06:30:00.123456' AS ingestion_timestamp
     FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def landing_csv(t):
     root = scratch_path(t.spark, "landing")
-    rows = provinces_csv(t).withColumn("PROVINCIA", F.concat(F.lit("Ávila y León "), "PROVINCIA"))
+    # the euro sign and the dash as the bytes that Windows-1252 has for them
+    rows = provinces_csv(t).withColumn("PROVINCIA", F.concat(F.lit("Ávila \x96 León 5 \x80 "), "PROVINCIA"))
     # the snapshot's file name cannot be chosen on write; its folder carries the stamp
     folder = f"{root}/cnig/provinces"
     rows.write.options(header=True, sep=";", encoding="iso-8859-1").csv(folder)

@@ -122,24 +122,34 @@ _SQL_USER_HOUR = f"""
                          {sql_circular('direction')} AS direction
                   FROM points GROUP BY ALL)"""
 _STAGES = [
-    ["user_id", "province_name", "autonomous_community_name", "hour"],
     ["province_name", "autonomous_community_name", "hour"],
     ["autonomous_community_name", "hour"],
 ]
 
 
+def _located_user_hours(t, scalars, directions):
+    """Means per user and hour, then their place.
+
+    The user settles the place, so the first stage needs none: it combines before its
+    shuffle, and the join sees one row per user and hour however hot a user is.
+    """
+    rows = t.events.select("user_id", "value", direction().alias("direction"),
+                           floor_grain(F.col("ts"), "HOUR").alias("hour"))
+    return located(t, aggregate.staged_mean(rows, [["user_id", "hour"]], scalars, directions))
+
+
 @query("avg_two_stage", f"""{_SQL_USER_HOUR}
     SELECT autonomous_community_name, hour, {sql_r4('avg(value)')} AS value
     FROM provinces GROUP BY ALL""")
 def avg_two_stage(t):
-    return rounded(aggregate.staged_mean(_hourly_located(t), _STAGES, ["value"]), "value")
+    return rounded(aggregate.staged_mean(_located_user_hours(t, ["value"], []), _STAGES, ["value"]), "value")
 
 
 @query("circular_mean", f"""{_SQL_USER_HOUR}
     SELECT autonomous_community_name, hour, {sql_angle4(sql_circular('direction'))} AS direction
     FROM provinces GROUP BY ALL""")
 def circular_mean(t):
-    rows = _hourly_located(t).withColumn("direction", direction())
+    rows = _located_user_hours(t, [], ["direction"])
     return aggregate.staged_mean(rows, _STAGES, [], ["direction"]).withColumn(
         "direction", angle4(F.col("direction")))
 
@@ -161,12 +171,18 @@ def pivot_metrics(t):
 
 
 @query("energy_15min", f"""
-    SELECT event_type, time_bucket(INTERVAL '15 minutes', ts) AS slot,
-           CASE WHEN count(value) >= 3 THEN {sql_r4('sum(value / 12)')} END AS energy
-    FROM events GROUP BY ALL""")
+    WITH steps AS (SELECT event_type, time_bucket(INTERVAL '5 minutes', ts) AS step,
+                          max(CASE WHEN event_type = 'signup' THEN -value ELSE value END) AS mw
+                   FROM events WHERE event_type <> 'error' GROUP BY ALL)
+    SELECT event_type, time_bucket(INTERVAL '15 minutes', step) AS slot,
+           CASE WHEN count(mw) = 3 THEN {sql_r4('sum(mw / 12)')} END AS energy
+    FROM steps GROUP BY ALL""")
 def energy_15min(t):
+    names = F.create_map(*[F.lit(x) for kind, key in _POWER_IDS.items() for x in (key, kind)])
+    power = silver_power(t).withColumn("event_type", names[F.col("indicator_id")]).filter(
+        F.col("event_type") != "error")
     rolled = aggregate.energy_rollup(
-        t.events, ["event_type"], "ts", {"energy": F.col("value")}, out="slot")
+        power, ["event_type"], "observation_timestamp", {"energy": F.col("value")}, out="slot")
     return rounded(rolled, "energy")
 
 
@@ -398,12 +414,16 @@ def gold_capacity_monthly(t):
         "nuclear_installed_capacity_mw")
 
 
-@query("capacity_monthly", """
+_SEGMENTS = {name: name.lower() for name in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}
+_SQL_SEGMENTS = ", ".join(
+    f"max(CASE WHEN c_mktsegment = '{name}' THEN c_acctbal END) AS {metric}" for name, metric in _SEGMENTS.items())
+
+
+@query("capacity_monthly", f"""
     SELECT r_name AS community, strftime(o_orderdate, '%Y-%m') AS year_month,
-           max(CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal END) AS building,
-           max(CASE WHEN c_mktsegment = 'MACHINERY' THEN c_acctbal END) AS machinery
+           {_SQL_SEGMENTS}
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY ALL""")
+    JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
 def capacity_monthly(t):
     master = province_master(t)
     customers = t.customer.select(
@@ -412,8 +432,7 @@ def capacity_monthly(t):
         customers, F.col("o_custkey") == F.col("c_custkey")
     ).join(master, "province_code").withColumnRenamed("autonomous_community_name", "community")
     return aggregate.pivot_metrics(
-        rows, ["community", "year_month"], "c_mktsegment", "c_acctbal",
-        {"BUILDING": "building", "MACHINERY": "machinery"})
+        rows, ["community", "year_month"], "c_mktsegment", "c_acctbal", _SEGMENTS)
 
 
 _POWER_IDS = {"click": 1293, "view": 2038, "purchase": 2042, "signup": 2065, "error": 10004}

@@ -50,10 +50,9 @@ _SQL_SCAN = f"""{_SQL_HOURLY},
 
 @query("corr_by_geo", f"""{_SQL_HOURLY} {_sql_corr('place')} UNION ALL {_sql_corr("'all'")}""")
 def corr_by_geo(t):
-    hourly = _hourly(t)
-    by_place = analytics.correlate(hourly, "x", "y", ["place"])
-    overall = analytics.correlate(hourly, "x", "y").withColumn("place", F.lit("all"))
-    return rounded(by_place.unionByName(overall), "correlation")
+    # one pass: each hour counts for its place and for all
+    hourly = _hourly(t).select(F.explode(F.array("place", F.lit("all"))).alias("place"), "x", "y")
+    return rounded(analytics.correlate(hourly, "x", "y", ["place"]), "correlation")
 
 
 @query("offset_scan", f"""{_SQL_SCAN}

@@ -31,14 +31,18 @@ def test_plain_name(spark, name, plain):
 
 
 @pytest.mark.parametrize("text, degrees", [
-    ("402443N", 40 + 24 / 60 + 43 / 3600), ("0034049W", -(3 + 40 / 60 + 49 / 3600)),
+    ("402443N", 40 + 24 / 60 + 43 / 3600), ("0034049W", -(3 + 40 / 60 + 49 / 3600)), ("9990000N", None),
+    ("910000N", None), ("1810000E", None), ("0402443N", None),
     ("394924S", -39.82333333333334), ("025309E", 2.8858333333333333), ("025309W", -2.8858333333333333),
     ("364460N", 36.75), ("", None), ("394924X", None), ("3949N", None), ("396024N", None),
     ("394961N", None), (None, None),
 ])
 def test_dms(spark, text, degrees):
-    found, valid = spark.createDataFrame([(text,)], "v string").select(
-        fn.dms_to_degrees(F.col("v")), fn.dms_is_valid(F.col("v"))).first()
+    axis, other = ("longitude", "latitude") if text and text[-1] in "EW" else ("latitude", "longitude")
+    found, valid, crossed = spark.createDataFrame([(text,)], "v string").select(
+        fn.dms_to_degrees(F.col("v"), axis), fn.dms_is_valid(F.col("v"), axis),
+        fn.dms_is_valid(F.col("v"), other)).first()
+    assert not crossed
     assert valid is (degrees is not None)
     assert found == (None if degrees is None else pytest.approx(degrees))
 

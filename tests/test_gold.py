@@ -153,7 +153,10 @@ def test_quarter_hours(spark):
     peninsula = fact.filter("geography_level = 'PENINSULA'")
     assert rows_of(peninsula, "geography_name", "temperature", "real_demand_energy_mwh_15min") == [
         ("Peninsula", None, None)]
-    assert fact.count() == 2
+    # an id that is neither scope is kept without a level, for the level check to report
+    unknown = fact.filter("geography_level IS NULL")
+    assert rows_of(unknown, "geography_key", "geography_name") == [("UNKNOWN|42", None)]
+    assert fact.count() == 3
 
 
 def test_dim_time(spark):
@@ -184,3 +187,34 @@ def test_excluded_indicators_have_no_metric():
     configured = {
         *catalog.HOURLY_ENERGY_DATASETS, *catalog.FIVE_MINUTE_POWER_DATASETS, *catalog.MONTHLY_CAPACITY_DATASETS}
     assert configured == mapped | catalog.EXCLUDED_FROM_GOLD and len(configured) == 35
+
+
+@pytest.mark.parametrize("column", ["a", "b"])
+def test_guards_survive_column_pruning(spark, column):
+    """Reading one column of a pivot or a merge still meets a repeated value, whichever column it is."""
+    from meseta.operators.aggregate import pivot_metrics
+    from meseta.operators.joins import merge_on_grain
+
+    long = spark.createDataFrame(
+        [("k", 1, 1.0), ("k", 1, 2.0), ("k", 2, 3.0), ("k", 2, 4.0)], "k string, i int, v double")
+    wide = pivot_metrics(long, ["k"], "i", "v", {1: "a", 2: "b"}, strict=True)
+    with pytest.raises(Exception, match="Several values"):
+        wide.select(column).collect()
+    frames = {"x": spark.createDataFrame([("k", 1), ("k", 2)], "k string, a int"),
+              "y": spark.createDataFrame([("k", 1)], "k string, b int")}
+    with pytest.raises(Exception, match="repeats a key"):
+        merge_on_grain(frames, ["k"]).select(column).collect()
+
+
+def test_energy_needs_exactly_one_sample_in_each_step(spark):
+    from meseta.operators.aggregate import energy_rollup
+
+    def energy(*minutes):
+        rows = spark.createDataFrame([(f"2026-08-18 11:{m}", 120.0) for m in minutes], "t string, v double").select(
+            F.to_timestamp("t").alias("t"), "v")
+        return energy_rollup(rows, [], "t", {"e": F.col("v")}).first()["e"]
+
+    assert energy("00:00", "05:00", "10:00") == pytest.approx(30.0)
+    assert energy("00:00", "05:00") is None
+    with pytest.raises(Exception, match="Several samples"):
+        energy("00:00", "05:00", "10:00", "11:00")

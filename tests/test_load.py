@@ -150,3 +150,13 @@ def test_unmatched_province_rejects_the_load(spark, tmp_path):
     with pytest.raises(ValueError, match="silver_aemet_stations.unmatched_place=1"):
         load.load_silver(spark, Bronze(spark, root), name, tables=["silver_aemet_stations"])
     assert spark.table(f"{name}.silver_aemet_stations").count() == 0
+
+
+def test_window_reads_its_days_only(spark, namespace):
+    tables = {name: spark.table(f"{namespace}.{name}") for name in catalog.SILVER_TABLES}
+    window = (dt.datetime(2026, 8, 18, 13), dt.datetime(2026, 8, 18, 14))
+    needed = load._silver_of_window(tables, window)
+    for name in ("silver_esios_power_5min", "silver_open_meteo_15min"):
+        plan = needed[name]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(part_day" in plan
+    assert needed["silver_cnig_provinces"] is tables["silver_cnig_provinces"]

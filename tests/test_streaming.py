@@ -43,15 +43,19 @@ def test_dedup_across_runs(spark):
     folder, out, progress = (scratch_path(spark, p) for p in ("in", "out", "progress"))
     ts = dt.datetime(2026, 8, 18, 12)
     schema = "k string, ts timestamp_ntz"
+    store = PathStore(spark, out, spark.createDataFrame([], schema).schema)
 
     def run(*rows):
         spark.createDataFrame(list(rows), schema).write.mode("append").parquet(folder)
         stream = spark.readStream.schema(schema).parquet(folder)
-        incremental.append_stream(incremental.dedup_stream(stream, ["k"], "ts"), out, progress).awaitTermination()
-        return sorted(r["k"] for r in spark.read.parquet(out).select("k").collect())
+        incremental.dedup_stream(stream, store, ["k"], progress).awaitTermination()
+        return sorted(r["k"] for r in store.read().select("k").collect())
 
     assert run(("A", ts), ("A", ts), ("B", ts)) == ["A", "B"]
     assert run(("B", ts + dt.timedelta(hours=1)), ("C", ts)) == ["A", "B", "C"]
+    # years behind the newest instant: compared like any other, and the stored row stays
+    assert run(("D", ts - dt.timedelta(days=900)), ("B", ts - dt.timedelta(days=900))) == ["A", "B", "C", "D"]
+    assert store.read().filter("k = 'B'").first()["ts"] == ts
 
 
 def test_landing_appends(spark):

@@ -31,7 +31,7 @@ def test_update_insert_and_rerun(spark, store):
     for _ in range(2):
         report = upsert(store, source, ["k", "day"])
         assert rows(store.read()) == expected
-        assert (report.source_rows, report.target_rows) == (2, 4)
+        assert (report.source_rows, report.merged_rows) == (2, 3)
 
 
 def test_untouched_partitions_are_not_rewritten(spark, store):
@@ -104,3 +104,26 @@ def test_table_guards(spark):
         tables.create_namespace(spark, "  ")
     with pytest.raises(ValueError, match="does not exist"):
         upsert_table(spark, "nowhere_at_all", spark.range(1), ["id"])
+
+
+def test_source_wins_where_both_are_equally_new(spark):
+    """A rebuild of the same deliveries carries the same instants; its rows replace the stored ones."""
+    schema = "k string, at int, place string"
+    stored = spark.createDataFrame([(f"k{i}", 1, None) for i in range(20)], schema)
+    rebuilt = spark.createDataFrame([(f"k{i}", 1, "here") for i in range(20)], schema)
+    older = spark.createDataFrame([(f"k{i}", 0, "old") for i in range(20)], schema)
+    store = PathStore(spark, scratch_path(spark, "ties"), stored.schema)
+    for rows in (stored, rebuilt, older):
+        upsert(store, rows, ["k"], newest_by=["at"])
+    assert {r["place"] for r in store.read().collect()} == {"here"}
+
+
+def test_insert_only_keeps_stored_rows_and_staging_is_removed(spark, store):
+    from pathlib import Path
+
+    from meseta.session import shared_root
+
+    before = set(Path(shared_root(spark)).iterdir())
+    upsert(store, spark.createDataFrame([("A", MON, 99), ("D", MON, 4)], SCHEMA), ["k", "day"], insert_only=True)
+    assert rows(store.read()) == [("A", MON, 1), ("A", TUE, 3), ("B", MON, 2), ("D", MON, 4)]
+    assert all(not any(p.rglob("*.parquet")) for p in set(Path(shared_root(spark)).iterdir()) - before)
