@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -79,8 +80,22 @@ class SecretModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -30, 30)))
 
 
-def _overlaps(spans: list[Span], start: int, end: int) -> bool:
-    return any(s < end and start < e for _, s, e in spans)
+class _Covered:
+    """Whether a range meets any of some spans; a search by bisection, since texts can hold very many."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted((start, end) for _, start, end in spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end) - 1  # the last span that starts before the range ends
+        return at >= 0 and self.ends[at] > start
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> SecretModel | None:
@@ -97,9 +112,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recal
     def label(batch: pa.RecordBatch) -> Iterator[dict]:
         rows: list[tuple] = []
         for text in batch.column("body").to_pylist():
-            base = base_spans(text or "")
+            base = _Covered(base_spans(text or ""))
             for start, end in candidates(text or ""):
-                rows += [(window, int(_overlaps(base, start, end))) for window in windows(text, start, end)[:1]]
+                rows.append((windows(text, start, end)[0], int(base.meets(start, end))))
         yield {"window": [r[0] for r in rows], "label": [r[1] for r in rows]}
 
     rows = arrow_map(texts, label, "window string, label int").distinct()
@@ -145,8 +160,9 @@ def scan(
                 found.clear()
 
             for row, text in enumerate(texts):
+                known = _Covered(base[row])
                 for start, end in candidates(text):
-                    if not _overlaps(base[row], start, end):
+                    if not known.meets(start, end):
                         asked.append((row, start, end))
                         found.append(windows(text, start, end))
                         if len(asked) >= 2000:

@@ -122,6 +122,14 @@ def test_base_spans():
     assert secret_scan.base_spans("secret:token:abcdefghijkl1") == []
 
 
+def test_covered_ranges():
+    spans = [("hex", 5, 9), ("assign", 7, 12), ("hex", 20, 22)]
+    known = secret_scan._Covered(spans)
+    for start in range(25):
+        for end in range(start + 1, 26):
+            assert known.meets(start, end) == any(s < end and start < e for _, s, e in spans)
+
+
 def test_secret_scan(spark, tables):
     model = secret_scan.train(tables[0].unionByName(tables[0]))
     found = {row["doc_id"]: row for row in secret_scan.scan(documents(spark), model).collect()}
