@@ -89,32 +89,62 @@ def _contexts(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
         found, cut, f"gram long, part int, doc {kind}, sum long, place long, before binary, after binary")
 
 
+def _by_gram(contexts: DataFrame) -> DataFrame:
+    """Suffixes that start with one gram lie together; at most ``GROUP`` of them."""
+    return contexts.repartition("gram").sortWithinPartitions("gram")
+
+
+def _suffixes(group: pa.Table) -> tuple[list[bytes], list[bytes], list[int]]:
+    return tuple(group.column(name).to_pylist() for name in ("before", "after", "place"))
+
+
 def repeat_groups(contexts: DataFrame, window: int) -> DataFrame:
-    """doc, sum, first, end, repeat, length: occurrences of the maximal repeats of each gram."""
+    """repeat (hash of the string), length, occurrences (doc, sum, first): the maximal repeats of each gram."""
+    kind = contexts.schema["doc"].dataType.simpleString()
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for group in sorted_groups(batches, ["gram"]):
+            lefts, rights, places = _suffixes(group)
+            docs, sums = group.column("doc").to_pylist(), group.column("sum").to_pylist()
+            rows = []
+            for before, after, members in maximal_repeats(lefts, rights, window) if len(places) > 1 else ():
+                text = lefts[members[0]][:before][::-1] + rights[members[0]][:after]
+                rows.append((xxhash.xxh3_64_intdigest(text) - 2 ** 63, len(text), [
+                    {"doc": docs[m], "sum": sums[m], "first": places[m] - before} for m in members]))
+            if rows:
+                yield dict(zip(("repeat", "length", "occurrences"), zip(*rows)))
+
+    return arrow_stream(
+        _by_gram(contexts), scan,
+        f"repeat long, length long, occurrences array<struct<doc:{kind},sum:long,first:long>>")
+
+
+def repeat_spans(contexts: DataFrame, window: int) -> DataFrame:
+    """doc, sum, first, end: for each context, what its maximal repeats cover.
+
+    All repeats of a context contain its anchor, so what they cover is one range: rows
+    out are at most rows in, however many repeats nest around an anchor.
+    """
     kind = contexts.schema["doc"].dataType.simpleString()
-    dealt = contexts.repartition("gram").sortWithinPartitions("gram")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for group in sorted_groups(batches, ["gram"]):
             if group.num_rows < 2:
                 continue
-            lefts, rights = group.column("before").to_pylist(), group.column("after").to_pylist()
-            places = group.column("place").to_pylist()
-            row, first, end, name = [], [], [], []
+            lefts, rights, places = _suffixes(group)
+            reach: dict[int, tuple[int, int]] = {}
             for before, after, members in maximal_repeats(lefts, rights, window):
-                one = members[0]
-                text = lefts[one][:before][::-1] + rights[one][:after]
-                digest = xxhash.xxh3_64_intdigest(text) - 2 ** 63
-                row += members
-                first += [places[m] - before for m in members]
-                end += [places[m] + after for m in members]
-                name += [digest] * len(members)
-            if row:
+                for m in members:
+                    left, right = reach.get(m, (0, 0))
+                    reach[m] = max(left, before), max(right, after)
+            if reach:
+                rows = pa.array(list(reach))
                 yield {
-                    "doc": group.column("doc").take(pa.array(row)), "sum": group.column("sum").take(pa.array(row)),
-                    "first": first, "end": end, "repeat": name}
+                    "doc": group.column("doc").take(rows), "sum": group.column("sum").take(rows),
+                    "first": [places[m] - left for m, (left, _) in reach.items()],
+                    "end": [places[m] + right for m, (_, right) in reach.items()]}
 
-    return arrow_stream(dealt, scan, _SPAN.format(kind=kind) + ", repeat long")
+    return arrow_stream(_by_gram(contexts), scan, _SPAN.format(kind=kind))
 
 
 def window_repeats(contexts: DataFrame, window: int) -> DataFrame:
@@ -140,7 +170,10 @@ def window_repeats(contexts: DataFrame, window: int) -> DataFrame:
 def repeated_spans(
     bodies: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP,
 ) -> tuple[DataFrame, DataFrame]:
-    """Spans (doc, sum, first, end) covered by repeated windows, and the maximal repeats among them."""
+    """Spans (doc, sum, first, end) covered by repeated windows, and the contexts that were compared.
+
+    ``repeat_groups`` of the contexts lists the maximal repeats among them.
+    """
     rows = anchor_rows(bodies, window, gram)
     # grams that occur once are most of them and end here; rows of a gram combine before the shuffle
     again = stage(rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
@@ -156,12 +189,11 @@ def repeated_spans(
     compared = contexts.join(kinds.where("kinds > 1"), "gram").select(
         "gram", "kinds", "one.*", (F.col("kinds") > group).cast("int").alias("part"))
     around = stage(_contexts(bodies, compared).dropDuplicates(["gram", "doc", "sum", "place"]), "around")
-    repeats = stage(repeat_groups(around.where("part = 0"), window), "repeats")
-    spans = whole.unionByName(repeats.select("doc", "sum", "first", "end"))
+    spans = whole.unionByName(repeat_spans(around.where("part = 0"), window))
     large = around.where("part = 1")
     if not large.isEmpty():
         spans = spans.unionByName(window_repeats(large, window))
-    return spans, repeats
+    return spans, around
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -107,8 +107,12 @@ def test_repeat_groups_hold_all_occurrences(spark):
     shared = words(60, 5)
     rows = [(k, words(20, 100 + k) + shared + words(20, 200 + k), "a") for k in range(5)]
     bodies = repeats._bodies(documents(spark, rows), "doc_id", "text")
-    _, groups = repeats.repeated_spans(bodies)
-    assert {row["n"] for row in groups.groupBy("repeat").agg({"doc": "count"}).toDF("repeat", "n").collect()} >= {5}
+    _, contexts = repeats.repeated_spans(bodies)
+    groups = repeats.repeat_groups(contexts, 200).collect()
+    assert max(len(row["occurrences"]) for row in groups) == 5
+    whole = {doc: text.encode() for doc, text, _ in rows}
+    for row in groups:
+        assert len({whole[o["doc"]][o["first"]:o["first"] + row["length"]] for o in row["occurrences"]}) == 1
 
 
 def test_windows_of_long_texts_do_not_depend_on_the_cut():
