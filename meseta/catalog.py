@@ -8,15 +8,17 @@ from dataclasses import dataclass
 
 STATION_FIELDS = ("indicativo", "nombre", "provincia", "altitud", "latitud", "longitud", "indsinop")
 
-DAILY_TEXT_FIELDS = (
-    "horaHrMax", "horaHrMin", "horaPIntMax", "horaPresMax", "horaPresMin",
-    "horaracha", "horatmax", "horatmin", "nombre", "provincia",
+DAILY_FIELD_ORDER = (
+    "altitud", "dir", "horaHrMax", "horaHrMin", "horaPIntMax", "horaPresMax", "horaPresMin",
+    "horaracha", "horatmax", "horatmin", "hrMax", "hrMedia", "hrMin", "nombre", "pintMax",
+    "prec", "presMax", "presMin", "provincia", "racha", "sol", "tmax", "tmed", "tmin",
+    "velmedia",
 )
+# those of them that are numbers
 DAILY_NUMBER_FIELDS = (
     "altitud", "dir", "hrMax", "hrMedia", "hrMin", "pintMax", "prec", "presMax",
     "presMin", "racha", "sol", "tmax", "tmed", "tmin", "velmedia",
 )
-DAILY_FIELD_ORDER = tuple(sorted(DAILY_TEXT_FIELDS + DAILY_NUMBER_FIELDS, key=str.lower))
 
 CURRENT_MEASURES = (
     "alt", "dmax", "dmaxu", "dv", "dvu", "geo700", "geo850", "geo925", "hr", "inso",

@@ -74,16 +74,23 @@ def _block_starts(cells: Column) -> Column:
 def parse_radiation(df: DataFrame, text: str = "value", carried: tuple[str, ...] = ()) -> DataFrame:
     """Long table of all reports in ``df``, one report per row.
 
-    A report needs a title, a date, a header and at least one station line;
-    anything shorter stops the query.
+    A report needs a title, a readable date, a header of three columns or more and at
+    least one station line; anything else stops the query.
     """
     lines = F.split(F.regexp_replace(F.col(text), r"[\r\n]+$", ""), r"\r?\n")
-    checked = F.when(F.size("_lines") >= 4, F.col("_lines")).otherwise(
-        F.raise_error(F.lit("Radiation report with fewer than 4 lines")).cast("array<string>"))
-    reported = _cell(_cells(F.get("_lines", F.lit(1))), F.lit(0))
+    reported = instant_with(_cell(_cells(F.get("_lines", F.lit(1))), F.lit(0)), "dd-MM-yy").cast("date")
+    header = F.size(_cells(F.get("_lines", F.lit(2))))
+
+    def refuse(why: str) -> Column:
+        return F.raise_error(F.lit(f"Radiation report with {why}")).cast("array<string>")
+
+    # on the lines themselves, so that no selection of columns prunes the checks away
+    checked = F.when(F.coalesce(F.size("_lines"), F.lit(0)) < 4, refuse("fewer than 4 lines")).when(
+        reported.isNull(), refuse("an unreadable date")).when(
+        F.coalesce(header, F.lit(0)) < 3, refuse("a header of fewer than 3 columns")).otherwise(F.col("_lines"))
     stations = df.select(*carried, lines.alias("_lines")).select(
         *carried,
-        instant_with(reported, "dd-MM-yy").cast("date").alias("observation_date"),
+        reported.alias("observation_date"),
         F.explode(F.slice(checked, F.lit(4), F.greatest(F.size("_lines") - 3, F.lit(0)))).alias("_line"),
     ).select(*carried, "observation_date", _cells(F.col("_line")).alias("_cells"))
 

@@ -151,6 +151,16 @@ def gap_distribution(t):
     return gaps.step_histogram(t.events, ["event_type"], "ts", ["event_type"], whole_minutes=True)
 
 
+@query("gap_top_steps", f"""
+    SELECT event_type, CAST(floor(minutes) AS BIGINT) AS minutes, count(*) AS n
+    FROM {_SQL_STEPS.format(series='event_type')} WHERE minutes IS NOT NULL GROUP BY ALL
+    ORDER BY n DESC, minutes, event_type LIMIT 10""")
+def gap_top_steps(t):
+    """The ten most frequent step lengths; Spark keeps ten rows per task, not a sort of all."""
+    histogram = gaps.step_histogram(t.events, ["event_type"], "ts", ["event_type"], whole_minutes=True)
+    return histogram.orderBy(F.col("n").desc(), "minutes", "event_type").limit(10)
+
+
 @query("gap_off_grain", """
     SELECT o_orderpriority, minutes, count(*) AS n FROM (
         SELECT o_orderpriority, (epoch_us(o_orderdate) - epoch_us(lag(o_orderdate) OVER (

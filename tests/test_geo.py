@@ -79,3 +79,12 @@ def test_merge_on_grain_refuses_to_multiply(spark):
         joins.merge_on_grain({"a": a, "b": b}, ["k"]).collect()
     with pytest.raises(ValueError, match="occurs in both"):
         joins.merge_on_grain({"a": a, "b": a}, ["k"])
+
+
+@pytest.mark.parametrize("pairs", [[("A", "x"), (" a", "y")], [("", "x")], [("A", " ")]])
+def test_repeated_and_blank_settings_are_refused(pairs):
+    from meseta import config
+
+    with pytest.raises(ValueError):
+        config.unique_entries(pairs)
+    assert config.load("province_aliases") and config.load("community_aliases") and config.load("time_alignment")

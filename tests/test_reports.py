@@ -53,6 +53,14 @@ def test_odd_cells(spark):
     assert quoted["station_name"] == 'A "B" C'
 
 
+@pytest.mark.parametrize("second, third, why", [
+    ("no date", '"a";"b";"c"', "unreadable date"), ('"13-08-26"', '"a";"b"', "fewer than 3 columns")])
+def test_unreadable_report_is_rejected(spark, second, third, why):
+    line = cells("S", "ID", "GL", *range(16), 1)
+    with pytest.raises(Exception, match=why):
+        parse(spark, "\n".join(["title", second, third, line])).select("value").collect()
+
+
 @pytest.mark.parametrize("text", ["", "a\nb\nc", "a\nb\nc\n\n"])
 def test_short_report_is_rejected(spark, text):
     with pytest.raises(Exception, match="fewer than 4 lines"):
