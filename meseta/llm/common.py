@@ -65,11 +65,6 @@ def utf8(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
-def numeric(array: pa.Array, dtype) -> np.ndarray:
-    """A numeric Arrow column without nulls as numpy."""
-    return np.asarray(array.to_numpy(zero_copy_only=False), dtype=dtype)
-
-
 def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges whose sizes add up to about ``limit``; a larger row stands alone."""
     start, total = 0, 0

@@ -3,7 +3,8 @@
 Documents with one set of shingles are one class from the start, so exact copies cost
 one row. Classes that share a band are candidates. First every class is compared with
 the least class of each of its bands, which joins most groups; then, in the bands whose
-members are still in different components, the remaining members are compared in blocks.
+members are still in different components, those outside the largest are compared with
+all others in blocks.
 No list of all pairs of a group is ever made, and no group is cut short.
 """
 
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meseta.llm.common import arrow_map, arrow_stream, numeric, slices, sorted_groups, stage, utf8
+from meseta.llm.common import arrow_map, arrow_stream, slices, sorted_groups, stage, utf8
 from meseta.llm.components import components
 from meseta.llm.registry import query, table
 from meseta.llm.shingles import shingle_hashes, shingle_set, word_hashes
@@ -96,54 +97,75 @@ def star_pairs(members: DataFrame, classes: DataFrame, agree: int, width: int) -
     return arrow_map(both, compare, "u binary, v binary, agree int")
 
 
-def block_pairs(
-    members: DataFrame, labels: DataFrame, classes: DataFrame, agree: int, width: int, block: int,
+def block_edges(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, agree: int, width: int,
+    rows_of_band: int, block: int,
 ) -> DataFrame:
-    """u, v: members of one band, in different components, whose minima agree enough.
+    """u, v: links between components that share a band; enough of them to join what is linked.
 
-    A band of n members is dealt into blocks; each pair of blocks is one group of rows,
-    compared inside a task. A group has at most about two blocks, whatever the band holds.
+    In every band, members outside its largest component ask all others. Both sides are
+    dealt into blocks, and a pair of blocks is compared inside a task on minima and then
+    on whole sets. Only links that join two components leave the task, so a group has
+    fewer rows out than in; a group holds about two blocks, whatever the band holds.
     """
-    labelled = members.where("n > 2").join(
+    labelled = stage(members.where("n > 2").join(
         labels.select(F.col("node").alias("class"), "label"), "class", "left").select(
-        "bucket", "class", "n", F.coalesce("label", "class").alias("label"))
-    labelled = stage(labelled, "labelled")
-    open_bands = labelled.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
+        "band", "bucket", "class", F.coalesce("label", "class").alias("label")), "labelled")
+    parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+    bands = stage(parts.groupBy("bucket").agg(
+        F.max_by("label", F.struct("size", "label")).alias("largest"), F.max("size").alias("most"),
+        F.sum("size").alias("n")).where("n > most"), "open-bands")
+    askers = F.ceil((F.col("n") - F.col("most")) / block)
     blocks = F.ceil(F.col("n") / block)
-    own = F.pmod(F.xxhash64("class"), blocks)
-    rows = labelled.join(stage(open_bands, "open-bands"), "bucket").select(
-        "bucket", "class", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    rows = rows.join(classes.select("class", "minima"), "class").select(
-        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        "own", "class", "label", "minima")
-    rows = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    known = labelled.join(bands, "bucket")
+
+    def all_of(count):
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
+    own = F.xxhash64("class")
+    asked = known.select(
+        "band", "bucket", "class", "label", F.lit(False).alias("asks"), F.pmod(own, blocks).alias("t"), all_of(askers).alias("q"))
+    asking = known.where("label <> largest").select(
+        "band", "bucket", "class", "label", F.lit(True).alias("asks"), F.pmod(own, askers).alias("q"), all_of(blocks).alias("t"))
+    rows = asked.unionByName(asking).join(classes.select("class", "minima"), "class").join(sets, "class")
+    rows = rows.repartition("bucket", "t", "q").sortWithinPartitions("bucket", "t", "q")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         us, vs = [], []
-        for group in sorted_groups(batches, ["bucket", "low", "high"]):
-            names, labels_ = group.column("class").to_pylist(), np.array(group.column("label").to_pylist(), object)
-            if len(set(labels_)) < 2:
+        for group in sorted_groups(batches, ["bucket", "t", "q"]):
+            asks = np.array(group.column("asks").to_pylist(), bool)
+            names = group.column("class").to_pylist()
+            code = np.unique(np.array(group.column("label").to_pylist(), object), return_inverse=True)[1]
+            if code.max() == 0 or not asks.any():
                 continue
-            code = np.unique(labels_, return_inverse=True)[1]
             minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint16).reshape(-1, width)
-            own = numeric(group.column("own").combine_chunks(), np.int64)
-            across = group.column("low")[0].as_py() != group.column("high")[0].as_py()
-            for k in range(len(names) - 1):
-                rest = slice(k + 1, None)
-                apart = code[rest] != code[k]
-                if across:
-                    apart &= own[rest] != own[k]
-                hits = np.flatnonzero(apart) + k + 1
-                hits = hits[(minima[hits] == minima[k]).sum(axis=1) >= agree]
-                us += [min(names[k], names[h]) for h in hits]
-                vs += [max(names[k], names[h]) for h in hits]
+            found = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
+            others = np.flatnonzero(~asks)
+            band = group.column("band")[0].as_py()
+            for k in np.flatnonzero(asks):
+                near = others[code[others] != code[k]]
+                equal = minima[near] == minima[k]
+                # a pair is compared in the first band it shares, not in every one
+                first = equal.reshape(len(near), width // rows_of_band, rows_of_band).all(axis=2).argmax(axis=1)
+                near = near[(equal.sum(axis=1) >= agree) & (first == band)]
+                if not len(near):
+                    continue
+                sizes = np.array([len(found[h]) for h in near])
+                values = np.concatenate([found[h] for h in near])
+                at = np.minimum(np.searchsorted(found[k], values), len(found[k]) - 1)
+                owner = np.repeat(np.arange(len(near)), sizes)
+                common = np.bincount(owner[found[k][at] == values], minlength=len(near))
+                for h in near[100 * common >= percent * (sizes + len(found[k]) - common)]:
+                    if code[h] != code[k]:
+                        us.append(min(names[k], names[h]))
+                        vs.append(max(names[k], names[h]))
+                        code[code == code[h]] = code[k]
             if len(us) > 50_000:
                 yield {"u": us, "v": vs}
                 us, vs = [], []
         yield {"u": us, "v": vs}
 
-    return arrow_stream(rows, compare, "u binary, v binary").distinct()
+    return arrow_stream(rows, compare, "u binary, v binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -193,7 +215,7 @@ def near_dedup(
             F.min("doc").alias("doc"), F.first("minima").alias("minima")), "classes")
     keys = F.array(*[
         F.xxhash64(F.lit(band), F.substring("minima", 2 * rows * band + 1, 2 * rows)) for band in range(bands)])
-    banded = classes.select("class", F.explode(keys).alias("bucket"))
+    banded = classes.select("class", F.posexplode(keys).alias("band", "bucket"))
     shared = stage(
         banded.groupBy("bucket").agg(F.min("class").alias("least"), F.count("*").alias("n")).where("n > 1"), "shared")
     members = stage(banded.join(shared, "bucket"), "members")
@@ -206,14 +228,14 @@ def near_dedup(
     best = first.groupBy("u").agg(F.max(F.struct("agree", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
     edges = stage(confirmed(best, sets, percent), "edges")
     labels = stage(components(edges), "labels")
-    blocks = block_pairs(members, labels, classes, agree, width, block)
-    other = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).unionByName(blocks).distinct()
-    tried = best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    # star pairs that weren't tried first still matter where their ends are apart
+    rest = first.join(best, ["u", "v"], "left_anti")
     a = labels.select(F.col("node").alias("u"), F.col("label").alias("label_u"))
     b = labels.select(F.col("node").alias("v"), F.col("label").alias("label_v"))
-    apart = other.join(tried, ["u", "v"], "left_anti").join(a, "u", "left").join(b, "v", "left").where(
+    apart = rest.join(a, "u", "left").join(b, "v", "left").where(
         F.coalesce("label_u", "u") != F.coalesce("label_v", "v"))
-    late = stage(confirmed(stage(apart.select("u", "v"), "late-pairs"), sets, percent), "late-edges")
+    late = stage(confirmed(apart, sets, percent).unionByName(
+        block_edges(members, labels, classes, sets, percent, agree, width, rows, block)).distinct(), "late-edges")
     if not late.isEmpty():
         labels = stage(components(edges.unionByName(late)), "labels")
     named = classes.select("class", "doc").join(
