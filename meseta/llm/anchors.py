@@ -71,6 +71,19 @@ def _segment(data: np.ndarray, window: int, gram: int) -> Anchors:
     return Anchors(grams[place], context, place, place - first, end - place)
 
 
+def distinct(found: Anchors) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the anchors with each gram and context, in order, and the number of that kind of every anchor.
+
+    Periodic text has an anchor in each period, all alike; one of them stands for all.
+    """
+    keys = found.gram ^ (found.context * _U64(_BASE))
+    _, first, kind = np.unique(keys, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    return first[order], rank[kind]
+
+
 def anchors(data: bytes, window: int = 200, gram: int = 50, segment: int = SEGMENT) -> Anchors:
     """Anchors of a text, in order; none for texts shorter than a window."""
     body = np.frombuffer(data, np.uint8)

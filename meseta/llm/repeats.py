@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meseta.llm.anchors import anchors
+from meseta.llm.anchors import Anchors, anchors, distinct
 from meseta.llm.common import arrow_map, arrow_stream, slices, sorted_groups, stage, utf8
 from meseta.llm.interval_tree import maximal_repeats
 from meseta.llm.registry import query, table
@@ -41,14 +41,31 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def _alike(found: Anchors) -> tuple[Anchors, np.ndarray, list[list[dict]]]:
+    """One anchor of each kind in a text, how many there are, and what those of a repeated kind cover."""
+    first, kind = distinct(found)
+    counts = np.bincount(kind, minlength=len(first))
+    covers: list[list[dict]] = [[] for _ in first]
+    if len(first) < len(kind):
+        starts, ends = found.place - found.left, found.place + found.right
+        order = np.argsort(kind, kind="stable")
+        bounds = np.cumsum(counts) - counts
+        for k in np.flatnonzero(counts > 1):
+            rows = order[bounds[k]:bounds[k] + counts[k]]
+            covers[k] = [
+                {"first": a, "end": b} for a, b in zip(*map(np.ndarray.tolist, _merged(starts[rows], ends[rows])))]
+    return Anchors(*(column[first] for column in found)), counts, covers
+
+
 def anchor_rows(bodies: DataFrame, window: int, gram: int) -> DataFrame:
-    """gram, context, doc, sum, place, left, right of every anchor."""
+    """gram, context, doc, sum, place, left, right of an anchor of each kind in a text, n and covers of all of them."""
     kind = bodies.schema["doc"].dataType.simpleString()
 
     def find(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = batch.column("body").to_pylist()
         for low, high in slices(np.array([len(text) for text in texts]), 4_000_000):
-            found = [anchors(text, window, gram) for text in texts[low:high]]
+            alike = [_alike(anchors(text, window, gram)) for text in texts[low:high]]
+            found = [one[0] for one in alike]
             counts = [len(f.place) for f in found]
             if not sum(counts):
                 continue
@@ -58,10 +75,12 @@ def anchor_rows(bodies: DataFrame, window: int, gram: int) -> DataFrame:
                 "context": _signed(np.concatenate([f.context for f in found])),
                 "doc": batch.column("doc").take(rows), "sum": batch.column("sum").take(rows),
                 "place": np.concatenate([f.place for f in found]),
-                "left": np.concatenate([f.left for f in found]), "right": np.concatenate([f.right for f in found])}
+                "left": np.concatenate([f.left for f in found]), "right": np.concatenate([f.right for f in found]),
+                "n": np.concatenate([one[1] for one in alike]), "covers": [c for one in alike for c in one[2]]}
 
     return arrow_map(
-        bodies, find, f"gram long, context long, doc {kind}, sum long, place long, left short, right short")
+        bodies, find, f"gram long, context long, doc {kind}, sum long, place long, left short, right short, n long, "
+        "covers array<struct<first:long,end:long>>")
 
 
 def _contexts(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -176,15 +195,17 @@ def repeated_spans(
     """
     rows = anchor_rows(bodies, window, gram)
     # grams that occur once are most of them and end here; rows of a gram combine before the shuffle
-    again = stage(rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+    again = stage(rows.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "grams")
     shared = stage(rows.join(again, "gram"), "anchors")
     contexts = stage(shared.groupBy("gram", "context").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc", "sum", "place", "left", "right")).alias("one")), "contexts")
+        F.sum("n").alias("n"), F.min(F.struct("doc", "sum", "place", "left", "right")).alias("one")), "contexts")
     kinds = stage(contexts.groupBy("gram").agg(F.count("*").alias("kinds")), "kinds")
     # a context met twice settles all its windows
     twice = stage(contexts.where("n > 1").select("gram", "context"), "twice")
+    only = F.array(F.struct(
+        (F.col("place") - F.col("left")).alias("first"), (F.col("place") + F.col("right")).alias("end")))
     whole = shared.join(twice, ["gram", "context"]).select(
-        "doc", "sum", (F.col("place") - F.col("left")).alias("first"), (F.col("place") + F.col("right")).alias("end"))
+        "doc", "sum", F.inline(F.when(F.col("n") > 1, F.col("covers")).otherwise(only)))
     # of every context one occurrence is compared, where the gram has others
     compared = contexts.join(kinds.where("kinds > 1"), "gram").select(
         "gram", "kinds", "one.*", (F.col("kinds") > group).cast("int").alias("part"))
