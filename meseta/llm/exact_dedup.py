@@ -68,7 +68,9 @@ class DigestIndex:
         """
         firsts = digests.groupBy("digest").agg(F.max(id_col).alias("keep_id"))
         fresh = stage(self.unseen(firsts), "fresh")  # an insert can't read the table it writes
-        fresh.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.name)
+        # by bucket number, so that one task writes each bucket and an append adds one file to it at most
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        fresh.repartition(self.buckets, bucket).sortWithinPartitions("digest").write.insertInto(self.name)
 
 
 def exact_dedup(
