@@ -9,17 +9,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meseta.llm.char_cnn import WIDTH, CharCNN, codes, fit, platt, recall_threshold
-from meseta.llm.common import arrow_map
+from meseta.llm.common import arrow_map, arrow_stream
 from meseta.llm.registry import query, table
 
-SAMPLE_DOCUMENTS = 30_000
-"""Documents whose candidates the network is fitted on, at most; chosen by a hash of the id."""
 SAMPLE_CANDIDATES = 3_000
-"""Candidates of each label, at most."""
+"""Candidates of each label that the network is fitted on, at most; of all documents, by a hash of the window."""
+WORDS = 50
+"""Negative rows, at least: where candidates give fewer, or fewer than there are positive ones, ordinary words are added."""
+STEPS = 300
+"""Steps of fitting, at least."""
 RECALL = 0.98
 """Share of labelled findings that the threshold must find among rows held out from fitting."""
 BEFORE = 24
@@ -35,6 +38,9 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=@:~-]{16,}")
 _TELLING = re.compile(r"[0-9]|[a-z][A-Z]|[A-Z][a-z]+[A-Z]")
 
+_WORD = re.compile(r"[^\W\d_]{4,}")
+NEGATIVE, POSITIVE, WORD = range(3)
+
 Span = tuple[str, int, int]
 
 
@@ -98,36 +104,76 @@ class _Covered:
         return at >= 0 and self.ends[at] > start
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> SecretModel | None:
-    """A model of the findings of the fixed patterns; None where the sample holds too few.
+def words(text: str, base: _Covered) -> Iterator[str]:
+    """Windows of a few words spread over a text, without those that show a finding or a candidate."""
+    places = (_WORD.search(text, at) for at in range(0, len(text), len(text) // 8 + 1))
+    for found in {m.start(): m for m in places if m}.values():
+        window = windows(text, found.start(), found.start() + 1)[0]
+        if not base.meets(found.start() - BEFORE, found.start() + WIDTH - BEFORE) and not candidates(window):
+            yield window
+
+
+def sample(docs: DataFrame, text_col: str = "text") -> dict[int, list[str]]:
+    """Windows of each label (``NEGATIVE``, ``POSITIVE``, ``WORD``), those with the least hashes of all documents.
+
+    A task hands on no more rows of a label than the sample takes.
+    """
 
-    Candidates that overlap a finding are positive, the others negative. A third is held
-    out from fitting and sets calibration and threshold.
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        kept: dict[int, dict[str, int]] = {NEGATIVE: {}, POSITIVE: {}, WORD: {}}
+
+        def trim(limit: int) -> None:
+            for name, rows in kept.items():
+                if len(rows) > limit:
+                    kept[name] = dict(sorted(rows.items(), key=lambda row: (row[1], row[0]))[:SAMPLE_CANDIDATES])
+
+        def add(name: int, window: str) -> None:
+            kept[name][window] = xxhash.xxh3_64_intdigest(window.encode()) - 2 ** 63
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if not text:
+                    continue
+                base = _Covered(base_spans(text))
+                for start, end in candidates(text):
+                    add(POSITIVE if base.meets(start, end) else NEGATIVE, windows(text, start, end)[0])
+                for window in words(text, base):
+                    add(WORD, window)
+                trim(4 * SAMPLE_CANDIDATES)
+        trim(SAMPLE_CANDIDATES)
+        rows = [(name, window, order) for name, found in kept.items() for window, order in found.items()]
+        if rows:
+            yield dict(zip(("label", "window", "order"), map(list, zip(*rows))))
+
+    rows = arrow_stream(docs.select(text_col), label, "label int, window string, order long").distinct()
+    least = Window.partitionBy("label").orderBy("order", "window")
+    found = rows.withColumn("__rank", F.row_number().over(least)).where(F.col("__rank") <= SAMPLE_CANDIDATES).orderBy(
+        "label", "__rank").collect()
+    return {name: [row["window"] for row in found if row["label"] == name] for name in (NEGATIVE, POSITIVE, WORD)}
+
+
+def train(docs: DataFrame, text_col: str = "text", recall: float = RECALL) -> SecretModel | None:
+    """A model of the findings of the fixed patterns in all documents, however few they are.
+
+    Candidates that overlap a finding are positive, the others and, where these are few,
+    ordinary words negative. A third of each is held out from fitting and sets calibration
+    and threshold; a lone row does both. Without any positive candidate nothing can be
+    learned: the result is None, and a scan then has base spans only.
     """
-    ids = docs.select(F.col(id_col).alias("doc")).where("doc IS NOT NULL").distinct().orderBy(
-        F.xxhash64("doc")).limit(SAMPLE_DOCUMENTS)
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body")).join(
-        F.broadcast(ids), "doc", "left_semi")  # at most SAMPLE_DOCUMENTS ids
-
-    def label(batch: pa.RecordBatch) -> Iterator[dict]:
-        rows: list[tuple] = []
-        for text in batch.column("body").to_pylist():
-            base = _Covered(base_spans(text or ""))
-            for start, end in candidates(text or ""):
-                rows.append((windows(text, start, end)[0], int(base.meets(start, end))))
-        yield {"window": [r[0] for r in rows], "label": [r[1] for r in rows]}
-
-    rows = arrow_map(texts, label, "window string, label int").distinct()
-    chosen = [
-        row for value in (0, 1)
-        for row in rows.where(F.col("label") == value).orderBy(F.xxhash64("window"), "window").limit(
-            SAMPLE_CANDIDATES).collect()]
-    labels = np.array([row["label"] for row in chosen], np.float32)
-    if labels.sum() < 20 or (1 - labels).sum() < 20:
+    found = sample(docs, text_col)
+    good, bad = found[POSITIVE], found[NEGATIVE]
+    if not good:
         return None
-    x = codes([row["window"] for row in chosen])
-    apart = np.random.default_rng(2).random(len(x)) < 1 / 3
-    network = fit(x[~apart], labels[~apart])
+    bad = bad + found[WORD][:max(max(WORDS, len(good)) - len(bad), 0)]
+    x = codes(good + bad)
+    labels = np.repeat([1, 0], [len(good), len(bad)]).astype(np.float32)
+    apart = np.concatenate([np.arange(len(rows)) % 3 == 2 for rows in (good, bad)])
+    fitted = ~apart
+    for value in (0, 1):  # too few to divide
+        if not (apart & (labels == value)).any():
+            apart |= labels == value
+    batches = max(int(fitted.sum()) // 64, 1)
+    network = fit(x[fitted], labels[fitted], epochs=max(6, -(-STEPS // batches)))
     logits = network.logits(x[apart])
     slope, offset = platt(logits, labels[apart])
     scores = 1 / (1 + np.exp(-np.clip(slope * logits + offset, -30, 30)))
@@ -140,7 +186,8 @@ def scan(
     """One row per row of ``docs``: ``id_col``, the counts, base and all spans; a null text counts as empty.
 
     The network judges every candidate that no base span overlaps; kind ``learned``
-    marks what it adds. Base spans always stay.
+    marks what it adds. Base spans always stay. A model of None, which ``train`` gives for
+    documents without any positive candidate, adds nothing.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -143,6 +143,40 @@ def test_secret_scan(spark, tables):
     assert secret_scan.scan(documents(spark).limit(0), None).count() == 0
 
 
+@pytest.mark.parametrize("findings", [1, 7])
+def test_few_findings_among_many_documents_still_train_the_network(spark, findings):
+    key = "Zx9Qk27LmP4tVb81"
+    rows = [(k, f"nothing of note stands in this text of number {k}", "a") for k in range(300)]
+    rows += [(None, f"the secret = {hashlib.sha256(str(k).encode()).hexdigest()} of it", "a") for k in range(findings)]
+    rows += [(900, f"the secert = {key}{hashlib.md5(b'x').hexdigest().upper()} of it", "a")]
+    docs = documents(spark, rows)
+    model = secret_scan.train(docs)
+    assert model is not None and model.threshold <= 1
+    found = {row["doc_id"]: row for row in secret_scan.scan(docs, model).collect()}
+    assert all("learned" not in found[k]["spans"] for k in range(300))
+    assert secret_scan.train(docs.where("doc_id < 300")) is None  # no findings, no labels
+
+
+def test_query_runs_the_network_on_small_tables(spark, monkeypatch):
+    models = []
+    scan = secret_scan.scan
+    monkeypatch.setattr(secret_scan, "scan", lambda docs, model: models.append(model) or scan(docs, model))
+    rows = secret_scan.op2_secret_scan(spark, "/root/testdata/sf0.001").collect()
+    assert models[0] is not None and models[0].threshold <= 1
+    text = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    judged = 0
+    for row in rows:
+        spans = {tuple(s.split(":")) for s in row["spans"].split(",") if s}
+        base = secret_scan.base_spans(text[row["doc_id"]] or "")
+        learned = {(int(a), int(b)) for kind, a, b in spans if kind == "learned"}
+        asked = [c for c in secret_scan.candidates(text[row["doc_id"]] or "")
+                 if not secret_scan._Covered(base).meets(*c)]
+        scores = models[0].scores([secret_scan.windows(text[row["doc_id"]], *c) for c in asked])
+        assert learned == {c for c, score in zip(asked, scores) if score >= models[0].threshold}
+        judged += len(asked)
+    assert judged
+
+
 def test_query_hashes_the_base_spans(spark):
     rows = secret_scan.op2_secret_scan(spark, "/root/testdata/sf0.001").limit(50).collect()
     texts_ = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
