@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meseta.llm.anchors import Anchors, anchors, distinct
+from meseta.llm.anchors import SEGMENT, Anchors, anchors, distinct
 from meseta.llm.common import arrow_map, arrow_stream, slices, sorted_groups, stage, utf8
 from meseta.llm.interval_tree import maximal_repeats
 from meseta.llm.registry import query, table
@@ -57,14 +57,14 @@ def _alike(found: Anchors) -> tuple[Anchors, np.ndarray, list[list[dict]]]:
     return Anchors(*(column[first] for column in found)), counts, covers
 
 
-def anchor_rows(bodies: DataFrame, window: int, gram: int) -> DataFrame:
+def anchor_rows(bodies: DataFrame, window: int, gram: int, segment: int = SEGMENT) -> DataFrame:
     """gram, context, doc, sum, place, left, right of an anchor of each kind in a text, n and covers of all of them."""
     kind = bodies.schema["doc"].dataType.simpleString()
 
     def find(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = batch.column("body").to_pylist()
         for low, high in slices(np.array([len(text) for text in texts]), 4_000_000):
-            alike = [_alike(anchors(text, window, gram)) for text in texts[low:high]]
+            alike = [_alike(anchors(text, window, gram, segment)) for text in texts[low:high]]
             found = [one[0] for one in alike]
             counts = [len(f.place) for f in found]
             if not sum(counts):
@@ -84,7 +84,11 @@ def anchor_rows(bodies: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _contexts(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes around the wanted anchors: gram, part, doc, sum, place, before (reversed), after."""
+    """The bytes around the wanted anchors: gram, part, doc, sum, place, left, right, before (reversed), after.
+
+    Where a long text is cut into segments, one place can be the anchor on both sides:
+    two rows that only left and right tell apart. Repeated rows of ``bodies`` give one.
+    """
     kind = bodies.schema["doc"].dataType.simpleString()
     lists = wanted.groupBy("doc", "sum").agg(
         F.collect_list(F.struct("gram", "part", "place", "left", "right")).alias("at"))  # at most a text's anchors
@@ -100,12 +104,14 @@ def _contexts(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
             repeat = pa.array(np.full(len(place), row))
             yield {
                 "gram": values.field("gram"), "part": values.field("part"), "doc": batch.column("doc").take(repeat),
-                "sum": batch.column("sum").take(repeat), "place": place,
+                "sum": batch.column("sum").take(repeat), "place": place, "left": left, "right": right,
                 "before": [body[p - n:p][::-1] for p, n in zip(place.tolist(), left.tolist())],
                 "after": [body[p:p + n] for p, n in zip(place.tolist(), right.tolist())]}
 
-    return arrow_map(
-        found, cut, f"gram long, part int, doc {kind}, sum long, place long, before binary, after binary")
+    rows = arrow_map(
+        found, cut, f"gram long, part int, doc {kind}, sum long, place long, left short, right short, before binary, "
+        "after binary")
+    return rows.dropDuplicates(["gram", "doc", "sum", "place", "left", "right"])
 
 
 def _by_gram(contexts: DataFrame) -> DataFrame:
@@ -187,13 +193,13 @@ def window_repeats(contexts: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(
-    bodies: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP,
+    bodies: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP, segment: int = SEGMENT,
 ) -> tuple[DataFrame, DataFrame]:
     """Spans (doc, sum, first, end) covered by repeated windows, and the contexts that were compared.
 
     ``repeat_groups`` of the contexts lists the maximal repeats among them.
     """
-    rows = anchor_rows(bodies, window, gram)
+    rows = anchor_rows(bodies, window, gram, segment)
     # grams that occur once are most of them and end here; rows of a gram combine before the shuffle
     again = stage(rows.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "grams")
     shared = stage(rows.join(again, "gram"), "anchors")
@@ -209,7 +215,7 @@ def repeated_spans(
     # of every context one occurrence is compared, where the gram has others
     compared = contexts.join(kinds.where("kinds > 1"), "gram").select(
         "gram", "kinds", "one.*", (F.col("kinds") > group).cast("int").alias("part"))
-    around = stage(_contexts(bodies, compared).dropDuplicates(["gram", "doc", "sum", "place"]), "around")
+    around = stage(_contexts(bodies, compared), "around")
     spans = whole.unionByName(repeat_spans(around.where("part = 0"), window))
     large = around.where("part = 1")
     if not large.isEmpty():
@@ -228,7 +234,7 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def drop_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
-    group: int = GROUP,
+    group: int = GROUP, segment: int = SEGMENT,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, n_bytes, n_removed, n_spans, kept (bytes), removed (ranges).
 
@@ -237,7 +243,7 @@ def drop_repeats(
     """
     kind = docs.schema[id_col].dataType.simpleString()
     bodies = _bodies(docs, id_col, text_col)
-    spans, _ = repeated_spans(bodies, window, gram, group)
+    spans, _ = repeated_spans(bodies, window, gram, group, segment)
     spans = spans.groupBy("doc", "sum").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
     spans = stage(spans, "spans").withColumnsRenamed({"doc": "__doc", "sum": "__sum"})
     joined = bodies.join(

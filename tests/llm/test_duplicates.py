@@ -101,6 +101,32 @@ def test_repeats(spark, group):
     assert ordered(found) == ordered(without_repeats(texts()))
 
 
+@pytest.mark.parametrize("group", [4096, 2])
+def test_repeats_that_begin_or_end_at_a_cut(spark, group):
+    """Passages whose windows lie on one side of a cut, where both sides choose the same anchor."""
+    draw, cut = np.random.default_rng(7), 1000
+
+    def text(n):
+        return draw.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+
+    rows, sides = [], 0
+    for k in range(16):
+        body = text(2600)
+        found = anchors.anchors(body.encode(), segment=cut)
+        at = [a for a in (1, 2) if (found.place == found.place[np.searchsorted(found.place - found.left, a * cut)]).sum() > 1]
+        sides += len(at)
+        rows.append((3 * k, body, "a"))
+        for a in at or [1]:
+            rows.append((3 * k + 1, text(30) + body[a * cut - 40:a * cut + 199 - k] + text(90), "a"))
+            rows.append((3 * k + 2, text(50) + body[a * cut + k:a * cut + 230] + text(70), "a"))
+    assert sides > 8
+    rows.append(rows[0])
+    found = repeats.drop_repeats(documents(spark, rows), group=group, segment=cut).collect()
+    found = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest())
+             for r in found]
+    assert ordered(found) == ordered(without_repeats(rows))
+
+
 def test_repeat_groups_hold_all_occurrences(spark):
     from fixture import words
 
