@@ -93,25 +93,41 @@ def fit(x: np.ndarray, labels: np.ndarray, epochs: int = 6, batch: int = 64, see
     return model
 
 
-def platt(logits: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset that turn logits into probabilities, by Newton's method on held-out rows."""
+def platt(
+    logits: np.ndarray, labels: np.ndarray, steps: int = 50, weights: np.ndarray | None = None,
+) -> tuple[float, float]:
+    """Slope and offset that turn logits into probabilities, by Newton's method on held-out rows.
+
+    ``weights`` says how many rows each entry stands for; one if not given.
+    """
     slope, offset = 1.0, 0.0
+    weights = np.ones(len(logits)) if weights is None else weights
     # smoothed targets keep separable rows from an infinite slope
-    good, bad = labels.sum(), (1 - labels).sum()
+    good, bad = (weights * labels).sum(), (weights * (1 - labels)).sum()
     target = np.where(labels == 1, (good + 1) / (good + 2), 1 / (bad + 2))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(slope * logits + offset, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        gradient = np.array([((p - target) * logits).sum(), (p - target).sum()])
+        w = weights * (p * (1 - p) + 1e-9)
+        error = weights * (p - target)
+        gradient = np.array([(error * logits).sum(), error.sum()])
         hessian = np.array([[(w * logits ** 2).sum(), (w * logits).sum()], [(w * logits).sum(), w.sum()]])
         move = np.linalg.solve(hessian + 1e-6 * np.eye(2), gradient)
         slope, offset = slope - float(np.clip(move[0], -1, 1)), offset - float(np.clip(move[1], -2, 2))
     return slope, offset
 
 
-def recall_threshold(scores: np.ndarray, labels: np.ndarray, recall: float) -> float:
-    """The highest threshold that finds at least ``recall`` of the positive rows; above 1 without any."""
-    positive = np.sort(scores[labels == 1])
-    if not len(positive):
+def recall_threshold(
+    scores: np.ndarray, labels: np.ndarray, recall: float, weights: np.ndarray | None = None,
+) -> float:
+    """The highest threshold that finds at least ``recall`` of the positive rows; above 1 without any.
+
+    ``weights`` says how many rows each entry stands for; one if not given.
+    """
+    chosen = labels == 1
+    if not chosen.any():
         return 2.0
-    return float(positive[int(np.floor((1 - recall) * len(positive) + 1e-9))])
+    counts = np.ones(len(scores), np.int64) if weights is None else weights
+    order = np.argsort(scores[chosen])
+    below = np.cumsum(counts[chosen][order])
+    missed = int(np.floor((1 - recall) * below[-1] + 1e-9))
+    return float(scores[chosen][order][np.searchsorted(below, missed, side="right")])

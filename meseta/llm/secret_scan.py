@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,9 @@ WORDS = 50
 STEPS = 300
 """Steps of fitting, at least."""
 RECALL = 0.98
-"""Share of labelled findings that the threshold must find among rows held out from fitting."""
+"""Share of the findings of each kind that the threshold must find among all candidates outside the fit."""
+BINS, FAR = 64, 30
+"""Bins per unit of the histogram of scores, which ends at plus and minus ``FAR``."""
 BEFORE = 24
 """Characters of context in front of a candidate."""
 
@@ -78,12 +81,20 @@ class SecretModel:
 
     def scores(self, found: list[list[str]]) -> np.ndarray:
         """Probability of each candidate, the highest of its windows."""
-        if not found:
-            return np.zeros(0)
-        counts = np.array([len(w) for w in found])
-        logits = self.network.logits(codes([one for w in found for one in w]))
-        best = np.maximum.reduceat(logits, np.cumsum(counts) - counts)
-        return 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -30, 30)))
+        return calibrated(best_logits(self.network, found), self.slope, self.offset)
+
+
+def best_logits(network: CharCNN, found: list[list[str]]) -> np.ndarray:
+    """The highest output among the windows of each candidate."""
+    if not found:
+        return np.zeros(0)
+    counts = np.array([len(w) for w in found])
+    logits = network.logits(codes([one for w in found for one in w]))
+    return np.maximum.reduceat(logits, np.cumsum(counts) - counts)
+
+
+def calibrated(logits: np.ndarray, slope: float, offset: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(slope * logits + offset, -30, 30)))
 
 
 class _Covered:
@@ -152,32 +163,87 @@ def sample(docs: DataFrame, text_col: str = "text") -> dict[int, list[str]]:
     return {name: [row["window"] for row in found if row["label"] == name] for name in (NEGATIVE, POSITIVE, WORD)}
 
 
+def histogram(docs: DataFrame, network: CharCNN, fitted: frozenset[str], text_col: str = "text") -> list[tuple]:
+    """(in the fit, kinds, bin, n) of all candidates: those of ``docs`` by the kinds they meet and their score.
+
+    Kinds are joined by commas, empty for negative candidates; a bin is known by its lower end.
+    """
+
+    def judge(batch: pa.RecordBatch) -> Iterator[dict]:
+        counts: Counter = Counter()
+        asked: list[tuple[bool, str]] = []
+        found: list[list[str]] = []
+
+        def count() -> None:
+            bins = np.floor(np.clip(best_logits(network, found), -FAR, FAR) * BINS).astype(int).tolist()
+            counts.update((*key, at) for key, at in zip(asked, bins))
+            asked.clear()
+            found.clear()
+
+        for text in batch.column(0).to_pylist():
+            if not text:
+                continue
+            base = base_spans(text)
+            known = {kind: _Covered([span for span in base if span[0] == kind]) for kind in KINDS}
+            for start, end in candidates(text):
+                shown = windows(text, start, end)
+                asked.append((shown[0] in fitted, ",".join(k for k in KINDS if known[k].meets(start, end))))
+                found.append(shown)
+                if len(asked) >= 2000:
+                    count()
+        count()
+        if counts:
+            yield {
+                "fit": [key[0] for key in counts], "kinds": [key[1] for key in counts],
+                "bin": [key[2] for key in counts], "n": list(counts.values())}
+
+    rows = arrow_map(docs.select(text_col), judge, "fit boolean, kinds string, bin int, n long")
+    rows = rows.groupBy("fit", "kinds", "bin").agg(F.sum("n").alias("n"))
+    return [tuple(row) for row in rows.orderBy("fit", "kinds", "bin").collect()]
+
+
+def calibrate(rows: list[tuple], network: CharCNN, recall: float = RECALL) -> SecretModel:
+    """Calibration over the candidates outside the fit; the threshold keeps the recall of every kind.
+
+    A label or kind that the fit holds whole is judged by its rows in the fit.
+    """
+
+    def outside(chosen: list[tuple]) -> list[tuple]:
+        return [row for row in chosen if not row[0]] or chosen
+
+    good, bad = outside([row for row in rows if row[1]]), outside([row for row in rows if not row[1]])
+    logits = np.array([row[2] / BINS for row in good + bad])
+    labels = np.repeat([1.0, 0.0], [len(good), len(bad)])
+    slope, offset = platt(logits, labels, weights=np.array([float(row[3]) for row in good + bad]))
+    limits = []
+    for kind in KINDS:
+        of_kind = outside([row for row in rows if kind in row[1].split(",")])
+        if of_kind:
+            scores = calibrated(np.array([row[2] / BINS for row in of_kind]), slope, offset)
+            counts = np.array([row[3] for row in of_kind])
+            limits.append(recall_threshold(scores, np.ones(len(scores)), recall, counts))
+    return SecretModel(network, slope, offset, min(limits))
+
+
 def train(docs: DataFrame, text_col: str = "text", recall: float = RECALL) -> SecretModel | None:
     """A model of the findings of the fixed patterns in all documents, however few they are.
 
     Candidates that overlap a finding are positive, the others and, where these are few,
-    ordinary words negative. A third of each is held out from fitting and sets calibration
-    and threshold; a lone row does both. Without any positive candidate nothing can be
-    learned: the result is None, and a scan then has base spans only.
+    ordinary words negative. The network is fitted on a bounded sample, less a third of
+    it; calibration and threshold come from every candidate outside the fit, in all
+    documents. Without any positive candidate nothing can be learned: the result is None,
+    and a scan then has base spans only.
     """
     found = sample(docs, text_col)
     good, bad = found[POSITIVE], found[NEGATIVE]
     if not good:
         return None
     bad = bad + found[WORD][:max(max(WORDS, len(good)) - len(bad), 0)]
-    x = codes(good + bad)
+    good, bad = ([row for k, row in enumerate(rows) if k % 3 != 2] for rows in (good, bad))
     labels = np.repeat([1, 0], [len(good), len(bad)]).astype(np.float32)
-    apart = np.concatenate([np.arange(len(rows)) % 3 == 2 for rows in (good, bad)])
-    fitted = ~apart
-    for value in (0, 1):  # too few to divide
-        if not (apart & (labels == value)).any():
-            apart |= labels == value
-    batches = max(int(fitted.sum()) // 64, 1)
-    network = fit(x[fitted], labels[fitted], epochs=max(6, -(-STEPS // batches)))
-    logits = network.logits(x[apart])
-    slope, offset = platt(logits, labels[apart])
-    scores = 1 / (1 + np.exp(-np.clip(slope * logits + offset, -30, 30)))
-    return SecretModel(network, slope, offset, recall_threshold(scores, labels[apart], recall))
+    batches = max(len(labels) // 64, 1)
+    network = fit(codes(good + bad), labels, epochs=max(6, -(-STEPS // batches)))
+    return calibrate(histogram(docs, network, frozenset(good + bad), text_col), network, recall)
 
 
 def scan(

@@ -157,6 +157,37 @@ def test_few_findings_among_many_documents_still_train_the_network(spark, findin
     assert secret_scan.train(docs.where("doc_id < 300")) is None  # no findings, no labels
 
 
+def test_threshold_keeps_the_recall_of_a_kind_that_the_sample_lacks(spark, monkeypatch):
+    """Keys of one kind are many, those of another few and, by their hashes, outside a small sample."""
+    monkeypatch.setattr(secret_scan, "SAMPLE_CANDIDATES", 40)
+    draw = np.random.default_rng(5)
+    rows = [(k, f"see {hashlib.sha256(str(k).encode()).hexdigest()} and page-{k}-of-the-book", "a") for k in range(400)]
+    access = ["AKIA" + "".join(draw.choice(list("ABCDEFGHIJKLMNOP2"), 16)) for _ in range(30)]
+    rows += [(None, f"use {key} for it", "a") for key in access]
+    docs = documents(spark, rows)
+    model = secret_scan.train(docs)
+    counted = secret_scan.histogram(docs, model.network, frozenset())
+    assert sum(n for _, kinds, _, n in counted if kinds == "access") == sum(
+        bool(secret_scan.candidates(key)) for key in access)
+    for kind in ("hex", "access"):
+        texts_ = [r[1] for r in rows if any(s[0] == kind for s in secret_scan.base_spans(r[1]))]
+        found = [secret_scan.windows(t, *c) for t in texts_ for c in secret_scan.candidates(t)
+                 if secret_scan._Covered(secret_scan.base_spans(t)).meets(*c)]
+        assert found and (model.scores(found) >= model.threshold - 1e-6).mean() >= 0.95
+
+
+def test_weights_stand_for_rows():
+    draw = np.random.default_rng(4)
+    logits, labels, n = draw.normal(size=60), draw.integers(0, 2, 60).astype(float), draw.integers(1, 5, 60)
+    assert char_cnn.platt(logits, labels, weights=n.astype(float)) == pytest.approx(
+        char_cnn.platt(np.repeat(logits, n), np.repeat(labels, n)), abs=1e-6)
+    for recall in (0.5, 0.9, 0.98, 1.0):
+        positive = np.sort(np.repeat(logits[labels == 1], n[labels == 1]))
+        expected = positive[int(np.floor((1 - recall) * len(positive) + 1e-9))]
+        assert char_cnn.recall_threshold(logits, labels, recall, n) == expected
+        assert char_cnn.recall_threshold(np.repeat(logits, n), np.repeat(labels, n), recall) == expected
+
+
 def test_query_runs_the_network_on_small_tables(spark, monkeypatch):
     models = []
     scan = secret_scan.scan
