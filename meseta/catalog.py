@@ -163,6 +163,7 @@ class TableSpec:
     keys: tuple[str, ...]
     partition: tuple[str, str] | None = None  # ("days" | "months" | "value", column)
     place_column: str | None = None  # source column resolved against the province master
+    buckets: int = 0  # parts by the hash of the key, for tables whose loads touch all partitions
 
     @property
     def partition_column(self) -> str | None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meseta import catalog
@@ -55,6 +55,15 @@ def row_checks(df: DataFrame, table: str, checks: Mapping[str, tuple[str, Column
     return counted.select(F.inline(F.array(*rows)))
 
 
+def counted(
+    spark: SparkSession, table: str, checks: Mapping[str, tuple[str, Column]], total: int, bad: Mapping[str, int],
+) -> DataFrame:
+    """Verdicts of row checks that were counted while the rows were written."""
+    return spark.createDataFrame(
+        [(name, table, severity, total, bad[name]) for name, (severity, _) in checks.items()],
+        "check string, table string, severity string, n_total bigint, n_bad bigint")
+
+
 def null_key(keys: Sequence[str]) -> tuple[str, Column]:
     return ERROR, any_null(keys)
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meseta.operators.clean import any_null, in_window, latest_by_key
 from meseta.operators.guards import require_fields
 from meseta.session import discard, stage
+from meseta.sources.snapshots import Load, SnapshotTable, is_snapshot_table
 from meseta.sources.tables import TRANSACTIONAL, PathStore, TableStore, provider_of, require_table
 
 
@@ -60,7 +62,7 @@ def merge_rows(
 
 
 def upsert(
-    store: PathStore | TableStore,
+    store: PathStore | TableStore | SnapshotTable,
     source: DataFrame,
     keys: Sequence[str],
     *,
@@ -70,12 +72,20 @@ def upsert(
 ) -> UpsertReport:
     """Upsert into plain files: only the partitions of the source are rewritten.
 
+    A table with snapshots shows the load when it is complete; in the others readers see
+    partitions change one by one.
+
     The source is staged first (unless it already is), so that it is evaluated
     once and does not depend on the files being replaced. The partition value
     must follow from the key; otherwise a key could survive in its former
     partition. With ``insert_only`` stored rows win over rows of the same key.
     """
     require_fields(source, keys, "upsert source")
+    if isinstance(store, SnapshotTable):
+        rows = stage_source(source, store, keys)
+        merge = prepare(store, rows, keys, newest_by=newest_by, insert_only=insert_only)
+        discard(rows.frame)
+        return merge.publish()
     partition = store.partition_column
     staged_rows = source if staged else stage(source, "upsert-source")
     rows = check_source(staged_rows, keys, "upsert source")
@@ -104,12 +114,117 @@ def upsert(
     return UpsertReport(source_rows=rows, merged_rows=written)
 
 
+# Tables with snapshots ------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class StagedSource:
+    """Evaluated rows with what was counted while they were written."""
+
+    frame: DataFrame
+    rows: int
+    nulls: int  # rows without a complete key
+    partitions: Sequence[Row]  # physical partitions that occur
+    bad: Mapping[str, int]  # rows that meet each of the extra predicates
+
+
+def stage_source(
+    source: DataFrame, store: SnapshotTable, keys: Sequence[str], checks: Mapping[str, Column] | None = None,
+) -> StagedSource:
+    """Write the rows once; row count, missing keys, partitions and row checks are metrics of that write."""
+    checks = checks or {}
+    seen = Observation()
+    located = store.located(source)
+    places = [F.collect_set(F.struct(*store.partitions)).alias("partitions")] if store.partitions else []
+    watched = located.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(any_null(keys)).alias("nulls"), *places,
+        *[F.count_if(predicate).alias(f"bad_{i}") for i, predicate in enumerate(checks.values())])
+    frame = stage(watched, "upsert-source")
+    found = seen.get
+    return StagedSource(
+        frame, found["rows"], found["nulls"], found.get("partitions") or [],
+        {name: found[f"bad_{i}"] for i, name in enumerate(checks)})
+
+
+@dataclass(frozen=True)
+class PreparedMerge:
+    """A merge whose rows are written and checked, but not yet read by anyone."""
+
+    store: SnapshotTable
+    load: Load | None  # nothing to change without one
+    report: UpsertReport
+
+    def publish(self) -> UpsertReport:
+        if self.load:
+            self.store.publish(self.load)
+        return self.report
+
+    def abandon(self) -> None:
+        if self.load:
+            self.store.abandon(self.load)
+
+
+def _merged(
+    current: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str], insert_only: bool,
+) -> DataFrame:
+    """Rows of both sides by key, and ``_copy``: the number of a source row among those with its key.
+
+    Only the source is numbered, in the partitioning of the join. A bucketed target joins as it lies.
+    """
+    columns = current.columns
+    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    sided = source.select(*columns).withColumn("_copy", copy).alias("s")
+    same = reduce(lambda a, b: a & b, [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys])
+    stored = F.col(f"t.{keys[0]}").isNotNull()
+    if insert_only:
+        take = ~stored
+    elif newest_by:
+        new, old = (F.struct(*[F.col(f"{side}.{name}") for name in newest_by]) for side in "st")
+        take = F.col("_copy").isNotNull() & (~stored | (new >= old))
+    else:
+        take = F.col("_copy").isNotNull()
+    return current.alias("t").join(sided, same, "full_outer").select(
+        *[F.when(take, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name) for name in columns], "_copy")
+
+
+def prepare(
+    store: SnapshotTable, source: StagedSource, keys: Sequence[str], *, newest_by: Sequence[str] = (),
+    insert_only: bool = False, what: str = "upsert source",
+) -> PreparedMerge:
+    """Merge staged rows into new folders of the partitions they touch.
+
+    Raises for missing or repeated keys; then the table is as it was. Repeated keys and
+    merged rows are counted by the write itself. With ``insert_only`` stored rows win.
+    """
+    if source.nulls:
+        raise ValueError(f"{what}: {source.nulls} rows contain NULL natural keys.")
+    if not source.rows:
+        return PreparedMerge(store, None, UpsertReport(0, 0))
+    if store.buckets and set(keys) != set(store.keys):
+        raise ValueError(f"{store.name} is bucketed by {store.keys}, not by {tuple(keys)}.")
+    incoming = source.frame.repartition(store.buckets, *store.keys) if store.buckets else source.frame
+    seen = Observation()
+    merged = _merged(
+        store.of_partitions(source.partitions), incoming, store.keys if store.buckets else keys, newest_by, insert_only,
+    ).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_copy") == 2).alias("repeated")).drop("_copy")
+    if not store.buckets:  # even file sizes per partition, also when one partition is much larger
+        merged = merged.hint("rebalance", *store.partitions)
+    load = store.write(merged)
+    found = seen.get
+    if found["repeated"]:
+        store.abandon(load)
+        raise ValueError(f"{what}: {found['repeated']} natural keys occur more than once.")
+    return PreparedMerge(store, load, UpsertReport(source.rows, found["rows"]))
+
+
 def upsert_table(
     spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str],
     partition_column: str | None = None, newest_by: Sequence[str] = (), staged: bool = False,
 ) -> UpsertReport:
     """Upsert into a catalog table: MERGE where the format has it, rewrite elsewhere."""
     require_table(spark, name)
+    if is_snapshot_table(spark, name):
+        return upsert(SnapshotTable(spark, name), source, keys, newest_by=newest_by)
     if provider_of(spark, name) not in TRANSACTIONAL:
         store = TableStore(spark, name, partition_column)
         return upsert(store, source, keys, newest_by=newest_by, staged=staged)
@@ -126,7 +241,7 @@ def upsert_table(
 
 
 def backfill(
-    store: PathStore | TableStore, recalculated: DataFrame, keys: Sequence[str], ts: str, start, end
+    store: PathStore | TableStore | SnapshotTable, recalculated: DataFrame, keys: Sequence[str], ts: str, start, end
 ) -> UpsertReport:
     """Merge the recalculated rows of ``[start, end)``; rows outside stay as they are."""
     return upsert(store, in_window(recalculated, ts, start, end), keys)

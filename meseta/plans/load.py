@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meseta import catalog
-from meseta.catalog import TableSpec
 from meseta.operators import quality
 from meseta.operators.clean import in_window
 from meseta.operators.geo import attach_station_place
 from meseta.operators.joins import new_members
-from meseta.operators.upsert import UpsertReport, upsert_table
+from meseta.operators.upsert import PreparedMerge, StagedSource, UpsertReport, prepare, stage_source, upsert_table
 from meseta.plans import gold, silver
-from meseta.session import stage
+from meseta.session import discard, stage
 from meseta.sources.bronze import Bronze
+from meseta.sources.snapshots import BUCKET, SnapshotTable, is_snapshot_table
 from meseta.sources.tables import create_namespace, create_table, with_partition
 
 
@@ -41,17 +41,58 @@ def create_tables(
     ]
 
 
-def _write(spark: SparkSession, namespace: str, spec: TableSpec, frame: DataFrame, **options) -> UpsertReport:
-    return upsert_table(
-        spark, _qualified(namespace, spec.name), frame, spec.keys, spec.partition_column,
-        staged=True, **options,
-    )
+Checks = Mapping[str, tuple[str, Column]]
 
 
-def _staged(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Evaluate each frame once; checks and merge then read the staged columns."""
+def _staged(
+    spark: SparkSession, frames: Mapping[str, DataFrame], namespace: str, checks: Mapping[str, Checks],
+) -> tuple[dict[str, StagedSource | DataFrame], list[DataFrame]]:
+    """Evaluate each frame once and count its row checks in the same write where the table allows it."""
     specs = catalog.SILVER_TABLES | catalog.GOLD_TABLES
-    return {name: stage(with_partition(frame, specs[name]), name) for name, frame in frames.items()}
+    staged, verdicts = {}, []
+    for name, frame in frames.items():
+        rows, rules, target = with_partition(frame, specs[name]), checks.get(name, {}), _qualified(namespace, name)
+        if is_snapshot_table(spark, target):
+            staged[name] = source = stage_source(
+                rows, SnapshotTable(spark, target), specs[name].keys, {rule: bad for rule, (_, bad) in rules.items()})
+            found = [quality.counted(spark, name, rules, source.rows, source.bad)]
+        else:
+            staged[name] = rows = stage(rows, name)
+            found = [quality.row_checks(rows, name, rules)]
+        verdicts += found if rules else []
+    return staged, verdicts
+
+
+def _rows(source: StagedSource | DataFrame) -> DataFrame:
+    return source.frame.drop(BUCKET) if isinstance(source, StagedSource) else source
+
+
+def _write(
+    spark: SparkSession, namespace: str, staged: Mapping[str, StagedSource | DataFrame], newest_by: Sequence[str] = (),
+) -> dict[str, UpsertReport]:
+    """Merge every table, then publish them all: nothing is visible if one of them fails."""
+    specs = catalog.SILVER_TABLES | catalog.GOLD_TABLES
+    merges: dict[str, PreparedMerge] = {}
+    try:
+        for name, source in staged.items():
+            if isinstance(source, StagedSource):
+                merges[name] = prepare(
+                    SnapshotTable(spark, _qualified(namespace, name)), source, specs[name].keys,
+                    newest_by=newest_by, what=name)
+    except Exception:
+        for merge in merges.values():
+            merge.abandon()
+        raise
+    reports = {}
+    for name, source in staged.items():
+        if name in merges:
+            reports[name] = merges[name].publish()
+            discard(source.frame)
+        else:  # the format merges and publishes by itself
+            spec = specs[name]
+            reports[name] = upsert_table(
+                spark, _qualified(namespace, name), source, spec.keys, spec.partition_column, newest_by, staged=True)
+    return reports
 
 
 def _scope(name: str):
@@ -61,17 +102,14 @@ def _scope(name: str):
     return F.lit(True)
 
 
-def silver_checks(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Key and place checks, one pass per table."""
-    verdicts = []
-    for name, frame in frames.items():
-        spec = catalog.SILVER_TABLES[name]
-        checks = {"null_key": quality.null_key(spec.keys)}
-        if spec.place_column:
-            unplaced = F.col("province_code").isNull() | F.col("province_name").isNull()
-            checks["unmatched_place"] = (quality.ERROR, unplaced & _scope(name))
-        verdicts.append(quality.row_checks(frame, name, checks))
-    return verdicts
+def silver_checks(name: str) -> Checks:
+    """Key and place checks of a table's rows."""
+    spec = catalog.SILVER_TABLES[name]
+    checks = {"null_key": quality.null_key(spec.keys)}
+    if spec.place_column:
+        unplaced = F.col("province_code").isNull() | F.col("province_name").isNull()
+        checks["unmatched_place"] = (quality.ERROR, unplaced & _scope(name))
+    return checks
 
 
 def load_silver(
@@ -83,12 +121,9 @@ def load_silver(
         raise ValueError(f"Unknown load mode {mode}; known: {sorted(catalog.LOAD_MODES)}")
     frames = silver.build_silver(bronze, catalog.LOAD_MODES[mode] if tables is None else tables)
     create_tables(spark, frames, namespace, provider)
-    frames = _staged(frames)
-    quality.require_passed(silver_checks(frames))
-    return {
-        name: _write(spark, namespace, catalog.SILVER_TABLES[name], frame, newest_by=("ingestion_timestamp",))
-        for name, frame in frames.items()
-    }
+    staged, verdicts = _staged(spark, frames, namespace, {name: silver_checks(name) for name in frames})
+    quality.require_passed(verdicts)
+    return _write(spark, namespace, staged, newest_by=("ingestion_timestamp",))
 
 
 def build_gold(tables: Mapping[str, DataFrame], created_at: dt.datetime) -> dict[str, DataFrame]:
@@ -121,28 +156,29 @@ _GRAIN_OF_FACT = {
 }
 
 
+def fact_checks(name: str) -> Checks:
+    """Checks of a fact's rows: keys, geography level, grid and energy."""
+    level = F.element_at(F.split(F.col("geography_key"), r"\|"), 1)
+    checks = {"null_key": quality.null_key(catalog.GOLD_TABLES[name].keys),
+              "geography_level": quality.level_allowed(level, name)}
+    grain = _GRAIN_OF_FACT[name]
+    if grain == "MONTH":
+        checks["month_label"] = quality.incoherent_month("year_month", "gold_month_timestamp")
+    else:
+        checks["grid"] = quality.off_grid("gold_timestamp", grain)
+    if name == "gold_fact_country_5min":
+        for stem in catalog.NATIONAL_SERIES.values():
+            power, energy = gold.power_metric(stem), f"{stem}_energy_mwh_5min"
+            checks[f"sign_{stem}"] = quality.sign_changed(F.col(power), F.col(energy))
+            checks[f"energy_{stem}"] = quality.wrong_interval_energy(power, energy, 5)
+    return checks
+
+
 def gold_checks(facts: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Structural checks of the facts: keys, grid, geography level."""
-    verdicts = []
-    for name, frame in facts.items():
-        keys = catalog.GOLD_TABLES[name].keys
-        level = F.element_at(F.split(F.col("geography_key"), r"\|"), 1)
-        checks = {"null_key": quality.null_key(keys),
-                  "geography_level": quality.level_allowed(level, name)}
-        grain = _GRAIN_OF_FACT[name]
-        if grain == "MONTH":
-            checks["month_label"] = quality.incoherent_month("year_month", "gold_month_timestamp")
-        else:
-            checks["grid"] = quality.off_grid("gold_timestamp", grain)
-        if name == "gold_fact_country_5min":
-            stems = catalog.NATIONAL_SERIES.values()
-            for stem in stems:
-                power, energy = gold.power_metric(stem), f"{stem}_energy_mwh_5min"
-                checks[f"sign_{stem}"] = quality.sign_changed(F.col(power), F.col(energy))
-                checks[f"energy_{stem}"] = quality.wrong_interval_energy(power, energy, 5)
-        verdicts.append(quality.row_checks(frame, name, checks))
-        verdicts.append(quality.duplicate_keys(frame, keys, name))
-    return verdicts
+    """Structural checks of facts: their rows, and keys that repeat."""
+    return [verdict for name, frame in facts.items() for verdict in (
+        quality.row_checks(frame, name, fact_checks(name)),
+        quality.duplicate_keys(frame, catalog.GOLD_TABLES[name].keys, name))]
 
 
 _PADDING = dt.timedelta(days=1)  # more than any alignment shift plus the longest sub-monthly grain
@@ -202,33 +238,31 @@ def load_gold(
             for name, frame in facts.items()
         }
     create_tables(spark, facts, namespace, provider)
-    facts = _staged(facts)
+    staged, verdicts = _staged(spark, facts, namespace, {name: fact_checks(name) for name in facts})
+    facts = {name: _rows(source) for name, source in staged.items()}
 
-    # dimensions from the staged facts of this run; every control runs before the first write
+    # dimensions from the staged facts of this run; nothing is visible before every control has passed
     capacity = facts["gold_fact_installed_capacity_monthly"]
-    geography = stage(gold.dim_geography(
-        tables["silver_cnig_provinces"], tables["silver_cnig_autonomous_communities"],
-        created_at=created_at,
-        esios_ids=capacity.select("geography_key", "esios_geo_id").filter(F.col("esios_geo_id").isNotNull()).distinct(),
-    ), "gold_dim_geography")
-    instants = stage(gold.dim_time(
-        {_GRAIN_OF_FACT[name]: frame for name, frame in facts.items()}, created_at=created_at), "gold_dim_time")
-    new_geography = create_tables(spark, {"gold_dim_geography": geography}, namespace, provider)
-    create_tables(spark, {"gold_dim_time": instants}, namespace, provider)
+    dimensions = {
+        "gold_dim_geography": gold.dim_geography(
+            tables["silver_cnig_provinces"], tables["silver_cnig_autonomous_communities"], created_at=created_at,
+            esios_ids=capacity.select("geography_key", "esios_geo_id").filter(F.col("esios_geo_id").isNotNull()).distinct()),
+        "gold_dim_time": gold.dim_time(
+            {_GRAIN_OF_FACT[name]: frame for name, frame in facts.items()}, created_at=created_at)}
+    new_tables = create_tables(spark, dimensions, namespace, provider)
+    dimensions, _ = _staged(spark, dimensions, namespace, {})
+    geography, instants = (_rows(source) for source in dimensions.values())
+    new_geography = "gold_dim_geography" in new_tables
     places = geography if new_geography else spark.table(_qualified(namespace, "gold_dim_geography"))
+    repeated = [
+        quality.duplicate_keys(source, catalog.GOLD_TABLES[name].keys, name)  # counted by the merge elsewhere
+        for name, source in staged.items() if not isinstance(source, StagedSource)]
     quality.require_passed([
-        *gold_checks(facts), *placement_checks(tables),
+        *verdicts, *repeated, *placement_checks(tables),
         quality.dim_time_checks(instants), quality.dim_geography_checks(places),
         *[quality.dangling_references(frame, places, ["geography_key"], name) for name, frame in facts.items()],
     ])
-    reports = {}
-    if new_geography:
-        reports["gold_dim_geography"] = _write(
-            spark, namespace, catalog.GOLD_TABLES["gold_dim_geography"], geography)
-    known = spark.table(_qualified(namespace, "gold_dim_time"))
-    reports["gold_dim_time"] = _write(
-        spark, namespace, catalog.GOLD_TABLES["gold_dim_time"],
-        stage(new_members(instants, known, "time_key"), "gold_dim_time"))
-    for name, frame in facts.items():
-        reports[name] = _write(spark, namespace, catalog.GOLD_TABLES[name], frame)
-    return reports
+    members = new_members(instants, spark.table(_qualified(namespace, "gold_dim_time")), "time_key")
+    added, _ = _staged(spark, {"gold_dim_time": members}, namespace, {})
+    first = {"gold_dim_geography": dimensions["gold_dim_geography"]} if new_geography else {}
+    return _write(spark, namespace, {**first, **added, **staged})

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import partitioning
 from pyspark.sql.types import StructType
 
 from meseta.catalog import TableSpec
+from meseta.sources.snapshots import SnapshotTable, is_snapshot_table
 
 # Providers with partition transforms and MERGE of their own.
 TRANSACTIONAL = frozenset({"iceberg", "delta"})
@@ -59,7 +61,10 @@ def create_table(
     provider: str = "parquet",
     location: str | None = None,
 ) -> bool:
-    """Create an empty table with the schema of ``df``; an existing one is untouched."""
+    """Create an empty table with the schema of ``df``; an existing one is untouched.
+
+    Formats without transactions of their own become tables with snapshots.
+    """
     name = f"{namespace}.{spec.name}" if namespace else spec.name
     if table_exists(spark, name):
         return False
@@ -71,17 +76,22 @@ def create_table(
             writer = writer.partitionedBy(transform(column))
         writer.create()
         return True
-    writer = with_partition(df, spec).limit(0).write.format(provider)
-    if spec.partition:
-        writer = writer.partitionBy(spec.partition_column)
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(name)
+    SnapshotTable.create(
+        spark, name, with_partition(df, spec).schema, keys=spec.keys, buckets=spec.buckets, location=location,
+        provider=provider, partition_column=spec.partition_column if spec.partition else None)
     return True
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if is_snapshot_table(spark, name):
+        SnapshotTable(spark, name).drop()
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def physical_name(spark: SparkSession, name: str) -> str:
+    """The table whose files are read: the current snapshot of a table that has them."""
+    return SnapshotTable(spark, name).snapshot if is_snapshot_table(spark, name) else name
 
 
 def _description(spark: SparkSession, name: str) -> DataFrame:
@@ -89,7 +99,7 @@ def _description(spark: SparkSession, name: str) -> DataFrame:
 
 
 def provider_of(spark: SparkSession, name: str) -> str:
-    rows = _description(spark, name).filter("col_name = 'Provider'").take(1)
+    rows = _description(spark, physical_name(spark, name)).filter("col_name = 'Provider'").take(1)
     return rows[0]["data_type"].lower() if rows else "unknown"
 
 
@@ -100,11 +110,12 @@ def describe_layout(spark: SparkSession, names: Iterable[str]) -> DataFrame:
         if not table_exists(spark, name):
             rows.append((name, False, None, None, [], []))
             continue
+        physical = physical_name(spark, name)
         properties = {
             row["col_name"]: row["data_type"]
-            for row in _description(spark, name).filter("col_name IN ('Provider','Location')").collect()
+            for row in _description(spark, physical).filter("col_name IN ('Provider','Location')").collect()
         }
-        columns = spark.catalog.listColumns(name)
+        columns = spark.catalog.listColumns(physical)
         rows.append((
             name, True, properties.get("Provider"), properties.get("Location"),
             [column.name for column in columns],
@@ -123,7 +134,7 @@ def missing_tables(spark: SparkSession, names: Iterable[str], namespace: str) ->
 
 
 class PathStore:
-    """A Parquet directory as an upsert target.
+    """A Parquet directory as an upsert target; its partitions are replaced one by one.
 
     The schema is given, so that partition values keep their type and an
     interrupted first load cannot be mistaken for another schema.
@@ -138,6 +149,25 @@ class PathStore:
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
+    def like(self, rows: DataFrame) -> DataFrame:
+        """Stored rows of the partitions that occur in ``rows``; none before the first write."""
+        try:
+            stored = self.read()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)
+        if not self.partition_column:
+            return stored
+        occurring = [row[0] for row in rows.select(self.partition_column).distinct().collect()]
+        same = F.col(self.partition_column).isin([value for value in occurring if value is not None])
+        return stored.where(same | F.col(self.partition_column).isNull() if None in occurring else same)
+
+    def append(self, df: DataFrame) -> None:
+        """Add rows as new files of their partitions."""
+        writer = df.hint("rebalance", *([self.partition_column] if self.partition_column else [])).write.mode("append")
+        (writer.partitionBy(self.partition_column) if self.partition_column else writer).parquet(self.path)
+
     def replace(self, df: DataFrame) -> None:
         """Overwrite the partitions that occur in ``df`` (everything if unpartitioned)."""
         writer = df.write.mode("overwrite")
@@ -148,7 +178,7 @@ class PathStore:
 
 
 class TableStore:
-    """A catalog table of a plain file format as an upsert target."""
+    """A catalog table of a plain file format, made elsewhere, as an upsert target."""
 
     def __init__(self, spark: SparkSession, name: str, partition_column: str | None = None):
         require_table(spark, name)

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from meseta.catalog import TableSpec
 from meseta.operators import quality
-from meseta.operators.upsert import backfill, upsert, upsert_table
+from meseta.operators.upsert import backfill, prepare, stage_source, upsert, upsert_table
 from meseta.plans import gold
-from meseta.session import scratch_path
+from meseta.session import scratch_path, stage
 from meseta.sources import tables
+from meseta.sources.snapshots import SnapshotTable
 from meseta.sources.tables import PathStore
 from meseta.streaming import incremental
 from meseta.workload import facts
@@ -28,8 +29,13 @@ def _orders(t):
         "part_month", F.date_format("o_orderdate", "yyyy-MM"))
 
 
+def _snapshot_table(t, name, schema, **layout):
+    return SnapshotTable.create(
+        t.spark, f"{_namespace(t)}.{name}", schema, location=scratch_path(t.spark, name), **layout)
+
+
 def _order_store(t, rows=None):
-    store = PathStore(t.spark, scratch_path(t.spark, "orders"), _orders(t).schema, "part_month")
+    store = _snapshot_table(t, "orders", _orders(t).schema, partition_column="part_month")
     store.replace((_orders(t) if rows is None else rows).hint("rebalance", "part_month"))
     return store
 
@@ -75,13 +81,37 @@ def backfill_untouched(t):
     SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'MERGED' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
 def upsert_unpartitioned(t):
     rows = t.customer.select("c_custkey", "c_mktsegment")
-    store = PathStore(t.spark, scratch_path(t.spark, "customers"), rows.schema)
+    store = _snapshot_table(t, "customers", rows.schema)
     upsert(store, rows.filter(F.col("c_custkey") % 6 != 0), ["c_custkey"])
     changed = rows.filter(F.col("c_custkey") % 3 == 0).withColumn("c_mktsegment", F.lit("MERGED"))
     upsert(store, changed, ["c_custkey"])
     return store.read()
 
 
+@query("upsert_bucketed", """
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 50 < 3 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM orders""")
+def upsert_bucketed(t):
+    """A table bucketed and sorted by its key: merges shuffle the incoming rows alone."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    store = _snapshot_table(t, "orders", rows.schema, keys=["o_orderkey"], buckets=8)
+    upsert(store, rows.where("o_orderkey % 50 <> 1"), ["o_orderkey"])
+    upsert(store, rows.where("o_orderkey % 50 < 3").withColumn("o_totalprice", -F.col("o_totalprice")), ["o_orderkey"])
+    return store.read()
+
+
+@query("upsert_unpublished", """
+    SELECT o_orderkey, o_totalprice FROM orders""")
+def upsert_unpublished(t):
+    """A merge that is written and checked but never published: readers keep the rows they had."""
+    store = _order_store(t)
+    doubled = _orders(t).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    merge = prepare(store, stage_source(doubled, store, _ORDER_KEY), _ORDER_KEY)
+    seen = stage(store.read().select("o_orderkey", "o_totalprice"), "seen")
+    merge.abandon()
+    return seen
+
+
 # Catalog tables --------------------------------------------------------------------------
 
 
@@ -174,18 +204,6 @@ def _arrivals(t):
     return t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet*")
 
 
-def _late_arrivals(t):
-    """Events in four files, the newest instants first, one file to a micro-batch."""
-    folder = scratch_path(t.spark, "arrivals")
-    low, high = t.events.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
-    part = F.floor((F.unix_timestamp("ts") - low) * 4 / (high - low + 1))
-    for quarter in (3, 2, 1, 0):
-        # every event is delivered twice
-        rows = t.events.filter(part == quarter)
-        rows.unionByName(rows).coalesce(1).write.mode("append").parquet(folder)
-    return t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-
-
 @query("stream_upsert", """
     SELECT user_id, event_type, day, event_id, value FROM (
         SELECT user_id, event_type, CAST(ts AS DATE) AS day, event_id, value,
@@ -208,10 +226,26 @@ def stream_upsert(t):
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_dedup(t):
-    """Every event delivered twice, in small batches and newest first; each is kept once."""
-    delivered = _late_arrivals(t).select(
-        "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("day"))
-    store = PathStore(t.spark, scratch_path(t.spark, "stream"), delivered.schema, "day")
-    incremental.dedup_stream(
-        delivered, store, ["event_id", "day"], scratch_path(t.spark, "progress")).awaitTermination()
+    """Events delivered again in later batches; each is kept once.
+
+    The newest half comes first, then the older half with the newest half again, whose
+    keys are still in state. The last delivery comes when the state is lost, so that its
+    repeats are known from the stored rows only.
+    """
+    folder, progress = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "progress")
+    low, high = t.events.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
+    newest = F.unix_timestamp("ts") >= F.lit((low + high) // 2)
+    store = PathStore(
+        t.spark, scratch_path(t.spark, "stream"),
+        t.events.select("event_id", "user_id", "event_type", "value", F.to_date("ts").alias("day")).schema, "day")
+
+    def deliver(rows, progress):
+        rows.write.mode("append").parquet(folder)
+        arrivals = t.spark.readStream.schema(t.events.schema).parquet(folder).select(
+            "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("day"))
+        incremental.dedup_stream(arrivals, store, ["event_id", "day"], progress).awaitTermination()
+
+    deliver(t.events.filter(newest & (F.col("event_id") % 5 != 0)), progress)
+    deliver(t.events.filter(F.col("event_id") % 5 != 0), progress)
+    deliver(t.events.filter(F.col("event_id") % 5 == 0), scratch_path(t.spark, "progress"))
     return store.read().drop("day")

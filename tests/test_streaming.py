@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ from meseta.streaming import incremental
 SCHEMA = "k string, at int, v string"
 
 
+def str_json(progress):
+    return progress.json
+
+
 def deliver(spark, folder, *rows):
     spark.createDataFrame(list(rows), SCHEMA).coalesce(1).write.mode("append").parquet(folder)
 
@@ -103,3 +109,29 @@ def test_silver_stream_uses_the_batch_transform(spark):
         arrivals, store, ["station_id"], ["ingestion_timestamp"], scratch_path(spark, "progress"), transform
     ).awaitTermination()
     assert [r["station_id"] for r in store.read().select("station_id").collect()] == ["3195"]
+
+
+def test_dedup_state_is_bounded_and_its_loss_harmless(spark):
+    """Repeats of keys that left the state, or that it never held, are found among the stored rows."""
+    folder, progress = scratch_path(spark, "in"), scratch_path(spark, "progress")
+    store = PathStore(spark, scratch_path(spark, "out"), spark.createDataFrame([], SCHEMA).schema)
+
+    def run(*rows, progress=progress, remember="2 seconds"):
+        deliver(spark, folder, *rows)
+        stream = incremental.dedup_stream(
+            spark.readStream.schema(SCHEMA).parquet(folder), store, ["k"], progress, remember)
+        stream.awaitTermination()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in map(json.loads, map(str_json, stream.recentProgress))
+                if p["stateOperators"]]
+        return held[-1], sorted(r["k"] for r in store.read().collect())
+
+    many = [(f"k{i}", i, "v") for i in range(50)]
+    held, stored = run(*many)
+    assert held == 50 and len(stored) == 50
+    time.sleep(3)
+    run(("new", 0, "v"))
+    time.sleep(3)
+    held, stored = run(("newer", 0, "v"), *many[:10])
+    assert held <= 15 and len(stored) == 52  # the first 50 keys are gone from the state, their repeats are not stored
+    held, stored = run(("last", 0, "v"), progress=scratch_path(spark, "progress"))  # reads every file again
+    assert len(stored) == len(set(stored)) == 53
