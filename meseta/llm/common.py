@@ -60,6 +60,14 @@ def discard(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the next one like it that no column of ``df`` has, whatever its case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(text: str = "text") -> Column:
     """The text as UTF-8 bytes, empty for null."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -16,24 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from meseta.llm.common import stage
+from meseta.llm.common import free_name, stage
 from meseta.llm.registry import query, table
 from meseta.session import scratch_path
 
 
-def with_digest(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` and ``__digest``: SHA-256 of the text with A-Z lower-cased, as UTF-8.
+def with_digest(docs: DataFrame, text_col: str = "text", out: str = "__digest") -> DataFrame:
+    """``docs`` and ``out``: SHA-256 of the text with A-Z lower-cased, as UTF-8.
 
     A null text counts as empty. ``bytes.lower`` changes A-Z only, so no other
     character is touched.
     """
-    schema = StructType([*docs.schema.fields, StructField("__digest", BinaryType())])
+    schema = StructType([*docs.schema.fields, StructField(out, BinaryType())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text_col).to_pylist()
             digests = [hashlib.sha256((text or "").encode().lower()).digest() for text in texts]
-            yield batch.append_column("__digest", pa.array(digests, pa.binary()))
+            yield batch.append_column(out, pa.array(digests, pa.binary()))
 
     return docs.mapInArrow(digest, schema)
 
@@ -41,14 +41,16 @@ def with_digest(docs: DataFrame, text_col: str = "text") -> DataFrame:
 class DigestIndex:
     """Digests seen so far, in ``buckets`` buckets below ``path``.
 
-    The files outlive the session: opening the same path again continues the index.
+    The files outlive the session: opening the same path again continues the index. A
+    text keeps the id it entered with: of equal texts in one batch that is the largest,
+    and later batches don't change it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, id_type: str = "BIGINT"):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"digest_index_{hashlib.md5(path.encode()).hexdigest()}"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
 
     def rows(self) -> DataFrame:
@@ -81,14 +83,17 @@ def exact_dedup(
     The documents enter the index in two batches, larger ids first; the second meets
     the first through the anti join. Rows repeating both id and text are one
     document: they count in group_size and come out once. A null id loses against
-    any other; a text held only by rows with null ids keeps that row.
+    any other; a text held only by rows with null ids keeps that row. With an index that
+    holds earlier batches, a text known from them is not kept here, and group_size counts
+    the rows of this batch.
     """
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
     digests = stage(
         with_digest(rows, "body").groupBy("doc", F.col("__digest").alias("digest")).agg(F.count("*").alias("n")),
         "digests")
     low, high = digests.agg(F.min("doc"), F.max("doc")).first()
-    middle = F.lit(None if low is None else (low + high) // 2)
+    # ids without a middle, such as strings, enter in one batch
+    middle = F.lit((low + high) // 2 if isinstance(low, int) else None)
     later = F.coalesce(F.col("doc") <= middle, F.lit(True))
     index.add(digests.where(~later), "doc")
     index.add(digests.where(later), "doc")
@@ -103,19 +108,20 @@ def exact_dedup(
 
 def drop_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns; repeated rows come out once."""
+    digest = free_name(docs, "__digest")
     stays = stage(
         exact_dedup(docs, index, id_col, text_col).where("kept")
-        .select(F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__sha"), "n_rows"), "stays")
+        .select(F.col(id_col).alias("id"), F.unhex("text_sha256").alias("sha"), "n_rows"), "stays")
 
     def staying(which: DataFrame) -> DataFrame:
-        keyed = with_digest(docs, text_col)
-        same = keyed[id_col].eqNullSafe(which["__id"]) & (keyed["__digest"] == which["__sha"])
+        keyed = with_digest(docs, text_col, digest)
+        same = keyed[id_col].eqNullSafe(which["id"]) & (keyed[digest] == which["sha"])
         return keyed.join(which, same, "left_semi")
 
     kept, repeated = staying(stays.where("n_rows = 1")), stays.where("n_rows > 1")
     if not repeated.isEmpty():
-        kept = kept.unionByName(staying(repeated).dropDuplicates([id_col, "__digest"]))
-    return kept.drop("__digest")
+        kept = kept.unionByName(staying(repeated).dropDuplicates([id_col, digest]))
+    return kept.drop(digest)
 
 
 @query("op1_exact_dedup", sql="""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from meseta.llm.common import stage
+from meseta.llm.common import free_name, stage
 from meseta.llm.registry import query, table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -71,13 +71,13 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _settle(rows: Column, seed: int) -> Column:
+def _settle(rows: Column, seed: int, id_type: str) -> Column:
     """Fold an array of doc, salt, size, part rows, largest first.
 
     ``part`` is the open fraction. The state holds the one open row and those that
     are settled; every step settles one of two rows and keeps size times part.
     """
-    kind = "struct<doc:bigint,salt:bigint,size:bigint,part:double>"
+    kind = f"struct<doc:{id_type},salt:bigint,size:bigint,part:double>"
     start = F.struct(F.lit(None).cast(kind).alias("open"), F.array().cast(f"array<{kind}>").alias("done"))
 
     def row(of: Column, part: Column) -> Column:
@@ -139,6 +139,7 @@ def mix(
     rows = _with_source(sizes, goal, "target", "source_size").select(
         "doc", "salt", "source", "size", (asked - F.floor(asked)).alias("part"))
     rows = stage(rows, "fractions")
+    id_type = dict(rows.dtypes)["doc"]
     open_row = (F.col("size") > 0) & (F.col("part") > 0)
 
     # a source has as many blocks as its open rows need; ids decide who meets whom
@@ -154,7 +155,7 @@ def mix(
         largest_first = F.array_sort(F.collect_list(item))
         settled = open_rows.groupBy("source", "n", number.alias("number")).agg(largest_first.alias("items")).select(
             "source", F.ceil(F.col("n") / F.lit(block)).alias("n"),
-            _settle(F.col("items"), seed + level).alias("state"))
+            _settle(F.col("items"), seed + level, id_type).alias("state"))
         settled = stage(settled, f"level-{level}")
         done.append(settled.select("source", F.explode("state.done").alias("row")).select("source", "row.*"))
         # a residual that came out whole needs no partner
@@ -187,20 +188,21 @@ def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with every row as often as the mix takes it; the columns stay the same.
 
     Rows that repeat id and text share their copies: the mix holds one row for each,
-    so together they come out as often as the mix says.
+    so together they come out as often as the mix says. Ids can have any type.
     """
+    hash_, copy = free_name(docs, "__hash"), free_name(docs, "__copy")
+    id_, salt, copies = (free_name(docs, name) for name in ("__id", "__salt", "__copies"))
     plan = mix(docs, id_col=id_col, text_col=text_col, **options)
-    plan = plan.where("copies > 0").groupBy(F.col(id_col).alias("__id"), F.col("salt").alias("__salt")).agg(
-        F.sum("copies").alias("__copies"))
-    once = docs.withColumn("__hash", F.xxhash64(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__salt"))
+    plan = plan.where("copies > 0").groupBy(F.col(id_col).alias(id_), F.col("salt").alias(salt)).agg(
+        F.sum("copies").alias(copies))
+    once = docs.withColumn(hash_, F.xxhash64(F.col(text_col)))
+    same = F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(salt))
     plan = stage(plan, "copies")
     joined = once.join(plan, same)
-    repeats = stage(once.groupBy(id_col, "__hash").count().where("count > 1").select(
-        F.col(id_col).alias("__id2"), F.col("__hash").alias("__hash2")), "repeats")
+    repeats = once.groupBy(id_col, hash_).agg(F.count("*").alias(copy)).where(F.col(copy) > 1)
     if not repeats.isEmpty():
-        joined = joined.dropDuplicates([id_col, "__hash"])
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(
+        joined = joined.dropDuplicates([id_col, hash_])
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(
         *docs.columns)
 
 

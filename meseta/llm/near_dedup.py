@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meseta.llm.common import arrow_map, arrow_stream, slices, sorted_groups, stage, utf8
+from meseta.llm.common import arrow_map, arrow_stream, free_name, slices, sorted_groups, stage, utf8
 from meseta.llm.components import components
 from meseta.llm.registry import query, table
 from meseta.llm.shingles import shingle_hashes, shingle_set, word_hashes
@@ -49,7 +49,7 @@ def _minima(hashes: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> np
 def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc, sum, n_shingles, class (hash of the whole set, null for no shingles), minima (binary).
 
-    ``sum`` is a checksum of the text; with the id it finds the row again.
+    ``sum`` is a 64-bit checksum of the text; with the id it finds the row again.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -71,7 +71,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS,
                 "class": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], "minima": minima}
 
     return arrow_map(
-        docs.select(F.col(id_col).alias("doc"), F.crc32(utf8(text_col)).alias("sum"), utf8(text_col).alias("body")),
+        docs.select(F.col(id_col).alias("doc"), F.xxhash64(utf8(text_col)).alias("sum"), utf8(text_col).alias("body")),
         sign, f"doc {kind}, sum long, n_shingles long, class binary, minima binary")
 
 
@@ -186,15 +186,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """class, shingles of the wanted (doc, class) rows, from the texts once more."""
+    """class, shingles of the wanted (doc, sum, class) rows, from the texts once more."""
     def build(batch: pa.RecordBatch) -> Iterator[dict]:
         sets = [shingle_set(text).tobytes() for text in batch.column("body").to_pylist()]
         names = [xxhash.xxh3_128_digest(s) if s else None for s in sets]
         keep = [k for k, (name, own) in enumerate(zip(names, batch.column("class").to_pylist())) if name == own]
         yield {"class": [names[k] for k in keep], "shingles": [sets[k] for k in keep]}
 
-    texts = docs.select(F.col(id_col).alias("doc"), utf8(text_col).alias("body"))
-    found = texts.join(wanted, texts["doc"].eqNullSafe(wanted["doc"])).select("body", "class")
+    texts = docs.select(
+        F.col(id_col).alias("doc"), F.xxhash64(utf8(text_col)).alias("sum"), utf8(text_col).alias("body"))
+    same = texts["doc"].eqNullSafe(wanted["doc"]) & (texts["sum"] == wanted["sum"])
+    found = texts.join(wanted, same).select("body", "class")
     return arrow_map(found, build, "class binary, shingles binary")
 
 
@@ -212,7 +214,8 @@ def near_dedup(
     signed = stage(signatures(docs, id_col, text_col, bands, rows), "signatures")
     classes = stage(
         signed.where("class IS NOT NULL").groupBy("class").agg(
-            F.min("doc").alias("doc"), F.first("minima").alias("minima")), "classes")
+            F.min("doc").alias("doc"), F.min(F.struct("doc", "sum")).alias("one"), F.first("minima").alias("minima")),
+        "classes")
     keys = F.array(*[
         F.xxhash64(F.lit(band), F.substring("minima", 2 * rows * band + 1, 2 * rows)) for band in range(bands)])
     banded = classes.select("class", F.posexplode(keys).alias("band", "bucket"))
@@ -222,7 +225,8 @@ def near_dedup(
 
     first = stage(star_pairs(members, classes, agree, width), "star-pairs")
     sets = stage(_sets(
-        docs, classes.join(members.select("class").distinct(), "class").select("doc", "class"), id_col, text_col,
+        docs, classes.join(members.select("class").distinct(), "class").select("one.doc", "one.sum", "class"),
+        id_col, text_col,
     ).dropDuplicates(["class"]), "sets")
     # one partner each is enough to join most of a group; the rest follow only where they still matter
     best = first.groupBy("u").agg(F.max(F.struct("agree", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
@@ -259,19 +263,20 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     stays; repeated rows come out once.
     """
     result = near_dedup(docs, id_col, text_col, **options)
-    stays = result.where("kept").groupBy(F.col(id_col).alias("__id"), (F.col("n_shingles") == 0).alias("bare")).agg(
-        F.min("text_sum").alias("__sum"), F.count("*").alias("n")).drop("bare")
+    key = free_name(docs, "__key")
+    stays = result.where("kept").groupBy(F.col(id_col).alias("id"), (F.col("n_shingles") == 0).alias("bare")).agg(
+        F.min("text_sum").alias("sum"), F.count("*").alias("n")).drop("bare")
     stays = stage(stays, "stays")
 
     def staying(which: DataFrame) -> DataFrame:
-        keyed = docs.withColumn("__key", F.crc32(utf8(text_col)))
-        same = keyed[id_col].eqNullSafe(which["__id"]) & (keyed["__key"] == which["__sum"])
+        keyed = docs.withColumn(key, F.xxhash64(utf8(text_col)))
+        same = keyed[id_col].eqNullSafe(which["id"]) & (keyed[key] == which["sum"])
         return keyed.join(which, same, "left_semi")
 
     kept, several = staying(stays.where("n = 1")), stays.where("n > 1")
     if not several.isEmpty():
-        kept = kept.unionByName(staying(several).dropDuplicates([id_col, "__key"]))
-    return kept.drop("__key")
+        kept = kept.unionByName(staying(several).dropDuplicates([id_col, key]))
+    return kept.drop(key)
 
 
 @query("op8_near_dedup")

@@ -23,10 +23,14 @@ from meseta.llm.registry import query, table
 from meseta.llm.tokens import default_vocabulary, encoder
 
 GRAIN = 4
-"""Lengths are planned in steps of this many tokens; padding per piece stays below it."""
+"""Lengths are planned in steps of this many tokens. Pieces of one length go in bundles of
+as many, which fit the steps exactly, where a sequence holds more of them so; that is most
+lengths under 64. Another piece is padded by less than a step."""
 SALTS = 256
-"""Ranks within a length are counted in this many parts, so that a length that a third
-of all pieces share is spread over many tasks."""
+"""Ranks within a length are counted in this many parts at least, so that a length that a
+third of all pieces share is spread over many tasks."""
+PER_SALT = 100_000
+"""Pieces of a length in one part, about; a length with more has more parts."""
 
 
 def pieces(
@@ -54,17 +58,36 @@ def pieces(
         docs.select(id_col, text_col), cut, f"doc {kind}, start long, n long, crc long, doc_tokens long")
 
 
-def place(cut: DataFrame, length: int = 2048, grain: int = GRAIN, salts: int = SALTS) -> DataFrame:
+def place(
+    cut: DataFrame, length: int = 2048, grain: int = GRAIN, salts: int = SALTS,
+) -> DataFrame:
     """``cut`` with sequence_id and offset.
 
     Rows that repeat doc and start are pieces of their own.
     """
     spark = cut.sparkSession
     units = length // grain
-    rounded = F.least(F.ceil(F.col("n") / grain), F.lit(units)).cast("int")
-    cut = stage(cut.withColumn("units", rounded), "pieces")
-    histogram = cut.groupBy("units").agg(F.count("*").alias("n")).collect()  # at most ``units`` rows
-    counts = {row["units"]: row["n"] for row in histogram}
+    bundles = [n for n in range(1, units + 1) if units // n * grain > units // -(-n // grain)]
+    # the length of pieces that are bundled, minus the steps of others
+    kind = F.when(F.col("n").isin(bundles), F.col("n")).otherwise(-F.least(F.ceil(F.col("n") / grain), F.lit(units))).cast("int")
+    cut = stage(cut.withColumn("kind", kind), "pieces")
+    histogram = {  # at most as many rows as a sequence has tokens
+        row["kind"]: row["n"] for row in cut.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    salts = max([salts, *(-(-n // PER_SALT) for n in histogram.values())])
+    counts: dict[int, int] = {}
+    kinds = []  # kind, how many of its ranks are bundled, width and first item of the bundles, and of the others
+    for which, n in sorted(histogram.items()):
+        bundled = n - n % grain if which > 0 else 0
+        alone = -which if which < 0 else -(-which // grain)
+        first_bundle = counts.get(which, 0) if bundled else 0
+        if bundled:
+            counts[which] = first_bundle + bundled // grain
+        first_alone = counts.get(alone, 0)
+        if n > bundled:
+            counts[alone] = first_alone + n - bundled
+        kinds.append((which, bundled, which, first_bundle, alone, first_alone))
+    table_of_kinds = spark.createDataFrame(
+        kinds, "kind int, bundled long, bundle_width int, first_bundle long, alone_width int, first_alone long")
     full = counts.pop(units, 0)
     widths = sorted(counts)
     patterns = plan(widths, [counts[w] for w in widths], units)
@@ -83,21 +106,28 @@ def place(cut: DataFrame, length: int = 2048, grain: int = GRAIN, salts: int = S
     table_of_slots = spark.createDataFrame(
         slots, "width int, first long, beyond long, each long, sequence long, place long")
 
-    # rank within a width: count by salt, then add what earlier salts hold
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc", "start"), F.lit(salts)))
-    before = Window.partitionBy("units").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = salted.groupBy("units", "salt").agg(F.count("*").alias("here")).select(
-        "units", "salt", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("units", "salt").orderBy("doc", "start", "crc")) - 1
-    ranked = salted.withColumn("within", within).join(offsets, ["units", "salt"]).withColumn(
-        "rank", F.col("before") + F.col("within"))
-    # the slots number at most a few per width and pattern: bounded by the sequence length
+    # rank within a kind: count by salt, then add what earlier salts hold
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc", "start", "crc"), F.lit(salts)))
+    before = Window.partitionBy("kind").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = salted.groupBy("kind", "salt").agg(F.count("*").alias("here")).select(
+        "kind", "salt", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("kind", "salt").orderBy("doc", "start", "crc")) - 1
+    of_kind = F.col("before") + F.col("within")
+    in_bundle = of_kind < F.col("bundled")
+    # kinds and slots are a few per width and pattern: bounded by the sequence length
+    ranked = salted.withColumn("within", within).join(offsets, ["kind", "salt"]).join(
+        F.broadcast(table_of_kinds), "kind").select(
+        "doc", "start", "n", "crc", "doc_tokens",
+        F.when(in_bundle, F.col("bundle_width")).otherwise(F.col("alone_width")).alias("units"),
+        F.when(in_bundle, F.col("first_bundle") + F.floor(of_kind / grain)).otherwise(
+            F.col("first_alone") + of_kind - F.col("bundled")).alias("rank"),
+        F.when(in_bundle, of_kind % grain).otherwise(0).alias("of_bundle"))
     own = (F.col("units") == F.col("width")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("beyond"))
     placed = ranked.join(F.broadcast(table_of_slots), own).select(
         "doc", "start", "n", "crc", "doc_tokens",
         (F.col("sequence") + F.floor((F.col("rank") - F.col("first")) / F.col("each"))).alias("sequence_id"),
-        (F.col("place") + (F.col("rank") - F.col("first")) % F.col("each")).alias("place"))
-    in_order = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+        (F.col("place") + (F.col("rank") - F.col("first")) % F.col("each")).alias("place"), "of_bundle")
+    in_order = Window.partitionBy("sequence_id").orderBy("place", "of_bundle").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
 
 

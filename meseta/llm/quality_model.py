@@ -12,19 +12,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from meseta.llm.common import arrow_map, ship, slices, utf8
+from meseta.llm.common import arrow_map, free_name, ship, slices, stage, utf8
 from meseta.llm.registry import query, table
 
 PASSAGE = 1000
 """Bytes of a passage."""
 SAMPLE = 4000
 """Labelled documents that a model is fitted on, at most; chosen by a hash of the id."""
-SAMPLE_PASSAGES = 64
-"""Passages of one document that take part in fitting, at most, spread evenly; scoring uses all."""
+SAMPLE_PASSAGES = 100_000
+"""Passages of the labelled documents that a model is fitted on, at most. Documents enter
+whole, in the order of the hash; one that would exceed the sum is no part of the sample."""
 THRESHOLD = 0.7
 
 _KINDS = 16
@@ -155,7 +156,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, batch: int
         for chosen in np.array_split(order, max(len(bags) // batch, 1)):
             step += 1
             counts = np.array([len(bags[k]) for k in chosen])
-            found = model.gradients(np.concatenate([bags[k] for k in chosen]), counts, labels[chosen])
+            found = model.gradients(
+                np.concatenate([bags[k] for k in chosen]).astype(np.float32), counts, labels[chosen])
             for f, grad in zip(fields, found):
                 value = getattr(model, f)
                 first[f] = 0.9 * first[f] + 0.1 * grad
@@ -172,34 +174,46 @@ def held_out(id_col: str = "doc_id"):
 
 def labelled_bags(
     docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
-    sample: int = SAMPLE,
+    sample: int = SAMPLE, passages: int = SAMPLE_PASSAGES,
 ) -> tuple[list[np.ndarray], np.ndarray]:
-    """Passages and labels of at most ``sample`` labelled documents that aren't held out."""
+    """All passages, and the labels, of at most ``sample`` labelled documents that aren't held out.
+
+    Rows that repeat id and label count once; of rows of ``docs`` that repeat the id, the
+    one with the least text is taken.
+    """
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).select(
-        F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")).orderBy(
+        F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")).distinct().orderBy(
         F.xxhash64("doc"), "label").limit(sample)
     texts = docs.select(F.col(id_col).alias("doc"), utf8(text_col).alias("body"))
-    rows = texts.join(F.broadcast(chosen), "doc")  # at most ``sample`` rows
+    rows = stage(texts.join(F.broadcast(chosen), "doc").groupBy("doc", "label").agg(F.min("body").alias("body")), "bags")
+    taken = F.sum(F.greatest(F.ceil(F.octet_length("body") / PASSAGE), F.lit(1))).over(
+        Window.orderBy(F.xxhash64("doc"), "label").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    within = rows.select("doc", "label", taken.alias("taken")).where(F.col("taken") <= passages)  # of ``sample`` rows
+    rows = rows.join(F.broadcast(within), ["doc", "label"])
 
     def bags(batch: pa.RecordBatch) -> Iterator[dict]:
         found = []
         for text in batch.column("body").to_pylist():
             n = n_passages(text)
-            kept = np.unique(np.linspace(0, n - 1, min(n, SAMPLE_PASSAGES)).round().astype(int))
-            found.append(np.concatenate([passage_features(text, k, k + 1) for k in kept]).astype(np.float16).tobytes())
+            found.append(np.concatenate([
+                passage_features(text, k, min(k + 500, n)) for k in range(0, n, 500)]).astype(np.float16).tobytes())
         yield {"doc": batch.column("doc"), "label": batch.column("label"), "bag": found}
 
     kind = docs.schema[id_col].dataType.simpleString()
     got = arrow_map(rows.select("doc", "label", "body"), bags, f"doc {kind}, label int, bag binary").collect()
-    got = sorted(got, key=lambda row: (row["doc"], row["label"], bytes(row["bag"])))[:2 * sample]
-    return ([np.frombuffer(row["bag"], np.float16).reshape(-1, FEATURES).astype(np.float32) for row in got],
+    got = sorted(got, key=lambda row: (row["doc"], row["label"]))
+    return ([np.frombuffer(row["bag"], np.float16).reshape(-1, FEATURES) for row in got],
             np.array([row["label"] for row in got], np.float32))
 
 
 def score(
-    docs: DataFrame, model: AttentionModel, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, model: AttentionModel, id_col: str = "doc_id", text_col: str = "text", out: str = "__score",
 ) -> DataFrame:
-    """``docs`` and ``__score`` of every whole text; a null text counts as empty."""
+    """``docs`` and ``out``, the score of every whole text; a null text counts as empty.
+
+    The score takes the place of a column called ``out``; name a free one to keep both.
+    """
+    docs = docs.drop(out)
     ship(docs.sparkSession)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +231,9 @@ def score(
                 scores.append(model.scores(
                     np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.array(counts)))
             values = np.concatenate(scores).astype(np.float64) if scores else np.zeros(0)
-            yield batch.append_column("__score", pa.array(values))
+            yield batch.append_column(out, pa.array(values))
 
-    return docs.mapInArrow(apply, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
+    return docs.mapInArrow(apply, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> AttentionModel:
@@ -231,7 +245,8 @@ def good_documents(
 ) -> DataFrame:
     """The documents scored at ``threshold`` or more, with all their columns."""
     model = quality_model(docs, labels, id_col, text_col)
-    return score(docs, model, id_col, text_col).where(F.col("__score") >= threshold).drop("__score")
+    out = free_name(docs, "__score")
+    return score(docs, model, id_col, text_col, out).where(F.col(out) >= threshold).drop(out)
 
 
 @query("op7_quality_mil")

@@ -28,13 +28,13 @@ GROUP = 4096
 """Contexts of one gram that meet in one suffix array. A gram with more of them, such as
 the edge of a passage that a third of all documents share, is counted window by window."""
 
-_SPAN = "doc {kind}, sum long, first long, end long"
+_SPAN = "doc {kind}, sum binary, first long, end long"
 
 
 def _bodies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, sum, body: a row is known by its id and a checksum of its text; equal rows share their result."""
+    """doc, sum, body: a row is known by its id and 128 bits of its text's MD5; equal rows share their result."""
     return docs.select(
-        F.col(id_col).alias("doc"), F.crc32(utf8(text_col)).alias("sum"), utf8(text_col).alias("body"))
+        F.col(id_col).alias("doc"), F.unhex(F.md5(utf8(text_col))).alias("sum"), utf8(text_col).alias("body"))
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -79,7 +79,7 @@ def anchor_rows(bodies: DataFrame, window: int, gram: int, segment: int = SEGMEN
                 "n": np.concatenate([one[1] for one in alike]), "covers": [c for one in alike for c in one[2]]}
 
     return arrow_map(
-        bodies, find, f"gram long, context long, doc {kind}, sum long, place long, left short, right short, n long, "
+        bodies, find, f"gram long, context long, doc {kind}, sum binary, place long, left short, right short, n long, "
         "covers array<struct<first:long,end:long>>")
 
 
@@ -91,7 +91,7 @@ def _contexts(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     kind = bodies.schema["doc"].dataType.simpleString()
     lists = wanted.groupBy("doc", "sum").agg(
-        F.collect_list(F.struct("gram", "part", "place", "left", "right")).alias("at"))  # at most a text's anchors
+        F.collect_set(F.struct("gram", "part", "place", "left", "right")).alias("at"))  # at most a text's anchors
     lists = lists.withColumnsRenamed({"doc": "__doc", "sum": "__sum"})
     found = bodies.join(lists, bodies["doc"].eqNullSafe(lists["__doc"]) & (bodies["sum"] == lists["__sum"])).drop(
         "__doc", "__sum")
@@ -109,7 +109,7 @@ def _contexts(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
                 "after": [body[p:p + n] for p, n in zip(place.tolist(), right.tolist())]}
 
     rows = arrow_map(
-        found, cut, f"gram long, part int, doc {kind}, sum long, place long, left short, right short, before binary, "
+        found, cut, f"gram long, part int, doc {kind}, sum binary, place long, left short, right short, before binary, "
         "after binary")
     return rows.dropDuplicates(["gram", "doc", "sum", "place", "left", "right"])
 
@@ -141,7 +141,7 @@ def repeat_groups(contexts: DataFrame, window: int) -> DataFrame:
 
     return arrow_stream(
         _by_gram(contexts), scan,
-        f"repeat long, length long, occurrences array<struct<doc:{kind},sum:long,first:long>>")
+        f"repeat long, length long, occurrences array<struct<doc:{kind},sum:binary,first:long>>")
 
 
 def repeat_spans(contexts: DataFrame, window: int) -> DataFrame:
@@ -244,7 +244,7 @@ def drop_repeats(
     kind = docs.schema[id_col].dataType.simpleString()
     bodies = _bodies(docs, id_col, text_col)
     spans, _ = repeated_spans(bodies, window, gram, group, segment)
-    spans = spans.groupBy("doc", "sum").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    spans = spans.groupBy("doc", "sum").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
     spans = stage(spans, "spans").withColumnsRenamed({"doc": "__doc", "sum": "__sum"})
     joined = bodies.join(
         spans, bodies["doc"].eqNullSafe(spans["__doc"]) & (bodies["sum"] == spans["__sum"]), "left").select(

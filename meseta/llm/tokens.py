@@ -21,7 +21,10 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Ids of a byte-level BPE ``tokenizer.json``; strings of special tokens are ordinary text.
+    """Ids of a byte-level BPE ``tokenizer.json``, without tokens added around a text.
+
+    Strings of special tokens inside a text are those tokens, as the reference
+    implementation has it by default; such texts are left to it.
 
     The merges of the file, in order, are the ids of the vocabulary, so the file can
     also be read as ranks, which encodes three times as fast. What that reading can't
@@ -34,10 +37,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._slow = Tokenizer.from_file(path)
-        self._slow.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         special = {token.content for token in self._slow.get_added_tokens_decoder().values()}
+        self._special = tuple(special)
         # printable stand-ins of bytes: those that print stay, the others follow from 256 on
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [byte for byte in range(256) if byte not in set(printable)]
@@ -48,6 +51,8 @@ class Encoder:
 
     def ids(self, text: str) -> list[int]:
         try:
+            if any(token in text for token in self._special):
+                return self._slow.encode(text, add_special_tokens=False).ids
             return self._fast.encode_ordinary(text)
         except BaseException as error:  # a panic of the native library is no Exception
             if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):

@@ -8,8 +8,10 @@ import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+CLASHING = ("__score", "__salt", "__hash", "__copy", "__copies", "__key", "__digest", "__id", "__sum", "__sha", "__doc")
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, digest string, class string, "
-          "kept boolean, size int, n int, label string, rank int, doc string, body string, sum int")
+          "kept boolean, size int, n int, label string, rank int, doc string, body string, sum int, "
+          + ", ".join(f"{name} string" for name in CLASHING))
 
 
 def words(n: int, seed: int) -> str:
@@ -44,7 +46,7 @@ def texts() -> list[tuple]:
 def documents(spark, rows=None):
     rows = texts() if rows is None else rows
     return spark.createDataFrame(
-        [(i, t, "en", s, len(t or ""), "d", "c", True, 1, 2, "l", 3, "x", "y", 4) for i, t, s in rows], SCHEMA)
+        [(i, t, "en", s, len(t or ""), "d", "c", True, 1, 2, "l", 3, "x", "y", 4, *CLASHING) for i, t, s in rows], SCHEMA)
 
 
 def shingle_sets(rows) -> list[frozenset]:

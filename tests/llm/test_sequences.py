@@ -5,7 +5,8 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
-from fixture import WORD, documents, texts
+from fixture import CLASHING, WORD, documents, texts
+from pyspark.sql import functions as F
 
 from meseta.llm import chat, cutting_stock, mixing, packing, tokens
 
@@ -15,7 +16,6 @@ def encoder():
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(tokens.default_vocabulary())
-    slow.encode_special_tokens = True
     return lambda text: slow.encode(text, add_special_tokens=False).ids
 
 
@@ -72,6 +72,39 @@ def test_packing_pads_little_and_sequences_hold_the_ids(spark, encoder):
     placed.unpersist()
 
 
+@pytest.mark.parametrize("tokens_each", [3, 5, 33, 200, 257])
+def test_equal_texts_are_padded_little(spark, tokens_each):
+    cut = spark.range(20_000).select(
+        F.lit(None).cast("long").alias("doc"), F.lit(0).cast("long").alias("start"),
+        F.lit(tokens_each).cast("long").alias("n"), F.col("id").alias("crc"), F.lit(tokens_each).cast("long").alias("doc_tokens"))
+    found = packing.place(cut).toPandas()
+    assert len(found) == 20_000
+    for _, one in found.groupby("sequence_id"):
+        one = one.sort_values("offset")
+        assert (one["offset"] == one["n"].cumsum() - one["n"]).all()
+    used = found.groupby("sequence_id")["n"].sum()
+    assert used.max() <= 2048
+    fewest = -(-20_000 // (2048 // tokens_each))
+    assert len(used) <= fewest * (1.01 if tokens_each < 33 else 1.04) + 1
+
+
+def test_special_tokens_inside_texts_are_those_of_the_library(spark, encoder):
+    text = "a </s> b <s> <|endoftext|> <pad>"
+    rows = [(1, text, "a"), (2, "plain", "a")]
+    found = packing.pack(documents(spark, rows)).toPandas()
+    check_packing(found, rows, encoder)
+    lengths = tokens.encoded_lengths(documents(spark, rows), tokens.default_vocabulary()).collect()
+    assert sorted(row["n_tokens"] for row in lengths) == sorted(len(encoder(t)) for _, t, _ in rows)
+
+
+def test_mix_of_text_ids_and_taken_names(spark):
+    docs = documents(spark).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    repeated = mixing.repeat_documents(docs)
+    assert repeated.columns == docs.columns and dict(repeated.dtypes)["doc_id"] == "string"
+    row = repeated.first()
+    assert all(row[name] == name for name in CLASHING)
+
+
 def test_knapsack_and_plan():
     widths, values = np.array([3, 5, 7]), np.array([2.0, 4.5, 6.0])
     best = max(
