@@ -176,8 +176,8 @@ class TableSpec:
 
 _SERIES_KEY = ("station_id", "observation_timestamp")
 _INDICATOR_KEY = ("indicator_id", "esios_geo_id", "observation_timestamp")
-_BY_DAY = ("days", "observation_timestamp")
-_BY_MONTH = ("months", "observation_timestamp")
+BY_DAY = ("days", "observation_timestamp")
+BY_MONTH = ("months", "observation_timestamp")
 
 SILVER_TABLES = {
     spec.name: spec
@@ -185,16 +185,16 @@ SILVER_TABLES = {
         TableSpec("silver_aemet_stations", ("station_id",), None, "provincia"),
         TableSpec("silver_aemet_daily_climatology", ("station_id", "observation_date"),
                   ("months", "observation_date"), "provincia"),
-        TableSpec("silver_aemet_current_observations", _SERIES_KEY, _BY_DAY),
-        TableSpec("silver_open_meteo_hourly", _SERIES_KEY, _BY_DAY, "province"),
-        TableSpec("silver_open_meteo_historical_forecast", _SERIES_KEY, _BY_DAY, "province"),
-        TableSpec("silver_open_meteo_15min", _SERIES_KEY, _BY_DAY, "province"),
+        TableSpec("silver_aemet_current_observations", _SERIES_KEY, BY_DAY),
+        TableSpec("silver_open_meteo_hourly", _SERIES_KEY, BY_DAY, "province"),
+        TableSpec("silver_open_meteo_historical_forecast", _SERIES_KEY, BY_DAY, "province"),
+        TableSpec("silver_open_meteo_15min", _SERIES_KEY, BY_DAY, "province"),
         TableSpec("silver_cnig_provinces", ("province_code",)),
         TableSpec("silver_cnig_autonomous_communities", ("autonomous_community_code",)),
         TableSpec("silver_cnig_municipalities", ("municipality_ine_code",)),
-        TableSpec("silver_esios_energy_hourly", _INDICATOR_KEY, _BY_DAY, "esios_geo_name"),
-        TableSpec("silver_esios_power_5min", _INDICATOR_KEY, _BY_DAY),
-        TableSpec("silver_esios_installed_capacity_monthly", _INDICATOR_KEY, _BY_MONTH),
+        TableSpec("silver_esios_energy_hourly", _INDICATOR_KEY, BY_DAY, "esios_geo_name"),
+        TableSpec("silver_esios_power_5min", _INDICATOR_KEY, BY_DAY),
+        TableSpec("silver_esios_installed_capacity_monthly", _INDICATOR_KEY, BY_MONTH),
     )
 }
 

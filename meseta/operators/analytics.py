@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meseta.functions import bin_floor, sector, shift_hours
+from meseta.functions import bin_floor, sector
 from meseta.operators.clean import first_by_key
 
 
@@ -31,31 +31,33 @@ def correlate(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFram
 
 def offset_scan(
     df: DataFrame, keys: Sequence[str], ts: str, x: str, y: str, hours: Sequence[int],
-    by: Sequence[str] = (),
+    by: Sequence[str] = (), block_hours: int = 720,
 ) -> DataFrame:
     """Correlation of ``x`` shifted by each offset with ``y``.
 
-    ``df`` holds one row per (keys, ts). Every row emits its ``x`` once per
-    offset and its ``y`` once per offset unshifted; one aggregate per (offset,
-    keys, ts) pairs them, so no self join is needed.
+    ``df`` holds one row per (keys, ts). Series are cut into blocks of time, and a row
+    whose ``y`` lies within reach of another block is copied there, so every row is
+    shuffled once plus its share of the edges, whatever the number of offsets. Inside a
+    block each offset is a frame of one window; what offsets sum up is combined before
+    the last, small shuffle.
     """
-    offsets = F.explode(F.array(*[F.lit(h) for h in hours])).alias("offset_hours")
-    spread = df.select(*keys, ts, x, y, offsets)
-    carried = dict.fromkeys([*keys])
-    shifted = F.struct(
-        shift_hours(F.col(ts), F.col("offset_hours")).cast("timestamp").alias("_at"),
-        F.col(x).alias("_x"), F.lit(None).cast("double").alias("_y"),
-    )
-    fixed = F.struct(
-        F.col(ts).cast("timestamp").alias("_at"), F.lit(None).cast("double").alias("_x"),
-        F.col(y).alias("_y"),
-    )
-    paired = (
-        spread.select("offset_hours", *carried, F.inline(F.array(shifted, fixed)))
-        .groupBy("offset_hours", *carried, "_at")
-        .agg(F.max("_x").alias("_x"), F.max("_y").alias("_y"))
-    )
-    return correlate(paired, "_x", "_y", ["offset_hours", *by])
+    hour = 3_600_000_000
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    block = lambda instant: F.floor(instant / F.lit(block_hours * hour))
+    wanted = F.array_distinct(F.array(block(at), *[block(at - h * hour) for h in hours]))
+    rows = df.select(*keys, x, y, at.alias("_at"), F.explode(wanted).alias("_block"))
+    nearby = Window.partitionBy(*keys, "_block").orderBy("_at")
+    own = rows.select("*", *[
+        F.max(y).over(nearby.rangeBetween(h * hour, h * hour)).alias(f"_y{i}") for i, h in enumerate(hours)
+    ]).filter(F.col("_block") == block(F.col("_at")))
+    a = F.col(x)
+    sums = own.groupBy(*by).agg(*[
+        F.struct(
+            F.lit(h).alias("offset_hours"), F.count_if(a.isNotNull() & F.col(f"_y{i}").isNotNull()).alias("n_pairs"),
+            _correlation(a, F.col(f"_y{i}")).alias("correlation")).alias(f"_offset{i}")
+        for i, h in enumerate(hours)])
+    return sums.select(*by, F.inline(F.array(*[f"_offset{i}" for i in range(len(hours))]))).select(
+        "offset_hours", *by, "n_pairs", "correlation")
 
 
 def best_offset(scan: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -89,8 +89,29 @@ def explode_parallel(
 
 
 def in_window(df: DataFrame, ts: str, start, end) -> DataFrame:
-    """Half-open ``[start, end)``: consecutive runs neither overlap nor leave a hole."""
-    return df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
+    """Half-open ``[start, end)``: consecutive runs neither overlap nor leave a hole.
+
+    Partition columns that stored tables derive from ``ts`` are bounded as well, so the
+    scan lists the partitions of the window only; callers needn't know the layout.
+    """
+    low, high = F.lit(start), F.lit(end)
+    for name, transform in derived_partitions(df, ts):
+        df = df.filter((F.col(name) >= transform(low)) & (F.col(name) <= transform(high)))
+    return df.filter((F.col(ts) >= low) & (F.col(ts) < high))
+
+
+PARTITION_TRANSFORMS = {
+    "days": lambda ts: F.to_date(ts),
+    "months": lambda ts: F.date_format(ts, "yyyy-MM"),
+}
+
+
+def derived_partitions(df: DataFrame, ts: str) -> list[tuple[str, Callable[[Column], Column]]]:
+    """Columns whose comment says that they are days or months of ``ts``, and how."""
+    comments = {field.name: field.metadata.get("comment") for field in df.schema.fields}
+    return [
+        (name, transform) for name, comment in comments.items()
+        for kind, transform in PARTITION_TRANSFORMS.items() if comment == f"{kind}({ts})"]
 
 
 def of_class(df: DataFrame, magnitude: Column, time: Column, wanted: tuple) -> DataFrame:

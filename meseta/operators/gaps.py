@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from meseta.functions import minutes_between
 
 
+# Eras of buckets: each holds at most some hundreds of buckets.
+_ERA = {"minute": "day", "hour": "month", "day": "year", "month": "century"}
+
+
 def steps(df: DataFrame, series: Sequence[str], ts: str, bucket: str = "hour") -> DataFrame:
     """Differences in minutes between consecutive instants of each series.
 
@@ -18,9 +22,11 @@ def steps(df: DataFrame, series: Sequence[str], ts: str, bucket: str = "hour") -
 
     A series is cut into time buckets and ``lag`` runs inside each bucket, so
     the longest series spreads over many tasks. The step that crosses buckets
-    comes from one (first, last) row per bucket. Repeated instants are counted
-    before the window sees them.
+    comes from one (first, last) row per bucket, and these are carried in two
+    levels: inside an era of many buckets, and between eras. No task orders all
+    buckets of a series. Repeated instants are counted before the window sees them.
     """
+    era = _ERA.get(bucket, "century")
     instants = (
         df.filter(F.col(ts).isNotNull())
         .groupBy(*series, F.col(ts).alias("_ts"))
@@ -36,9 +42,13 @@ def steps(df: DataFrame, series: Sequence[str], ts: str, bucket: str = "hour") -
 
     # Both branches read the same shuffle of `instants`.
     within = placed.filter(F.col("_before").isNotNull())
-    crossing = placed.filter(F.col("_before").isNull()).withColumn(
-        "_before", F.lag("_last").over(Window.partitionBy(*series).orderBy("_bucket"))
-    )
+    firsts = placed.filter(F.col("_before").isNull()).withColumn("_era", F.date_trunc(era, F.col("_bucket")))
+    in_era = Window.partitionBy(*series, "_era")
+    carried = firsts.withColumns({
+        "_before": F.lag("_last").over(in_era.orderBy("_bucket")), "_era_last": F.max("_last").over(in_era)})
+    crossing = carried.filter(F.col("_before").isNotNull()).drop("_era", "_era_last").unionByName(
+        carried.filter(F.col("_before").isNull()).withColumn(
+            "_before", F.lag("_era_last").over(Window.partitionBy(*series).orderBy("_era"))).drop("_era", "_era_last"))
     step = F.struct(minutes_between(F.col("_before"), F.col("_ts")).alias("minutes"),
                     F.lit(1).cast("bigint").alias("n"))
     copies = F.struct(F.lit(0.0).alias("minutes"), (F.col("_copies") - 1).alias("n"))

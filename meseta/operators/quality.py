@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from meseta.functions.time import GRAIN_MINUTES
 from meseta.operators.clean import any_null, union_all
 from meseta.operators.gaps import step_summary
 from meseta.operators.joins import dangling
+from meseta.session import stage
 
 ERROR, WARNING, INFO = "ERROR", "WARNING", "INFO"
 
@@ -287,28 +289,61 @@ def unplaced(counted: DataFrame, table: str) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"), F.coalesce(lost, F.lit(0)).alias("n_bad"))
 
 
-def changed_outside(before: DataFrame, after: DataFrame, outside: Column, table: str) -> DataFrame:
+def fingerprints(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per group of ``by`` (or overall): rows, and 128 bits that depend on the multiset of rows alone.
+
+    Two sums of row hashes: rows may come in any order and repeat, and tasks combine
+    their part before the shuffle, which carries one row per group.
+    """
+    digests = [F.sum(F.xxhash64(F.lit(seed), *df.columns).cast("decimal(38,0)")) for seed in (1, 2)]
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_rows"), *[d.alias(f"_digest_{i}") for i, d in enumerate(digests)])
+
+
+def changed_outside(
+    before: DataFrame, after: DataFrame, outside: Column, table: str, by: Sequence[str] = (),
+) -> DataFrame:
     """Rows outside a reprocessed range that appeared, vanished or changed.
 
-    One aggregate over the union of both states: a row counts +1 before and -1
-    after, so equal multisets sum to zero everywhere.
+    Fingerprints per group of ``by``, such as the partition columns, are compared first;
+    equal groups are done. Rows of the others are counted +1 before and -1 after, so
+    equal multisets sum to zero everywhere.
     """
     columns = before.columns
-    signed = before.filter(outside).withColumn("_sign", F.lit(1)).unionByName(
-        after.select(*columns).filter(outside).withColumn("_sign", F.lit(-1))
-    )
+    old, new = before.filter(outside), after.select(*columns).filter(outside)
+    a, b = fingerprints(old, by), fingerprints(new, by)
+    marks = ("_rows", "_digest_0", "_digest_1")
+    sided = a.withColumns({f"{mark}_b": F.lit(None).cast(dict(a.dtypes)[mark]) for mark in marks}).unionByName(
+        b.select(*by, *[F.lit(None).cast(dict(b.dtypes)[mark]).alias(mark) for mark in marks],
+                 *[F.col(mark).alias(f"{mark}_b") for mark in marks]))
+    groups = sided.groupBy(*by).agg(*[F.max(name).alias(name) for mark in marks for name in (mark, f"{mark}_b")])
+    equal = reduce(lambda x, y: x & y, [F.col(mark).eqNullSafe(F.col(f"{mark}_b")) for mark in marks])
+    # an overall fingerprint of no rows has a count of 0 and no sum on either side
+    groups = stage(groups.withColumn("_equal", equal), "fingerprints")
+    same = groups.agg(F.coalesce(F.sum(F.when(F.col("_equal"), F.col("_rows"))), F.lit(0)).alias("same"))
+    unequal = groups.filter(~F.col("_equal")).select(*by, F.lit(True).alias("_differs"))
+    if unequal.isEmpty():
+        return _verdict(same, "changed_outside_range", table, ERROR, F.col("same"), F.lit(0))
+
+    def differing(rows: DataFrame) -> DataFrame:
+        if not by:
+            return rows
+        match = reduce(lambda x, y: x & y, [rows[name].eqNullSafe(unequal[name]) for name in by])
+        return rows.join(unequal, match, "left_semi")
+
+    signed = differing(old).withColumn("_sign", F.lit(1)).unionByName(differing(new).withColumn("_sign", F.lit(-1)))
     balance = signed.groupBy(*columns).agg(
-        F.sum("_sign").alias("_balance"), F.count_if(F.col("_sign") == 1).alias("_before")
-    )
+        F.sum("_sign").alias("_balance"), F.count_if(F.col("_sign") == 1).alias("_before"))
     counted = balance.agg(
-        F.sum("_before").alias("total"), F.sum(F.abs(F.col("_balance"))).alias("bad")
-    )
-    return _verdict(counted, "changed_outside_range", table, ERROR, F.col("total"), F.col("bad"))
+        F.coalesce(F.sum("_before"), F.lit(0)).alias("total"), F.sum(F.abs(F.col("_balance"))).alias("bad"))
+    return _verdict(
+        counted.withColumn("same", F.lit(same.first()["same"])),
+        "changed_outside_range", table, ERROR, F.col("total") + F.col("same"), F.col("bad"))
 
 
-def same_rows(first: DataFrame, second: DataFrame, table: str) -> DataFrame:
+def same_rows(first: DataFrame, second: DataFrame, table: str, by: Sequence[str] = ()) -> DataFrame:
     """Two runs gave the same multiset of rows."""
-    verdict = changed_outside(first, second, F.lit(True), table)
+    verdict = changed_outside(first, second, F.lit(True), table, by)
     return verdict.withColumn("check", F.lit("idempotent"))
 
 
@@ -334,9 +369,46 @@ def key_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).withColumn("n_duplicates", F.col("n_filled") - F.col("n_distinct"))
 
 
-def functional_dependency(df: DataFrame, code: str, name: str, table: str) -> DataFrame:
-    """Codes that carry more than one name."""
-    pairs = df.groupBy(code).agg(F.min(name).alias("_low"), F.max(name).alias("_high"))
+def minimal_keys(df: DataFrame, columns: Sequence[str], most: int = 3) -> DataFrame:
+    """Column combinations that no two rows share, and none of whose parts is unique already.
+
+    Combinations grow level by level up to ``most`` columns. A level is one pass over the
+    rows: all its candidates are counted together, on 128-bit digests of their values.
+    A candidate is left out if a part of it is unique, or if its parts have too few
+    distinct values to tell all rows apart. NULL is a value. Rows: columns (comma-joined),
+    n_columns, n_rows, n_distinct.
+    """
+    total = df.count()
+    distinct: dict[tuple[str, ...], int] = {}
+    found: list[tuple[str, ...]] = []
+    for size in range(1, min(most, len(columns)) + 1):
+        candidates = [
+            combination for combination in combinations(columns, size)
+            if not any(set(key) <= set(combination) for key in found)
+            and (size == 1 or min(
+                distinct.get(tuple(c for c in combination if c != left), total) * distinct[(left,)]
+                for left in combination) >= total)]
+        if not candidates or not total:
+            break
+        sets = [
+            F.struct(F.lit(i).alias("which"), F.xxhash64(F.lit(i), *names).alias("a"), F.xxhash64(F.lit(-1 - i), *[
+                F.struct(F.col(name).isNull(), F.col(name)) for name in names]).alias("b"))
+            for i, names in enumerate(candidates)]
+        values = df.select(F.inline(F.array(*sets))).distinct()
+        for row in values.groupBy("which").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per candidate
+            distinct[candidates[row["which"]]] = row["n"]
+            if row["n"] == total:
+                found.append(candidates[row["which"]])
+    return df.sparkSession.createDataFrame(
+        [(",".join(key), len(key), total, distinct[key]) for key in sorted(found)],
+        "columns string, n_columns int, n_rows bigint, n_distinct bigint")
+
+
+def functional_dependency(df: DataFrame, code: str | Sequence[str], name: str, table: str) -> DataFrame:
+    """Codes, of one or several columns, that carry more than one name."""
+    codes = [code] if isinstance(code, str) else list(code)
+    code = "_".join(codes)
+    pairs = df.groupBy(*codes).agg(F.min(name).alias("_low"), F.max(name).alias("_high"))
     counted = pairs.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("_low") != F.col("_high")).alias("bad")
     )

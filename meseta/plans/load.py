@@ -187,21 +187,12 @@ _PADDING = dt.timedelta(days=1)  # more than any alignment shift plus the longes
 def _silver_of_window(
     tables: Mapping[str, DataFrame], window: tuple[dt.datetime, dt.datetime],
 ) -> dict[str, DataFrame]:
-    """The instants that a Gold window can need, by physical partition as well, so that files are skipped."""
+    """The instants that a Gold window can need; the scan skips the partitions outside."""
     start, end = window[0] - _PADDING, window[1] + _PADDING
-    needed = {}
-    for name, frame in tables.items():
-        kind, column = catalog.SILVER_TABLES[name].partition or (None, None)
-        if column == "observation_timestamp" and kind in ("days", "months"):
-            form = "%Y-%m-%d" if kind == "days" else "%Y-%m"
-            part = catalog.SILVER_TABLES[name].partition_column
-            frame = in_window(frame, column, start, end)
-            if part in frame.columns:
-                value = F.col(part)
-                bounds = [start.date(), end.date()] if kind == "days" else [start.strftime(form), end.strftime(form)]
-                frame = frame.filter((value >= F.lit(bounds[0])) & (value <= F.lit(bounds[1])))
-        needed[name] = frame
-    return needed
+    return {
+        name: in_window(frame, "observation_timestamp", start, end)
+        if catalog.SILVER_TABLES[name].partition in (catalog.BY_DAY, catalog.BY_MONTH) else frame
+        for name, frame in tables.items()}
 
 
 def placement_checks(tables: Mapping[str, DataFrame]) -> list[DataFrame]:

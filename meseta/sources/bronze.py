@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,9 @@ ESIOS_DATASETS = frozenset({
 class Bronze:
     """A landing root laid out as ``<root>/<source>/<dataset>/year=/month=/day=``.
 
-    ``landed`` restricts every scan to the half-open range of landing dates, so
-    that an incremental load lists and reads only its own directories.
+    ``landed`` restricts every scan to the half-open range of landing dates. The folders
+    of those days are looked up by month, so an incremental load lists and reads its own
+    days only, however long the history is.
     """
 
     def __init__(
@@ -52,27 +53,48 @@ class Bronze:
             raise ValueError("Source and dataset cannot be blank.")
         return f"{self.root}/{source}/{dataset}"
 
-    def _in_landed_range(self, df: DataFrame) -> DataFrame:
-        if self.landed is None or "year" not in df.columns:
-            return df
+    def _day_folders(self, path: str) -> list[str]:
+        """Folders of the landed days of a dataset that exist; one listing a month."""
         start, end = self.landed
-        stamp = F.col("year") * 10_000 + F.col("month") * 100 + F.col("day")
-        return df.filter(
-            (stamp >= int(start.strftime("%Y%m%d"))) & (stamp < int(end.strftime("%Y%m%d")))
-        )
+        wanted = {start + dt.timedelta(days=i) for i in range((end - start).days)}
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        found = []
+        for year, month in sorted({(day.year, day.month) for day in wanted}):
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/year={year:04d}/month={month:02d}")
+            files = folder.getFileSystem(conf)
+            if not files.exists(folder):
+                continue
+            for status in files.listStatus(folder):
+                name = status.getPath().getName()
+                if name.startswith("day=") and dt.date(year, month, int(name[4:])) in wanted:
+                    found.append(f"{path}/year={year:04d}/month={month:02d}/{name}")
+        return sorted(found)
+
+    def _located(self, reader: DataFrameReader, paths: list[str]) -> tuple[DataFrameReader, list[str]]:
+        """The reader and the folders it has to scan.
+
+        The days of one dataset come with their date columns; several datasets have no
+        common base for them and are scanned as one list of folders.
+        """
+        if self.landed is None:
+            return reader, paths
+        folders = [folder for path in paths for folder in self._day_folders(path)]
+        if len(paths) > 1:
+            return reader.option("recursiveFileLookup", True), folders
+        return reader.option("basePath", paths[0]), folders
 
     # generic scans -----------------------------------------------------------
 
     def json(self, schema: T.StructType, source: str, *datasets: str) -> DataFrame:
         """One scan over one or several datasets of a source."""
         paths = [self.path(source, dataset) for dataset in datasets]
-        frame = (
+        reader = (
             self.spark.read.schema(schema)
             .option("multiLine", self.multiline)
             .option("recursiveFileLookup", self.landed is None)
-            .json(paths)
         )
-        return self._in_landed_range(frame)
+        reader, folders = self._located(reader, paths)
+        return reader.json(folders)
 
     def csv(self, schema: T.StructType, source: str, dataset: str, sep: str = ";") -> DataFrame:
         """Delimited snapshot with a header.
@@ -81,20 +103,16 @@ class Bronze:
         switch. Latin-1 is accepted and differs in 27 characters, which are put right
         in every text column.
         """
-        frame = (
-            self.spark.read.schema(schema)
-            .options(header=True, sep=sep, encoding="iso-8859-1")
-            .csv(self.path(source, dataset))
-        )
+        reader = self.spark.read.schema(schema).options(header=True, sep=sep, encoding="iso-8859-1")
+        reader, folders = self._located(reader, [self.path(source, dataset)])
         texts = [field.name for field in schema if isinstance(field.dataType, T.StringType)]
-        return self._in_landed_range(frame.withColumns({name: windows_1252(F.col(name)) for name in texts}))
+        return reader.csv(folders).withColumns({name: windows_1252(F.col(name)) for name in texts})
 
     def text(self, source: str, dataset: str, packed: bool = False) -> DataFrame:
         """One row per landed document: a whole file, or a record of a packed file."""
         form = {"lineSep": RECORD_SEPARATOR} if packed else {"wholetext": True}
-        return self._in_landed_range(
-            self.spark.read.text(self.path(source, dataset), **form)
-        )
+        reader, folders = self._located(self.spark.read.options(**form), [self.path(source, dataset)])
+        return reader.text(folders)
 
     # AEMET -------------------------------------------------------------------
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,3 +75,27 @@ def land_text(
         .option("lineSep", RECORD_SEPARATOR).text(path)
     )
     return path
+
+
+def land_snapshot(
+    df: DataFrame, root: str, *, source: str, dataset: str, ingested_at: dt.datetime, sep: str = ";",
+) -> str:
+    """Append a delimited snapshot with a header whose file names carry the landing instant.
+
+    ``<source>_<dataset>_YYYYMMDDTHHMMSSffffffZ_<id>.csv`` is what readers take the instant
+    from. Spark writes the parts below a name that readers skip; they are renamed into place.
+    """
+    path = _checked_path(root, source, dataset)
+    folder = f"{path}/year={ingested_at:%Y}/month={ingested_at:%m}/day={ingested_at:%d}"
+    staging = f"{path}/_landing-{uuid.uuid4().hex}"
+    df.write.options(header=True, sep=sep, encoding="iso-8859-1").csv(staging)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    files = target.getFileSystem(conf)
+    files.mkdirs(target)
+    for status in files.listStatus(jvm.org.apache.hadoop.fs.Path(staging)):
+        if status.getPath().getName().startswith("part-"):
+            name = f"{source}_{dataset}_{ingested_at:%Y%m%dT%H%M%S%f}Z_{uuid.uuid4().hex}.csv"
+            files.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+    files.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return path

@@ -202,7 +202,10 @@ class SnapshotTable:
         home = f"{space}__snapshots" if space else "snapshots"  # apart, so that a listing shows tables only
         self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {home}")
         name = f"{home}.{table}_{uuid.uuid4().hex[:12]}"
-        columns = {field.name: field.dataType.simpleString() for field in schema.fields}
+        columns = {
+            field.name: field.dataType.simpleString() + (
+                f" COMMENT '{field.metadata['comment']}'" if "comment" in field.metadata else "")
+            for field in schema.fields}
         if self.buckets:
             columns[BUCKET] = "int"
         body = ", ".join(f"`{column}` {kind}" for column, kind in columns.items())

@@ -11,6 +11,7 @@ from pyspark.sql.functions import partitioning
 from pyspark.sql.types import StructType
 
 from meseta.catalog import TableSpec
+from meseta.operators.clean import PARTITION_TRANSFORMS
 from meseta.sources.snapshots import SnapshotTable, is_snapshot_table
 
 # Providers with partition transforms and MERGE of their own.
@@ -37,19 +38,20 @@ def partition_value(spec: TableSpec) -> Column | None:
     if spec.partition is None:
         return None
     kind, column = spec.partition
-    if kind == "days":
-        return F.to_date(F.col(column))
-    if kind == "months":
-        return F.date_format(F.col(column), "yyyy-MM")
-    return F.col(column)
+    return PARTITION_TRANSFORMS[kind](F.col(column)) if kind in PARTITION_TRANSFORMS else F.col(column)
 
 
 def with_partition(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add the physical partition column that formats without transforms need."""
+    """Add the physical partition column that formats without transforms need.
+
+    Its comment names what it is derived from, for readers that filter by the source column.
+    """
     value = partition_value(spec)
     if value is None or spec.partition_column in df.columns:
         return df
-    return df.withColumn(spec.partition_column, value)
+    kind, column = spec.partition
+    return df.withColumn(spec.partition_column, value).withMetadata(
+        spec.partition_column, {"comment": f"{kind}({column})"})
 
 
 def create_table(
