@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
 from meseta import catalog
 from meseta.functions import floor_grain, power_to_energy
-from meseta.operators import aggregate, gaps, quality
-from meseta.plans import gold
+from meseta.operators import aggregate, gaps, geo, guards, quality
+from meseta.operators.clean import union_all
+from meseta.plans import gold, silver
 from meseta.workload import facts
 from meseta.workload.cleaning import _SQL_DMS_LATITUDE, _dms
 from meseta.workload.derived import SQL_LOCATED, located
@@ -389,3 +391,95 @@ def idempotent_run(t):
 @query("row_count_check", _verdict("row_count", "orders", "ERROR", "count(*)", "abs(count(*) - 1000)", "orders"))
 def row_count_check(t):
     return quality.row_count_matches(t.orders, 1000, "orders")
+
+
+# Composite keys -----------------------------------------------------------------------
+
+_LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag")
+_SQL_COMBINATIONS = " UNION ALL ".join(
+    f"SELECT '{','.join(names)}' AS columns, {len(names)} AS n_columns, count(*) AS n_rows, "
+    f"count(DISTINCT ({', '.join(names)},)) AS n_distinct FROM lineitem"
+    for size in (1, 2, 3) for names in combinations(_LINE_COLUMNS, size))
+
+
+@query("key_combinations", f"""
+    WITH c AS ({_SQL_COMBINATIONS}), u AS (SELECT * FROM c WHERE n_distinct = n_rows)
+    SELECT * FROM u WHERE NOT EXISTS (
+        SELECT 1 FROM u d WHERE d.columns <> u.columns
+          AND list_has_all(string_split(u.columns, ','), string_split(d.columns, ',')))""")
+def key_combinations(t):
+    return quality.minimal_keys(t.lineitem, _LINE_COLUMNS, 3)
+
+
+@query("composite_dependency", """
+    SELECT 'o_custkey_o_orderstatus_to_o_orderpriority' AS "check", 'orders' AS "table", 'ERROR' AS severity,
+           count(*) AS n_total, count(*) FILTER (WHERE low <> high) AS n_bad
+    FROM (SELECT min(o_orderpriority) AS low, max(o_orderpriority) AS high FROM orders GROUP BY o_custkey, o_orderstatus)""")
+def composite_dependency(t):
+    return quality.functional_dependency(t.orders, ("o_custkey", "o_orderstatus"), "o_orderpriority", "orders")
+
+
+# Guards ---------------------------------------------------------------------------------
+
+
+@query("guard_verdicts", """
+    SELECT unnest(['fields', 'missing_field', 'struct', 'flat_column', 'struct_lacks_field', 'struct_elements',
+                   'plain_elements', 'same_columns', 'other_order', 'typed_empty']) AS guard,
+           unnest([true, false, true, false, false, true, false, true, false, true]) AS passed, n_rows
+    FROM (SELECT count(*) AS n_rows FROM events)""")
+def guard_verdicts(t):
+    """What each guard says about frames of events, with the rows that stand behind the verdict."""
+    point = F.struct("event_id", "value")
+    frame = t.events.select("event_id", "ts", point.alias("data"), F.array(point).alias("points"), F.array("value").alias("plain"))
+
+    def holds(check) -> bool:
+        try:
+            check()
+        except ValueError:
+            return False
+        return True
+
+    # value lists whose elements were inferred as text because all of them are empty
+    indicator = F.struct(
+        F.lit(1).cast("bigint").alias("id"), F.lit("n").alias("name"), F.lit("s").alias("short_name"),
+        *[F.array(F.struct(F.lit(1).cast("bigint").alias("id"), F.lit("c").alias("name"))).alias(name)
+          for name in ("magnitud", "tiempo")],
+        F.array().cast("array<string>").alias("values"), F.lit("2024-02-01T00:00:00Z").alias("values_updated_at"))
+    empty = t.events.select(
+        F.struct(F.lit("2024-02-01T00:00:00Z").alias("ingestion_timestamp")).alias("metadata"),
+        F.struct(indicator.alias("indicator")).alias("data"), F.lit("d").alias("dataset"))
+    observed = silver.indicator_observations(empty)
+    verdicts = {
+        "fields": holds(lambda: guards.require_fields(frame, ["event_id", "data.value", "points.value"])),
+        "missing_field": holds(lambda: guards.require_fields(frame, ["data.absent"])),
+        "struct": holds(lambda: guards.require_struct(frame, "data", ["value"])),
+        "flat_column": holds(lambda: guards.require_struct(frame, "ts", ["value"])),
+        "struct_lacks_field": holds(lambda: guards.require_struct(frame, "data", ["absent"])),
+        "struct_elements": guards.has_struct_elements(frame, "points"),
+        "plain_elements": guards.has_struct_elements(frame, "plain"),
+        "same_columns": guards.same_columns(frame, frame.filter("event_id > 0")),
+        "other_order": guards.same_columns(frame, frame.select(*reversed(frame.columns))),
+        "typed_empty": observed.columns == silver.indicator_observations(
+            empty.limit(0)).columns and observed.isEmpty()}
+    counted = frame.agg(F.count(F.lit(1)).alias("n_rows"))
+    return union_all([
+        counted.select(F.lit(name).alias("guard"), F.lit(passed).alias("passed"), "n_rows")
+        for name, passed in verdicts.items()])
+
+
+@query("alias_hygiene", """
+    WITH a AS (SELECT n_name AS alias, CASE WHEN n_nationkey % 5 = 0 THEN 'Nowhere ' || n_nationkey ELSE n_name END AS canonical
+               FROM (SELECT DISTINCT n_name, n_nationkey FROM customer JOIN nation ON c_nationkey = n_nationkey))
+    SELECT 'alias_target' AS "check", 'aliases' AS "table", 'ERROR' AS severity, count(*) AS n_total,
+           count(*) FILTER (WHERE canonical LIKE 'Nowhere%') AS n_bad FROM a""")
+def alias_hygiene(t):
+    """Aliases must lead to a name of the master; some here lead nowhere."""
+    nations = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "n_nationkey", "n_name").distinct()
+    names = nations.collect()  # settings: an entry for each place of the master
+    aliases = {
+        f"  {row['n_name'].lower()} ": f"Nowhere {row['n_nationkey']}" if row["n_nationkey"] % 5 == 0 else row["n_name"]
+        for row in names}
+    master = nations.select(geo.canonical_key(F.col("n_name"), {}).alias("canonical_key"), F.lit(True).alias("_known"))
+    known = geo.alias_frame(t.spark, aliases).join(master, "canonical_key", "left")
+    return quality.row_checks(known, "aliases", {"alias_target": (quality.ERROR, F.col("_known").isNull())})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meseta.catalog import TableSpec
 from meseta.operators import quality
+from meseta.operators.clean import in_window, union_all
 from meseta.operators.upsert import backfill, prepare, stage_source, upsert, upsert_table
 from meseta.plans import gold
 from meseta.session import scratch_path, stage
@@ -74,7 +75,7 @@ def backfill_range(t):
 def backfill_untouched(t):
     start, end = (F.lit(d).cast("timestamp_ntz") for d in (dt.datetime(1997, 3, 1), dt.datetime(1997, 4, 1)))
     outside = (F.col("o_orderdate") < start) | (F.col("o_orderdate") >= end)
-    return quality.changed_outside(_orders(t), backfill_range(t), outside, "orders")
+    return quality.changed_outside(_orders(t), backfill_range(t), outside, "orders", by=["part_month"])
 
 
 @query("upsert_unpartitioned", """
@@ -174,6 +175,29 @@ def table_layout(t):
     return layout.join(counts, "table_name", "left")
 
 
+@query("stored_window", """
+    SELECT 'days' AS layout, count(*) AS n FROM events
+    WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-12 18:00:00'
+    UNION ALL SELECT 'months', count(*) FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1997-02-10 00:00:00' AND o_orderdate < TIMESTAMP '1997-04-03 00:00:00'""")
+def stored_window(t):
+    """Windows by instant over tables partitioned by day and by month; the scan lists their partitions only."""
+    layouts = [
+        (TableSpec("events_by_day", ("event_id", "ts"), ("days", "ts")), t.events.select("event_id", "ts"), "days",
+         (dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 12, 18))),
+        (TableSpec("orders_by_month", tuple(_ORDER_KEY), ("months", "o_orderdate")), t.orders.select(*_ORDER_KEY), "months",
+         (dt.datetime(1997, 2, 10), dt.datetime(1997, 4, 3)))]
+    namespace, counts = _namespace(t), []
+    for spec, rows, layout, window in layouts:
+        name = f"{namespace}.{spec.name}"
+        tables.create_table(t.spark, rows, spec, namespace=namespace, location=scratch_path(t.spark, spec.name))
+        upsert_table(t.spark, name, tables.with_partition(rows, spec), spec.keys, spec.partition_column)
+        bounds = [F.lit(bound).cast("timestamp_ntz") for bound in window]
+        counts.append(in_window(t.spark.table(name), spec.partition[1], *bounds).agg(
+            F.lit(layout).alias("layout"), F.count(F.lit(1)).alias("n")))
+    return union_all(counts)
+
+
 @query("gold_incremental", f"""
     WITH {facts._SQL_POWER}
     SELECT tick AS gold_timestamp, geography_key, max(CASE WHEN event_type = 'click' THEN mw END) AS real_demand_mw,
