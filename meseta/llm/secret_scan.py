@@ -1,4 +1,10 @@
-"""Secret scans: fixed patterns, and a character network over every other candidate."""
+"""Secret scans: fixed patterns, and a character network over every other candidate.
+
+The network learns from findings of the fixed patterns with their keyword or prefix
+masked, so that it learns the shape of keys and not the patterns. Candidates without a
+finding are no negatives: they are what the network is asked about. Negatives are those
+that have the structure of e-mail addresses, links, paths, dates or joined words.
+"""
 
 from __future__ import annotations
 
@@ -11,18 +17,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meseta.llm.char_cnn import WIDTH, CharCNN, codes, fit, platt, recall_threshold
-from meseta.llm.common import arrow_map, arrow_stream
+from meseta.llm.common import arrow_map, arrow_stream, discard, stage
 from meseta.llm.registry import query, table
 
 SAMPLE_CANDIDATES = 3_000
 """Candidates of each label that the network is fitted on, at most; of all documents, by a hash of the window."""
 WORDS = 50
 """Negative rows, at least: where candidates give fewer, or fewer than there are positive ones, ordinary words are added."""
-STEPS = 300
+STEPS = 1200
 """Steps of fitting, at least."""
 RECALL = 0.98
 """Share of the findings of each kind that the threshold must find among all candidates outside the fit."""
@@ -38,11 +44,16 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=@:~-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=@:~-]{12,}")
 _TELLING = re.compile(r"[0-9]|[a-z][A-Z]|[A-Z][a-z]+[A-Z]")
+_PREFIX = re.compile(r"(?i:password|passwd|secret|token|api_?key)|AKIA", re.ASCII)
+_MAIL = re.compile(r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+[.:]?")
+_LINK = re.compile(r"[A-Za-z]{2,6}://|www\.|//")
+_JOINED = re.compile(r"(?:[A-Z]?[a-z]{1,20}|[A-Z]{1,12}|[0-9]{1,4})(?:[+/_.=@:~-]+(?:[A-Z]?[a-z]{1,20}|[A-Z]{1,12}|[0-9]{1,4}))*[+/_.=@:~-]*")
 
 _WORD = re.compile(r"[^\W\d_]{4,}")
 NEGATIVE, POSITIVE, WORD = range(3)
+UNLABELLED = "unlabelled"
 
 Span = tuple[str, int, int]
 
@@ -56,16 +67,26 @@ def base_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs of 16 or more characters of keys, with a digit or letters of mixed case."""
+    """Runs of 12 or more characters of keys, with a digit or letters of mixed case."""
     return [m.span() for m in _CANDIDATE.finditer(text) if _TELLING.search(m[0])]
 
 
+def ordinary(run: str) -> bool:
+    """Whether a candidate has the structure of an e-mail address, a link, a path, a date or joined words."""
+    return bool(_MAIL.fullmatch(run) or _LINK.search(run) or _JOINED.fullmatch(run.lstrip("+/_.=@:~-")))
+
+
 def windows(text: str, start: int, end: int) -> list[str]:
     """The candidate with the context before it, in as many windows as its length needs."""
     step = WIDTH - BEFORE
     return [text[max(at - BEFORE, 0):at].rjust(BEFORE, "\0") + text[at:at + step] for at in range(start, end, step)]
 
 
+def bare(text: str, start: int, end: int) -> list[str]:
+    """The windows of a candidate with keywords and prefixes masked."""
+    return [_PREFIX.sub(lambda m: "\0" * len(m[0]), window) for window in windows(text, start, end)]
+
+
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
@@ -147,7 +168,11 @@ def sample(docs: DataFrame, text_col: str = "text") -> dict[int, list[str]]:
                     continue
                 base = _Covered(base_spans(text))
                 for start, end in candidates(text):
-                    add(POSITIVE if base.meets(start, end) else NEGATIVE, windows(text, start, end)[0])
+                    if base.meets(start, end):
+                        add(POSITIVE, bare(text, start, end)[0])
+                        add(POSITIVE, windows(text, start, end)[0])
+                    elif ordinary(text[start:end]):
+                        add(NEGATIVE, windows(text, start, end)[0])
                 for window in words(text, base):
                     add(WORD, window)
                 trim(4 * SAMPLE_CANDIDATES)
@@ -156,17 +181,21 @@ def sample(docs: DataFrame, text_col: str = "text") -> dict[int, list[str]]:
         if rows:
             yield dict(zip(("label", "window", "order"), map(list, zip(*rows))))
 
-    rows = arrow_stream(docs.select(text_col), label, "label int, window string, order long").distinct()
-    least = Window.partitionBy("label").orderBy("order", "window")
-    found = rows.withColumn("__rank", F.row_number().over(least)).where(F.col("__rank") <= SAMPLE_CANDIDATES).orderBy(
-        "label", "__rank").collect()
-    return {name: [row["window"] for row in found if row["label"] == name] for name in (NEGATIVE, POSITIVE, WORD)}
+    rows = stage(arrow_stream(docs.select(text_col), label, "label int, window string, order long"), "windows")
+    found = {}
+    for name in (NEGATIVE, POSITIVE, WORD):  # tasks keep their least, and these are merged in parts
+        least = rows.where(F.col("label") == name).select("order", "window").distinct().orderBy("order", "window")
+        found[name] = [row["window"] for row in least.limit(SAMPLE_CANDIDATES).collect()]
+    discard(rows)
+    return found
 
 
 def histogram(docs: DataFrame, network: CharCNN, fitted: frozenset[str], text_col: str = "text") -> list[tuple]:
     """(in the fit, kinds, bin, n) of all candidates: those of ``docs`` by the kinds they meet and their score.
 
-    Kinds are joined by commas, empty for negative candidates; a bin is known by its lower end.
+    Kinds are joined by commas, empty for negative candidates, and candidates that are
+    neither are counted as ``UNLABELLED``. Findings are shown without keyword and prefix,
+    which is how others look. A bin is known by its lower end.
     """
 
     def judge(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -186,8 +215,9 @@ def histogram(docs: DataFrame, network: CharCNN, fitted: frozenset[str], text_co
             base = base_spans(text)
             known = {kind: _Covered([span for span in base if span[0] == kind]) for kind in KINDS}
             for start, end in candidates(text):
-                shown = windows(text, start, end)
-                asked.append((shown[0] in fitted, ",".join(k for k in KINDS if known[k].meets(start, end))))
+                kinds = ",".join(k for k in KINDS if known[k].meets(start, end))
+                shown = bare(text, start, end) if kinds else windows(text, start, end)
+                asked.append((shown[0] in fitted, kinds or ("" if ordinary(text[start:end]) else UNLABELLED)))
                 found.append(shown)
                 if len(asked) >= 2000:
                     count()
@@ -211,6 +241,7 @@ def calibrate(rows: list[tuple], network: CharCNN, recall: float = RECALL) -> Se
     def outside(chosen: list[tuple]) -> list[tuple]:
         return [row for row in chosen if not row[0]] or chosen
 
+    rows = [row for row in rows if row[1] != UNLABELLED]
     good, bad = outside([row for row in rows if row[1]]), outside([row for row in rows if not row[1]])
     logits = np.array([row[2] / BINS for row in good + bad])
     labels = np.repeat([1.0, 0.0], [len(good), len(bad)])
@@ -225,11 +256,52 @@ def calibrate(rows: list[tuple], network: CharCNN, recall: float = RECALL) -> Se
     return SecretModel(network, slope, offset, min(limits))
 
 
+_ALPHABETS = (
+    "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789",
+    *2 * ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",),
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+_TAGS = ("", "", "", "key_", "gh_", "pk-", "x.", "id:")
+
+
+def respelled(good: list[str], contexts: list[str], each: int = 3, seed: int = 2) -> list[str]:
+    """Findings with other letters of other alphabets, lengths and places, so that no one make stands for all keys."""
+    draw = np.random.default_rng(seed)
+    found = []
+    for window in good:
+        for _ in range(each):
+            alphabet = list(_ALPHABETS[draw.integers(len(_ALPHABETS))])
+            key = _TAGS[draw.integers(len(_TAGS))] + "".join(draw.choice(alphabet, int(draw.integers(12, 41))))
+            other = contexts[draw.integers(len(contexts))] if contexts and draw.random() < 0.7 else window
+            before = other[:BEFORE - 3] + ("   ", " = ", ": \"", " '")[draw.integers(4)]
+            found.append(before[-BEFORE:].rjust(BEFORE, "\0") + key + other[BEFORE:])
+    return [window[:WIDTH] for window in found]
+
+
+def ordinary_runs(contexts: list[str], seed: int = 3) -> list[str]:
+    """Addresses, links, paths, dates and joined words made of the words of the documents."""
+    draw = np.random.default_rng(seed)
+    bag = [word for window in contexts for word in _WORD.findall(window) if word.isascii()] or ["word"]
+    makes = (
+        "{0}.{1}{n}@{2}.com", "{0}{n}@{1}.example.org", "{0}_{1}@{2}-{3}.net", "https://{0}.{1}.com/{2}/{n}/{3}-{4}",
+        "www.{0}.com/{1}?{2}={n}", "{0}-{1}-{2}-{n}", "/{0}/{1}/{2}.{3}", "{y}-{m:02d}-{d:02d}T{m:02d}:{d:02d}", "{0}_{1}_{2}{n}",
+        "+{y}-{n}-{m}{d}{y}", "v{m}.{d}.{n}-{0}", "{0}/{1}/{n}", "{0}{n}.{1}@{2}.{3}.com", "//{0}.{1}/{y}/{m:02d}/{2}-{3}-{n}",
+        "{n}.{m}.{d}.{n}", "1{d}.2{m}.{n}.{d}", "{0}{n}@{1}{m}.{2}.com", "{0}.{n}@{1}{d}.{2}.com", "{0}-{1}@{2}.net")
+    found = []
+    for k, window in enumerate(contexts):
+        lower = [bag[i].lower() for i in draw.integers(len(bag), size=5)]
+        run = makes[k % len(makes)].format(
+            *lower, n=int(draw.integers(1000)), y=int(draw.integers(1980, 2030)), m=int(draw.integers(1, 13)), d=int(draw.integers(1, 29)))
+        found.append(window[:BEFORE - 1].rjust(BEFORE - 1, "\0") + " " + run + " " + window[BEFORE:])
+    return [window[:WIDTH] for window in found]
+
+
 def train(docs: DataFrame, text_col: str = "text", recall: float = RECALL) -> SecretModel | None:
     """A model of the findings of the fixed patterns in all documents, however few they are.
 
-    Candidates that overlap a finding are positive, the others and, where these are few,
-    ordinary words negative. The network is fitted on a bounded sample, less a third of
+    Candidates that overlap a finding are positive, with and without their keyword or
+    prefix, and once more respelled in other alphabets and places. Those with an ordinary structure and, where these are few, words are negative;
+    the others have no label and take no part in the fit. Addresses, links and joined
+    words made of the documents' words are further negatives. The network is fitted on a bounded sample, less a third of
     it; calibration and threshold come from every candidate outside the fit, in all
     documents. Without any positive candidate nothing can be learned: the result is None,
     and a scan then has base spans only.
@@ -240,9 +312,13 @@ def train(docs: DataFrame, text_col: str = "text", recall: float = RECALL) -> Se
         return None
     bad = bad + found[WORD][:max(max(WORDS, len(good)) - len(bad), 0)]
     good, bad = ([row for k, row in enumerate(rows) if k % 3 != 2] for rows in (good, bad))
-    labels = np.repeat([1, 0], [len(good), len(bad)]).astype(np.float32)
+    contexts = found[WORD]
+    keys = good + respelled(good * -(-WORDS // len(good)), contexts)
+    runs = ordinary_runs((contexts or [""]) * -(-2 * len(keys) // max(len(contexts), 1)))[:2 * len(keys)]
+    others = bad + contexts[:len(keys)] + runs
+    labels = np.repeat([1, 0], [len(keys), len(others)]).astype(np.float32)
     batches = max(len(labels) // 64, 1)
-    network = fit(codes(good + bad), labels, epochs=max(6, -(-STEPS // batches)))
+    network = fit(codes(keys + others), labels, epochs=max(6, -(-STEPS // batches)))
     return calibrate(histogram(docs, network, frozenset(good + bad), text_col), network, recall)
 
 

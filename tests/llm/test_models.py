@@ -226,3 +226,91 @@ def test_network_learns_and_threshold_keeps_recall():
     scores = 1 / (1 + np.exp(-(slope * model.logits(x) + offset)))
     threshold = char_cnn.recall_threshold(scores, y, 0.95)
     assert (scores[y == 1] >= threshold).mean() >= 0.95 and (scores[y == 0] >= threshold).mean() <= 0.02
+
+
+def plain_base_spans(text: str) -> list[tuple[str, int, int]]:
+    """The fixed patterns character by character, without regular expressions."""
+    ascii_ = lambda s: set(s)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    value = ascii_(upper + lower + digits + "+/_.=-")
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    def assign(at):
+        for keyword in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if "".join(chr(ord(c) + 32) if c in upper else c for c in text[at:at + len(keyword)]) == keyword:
+                here = at + len(keyword)
+                here += text[here:here + 1] in ("'", '"')
+                here = run(here, " ")
+                if text[here:here + 1] not in (":", "="):
+                    return None
+                here = run(here + 1, " ")
+                here += text[here:here + 1] in ("'", '"')
+                end = run(here, value)
+                return (end, end - here >= 12) if end > here else None
+        return None
+
+    def access(at):
+        if text[at:at + 4] != "AKIA":
+            return None
+        end = run(at + 4, ascii_(upper + digits))
+        return (end, end - at >= 18) if end > at + 4 else None
+
+    def hexadecimal(at):
+        end = run(at, ascii_("abcdef" + digits))
+        return (end, end - at >= 16) if end > at else None
+
+    found = []
+    for rank, (kind, match) in enumerate((("assign", assign), ("access", access), ("hex", hexadecimal))):
+        at = 0
+        while at < len(text):
+            hit = match(at)
+            if hit and hit[1]:
+                found.append((at, rank, kind, hit[0]))
+            at = hit[0] if hit else at + 1
+    return [(kind, at, end) for at, _, kind, end in sorted(found)]
+
+
+def test_base_spans_equal_a_plain_scanner():
+    draw = np.random.default_rng(9)
+    parts = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "=", ":", " ", "  ", '"', "'", "abc", "Zx9Qk27LmP4t",
+             "AKIA", "ABCDEFGH12345678", "deadbeef", "0123456789abcdef", "é", "ſ", "\n", "-", ".", "K"]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts, draw.integers(1, 14)))
+        assert secret_scan.base_spans(text) == plain_base_spans(text), text
+
+
+def _keys(draw, n):
+    """Secrets that no fixed pattern matches, of several makes."""
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    makes = ["client_key = {}", "use {} to log in", "ghp_{}", "pwd: {}", "Authorization: Bearer {}", "sk-{}"]
+    return [(makes[k % len(makes)], "".join(draw.choice(letters, int(draw.integers(16, 41))))) for k in range(n)]
+
+
+def test_secrets_without_a_fixed_pattern_are_found_and_addresses_left_alone(spark, tables):
+    draw = np.random.default_rng(11)
+    keys = _keys(draw, 300)
+    names = ["anna.lopez", "j.smith42", "info", "support-team", "maria_garcia.88"]
+    hosts = ["example.com", "mail.example.org", "shop-online.example.net"]
+    harmless = [f"write to {names[k % 5]}{k}@{hosts[k % 3]} soon" for k in range(150)]
+    harmless += [f"see https://{hosts[k % 3]}/articles/2024/{k:02d}/a-long-title-{k} now" for k in range(150)]
+    rows = [(10_000 + k, "It is said: " + make.format(key) + " and more.", "a") for k, (make, key) in enumerate(keys)]
+    rows += [(20_000 + k, text, "a") for k, text in enumerate(harmless)]
+    assert not any(secret_scan.base_spans(text) for _, text, _ in rows)
+    model = secret_scan.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    found = {row["doc_id"]: row["spans"] for row in secret_scan.scan(documents(spark, rows), model).collect()}
+    recall = np.mean(["learned" in found[10_000 + k] for k in range(len(keys))])
+    taken = np.mean(["learned" in found[20_000 + k] for k in range(len(harmless))])
+    assert recall >= 0.9 and taken <= 0.02, (recall, taken)
+
+
+def test_scan_of_repeated_rows_and_taken_names(spark, tables):
+    model = secret_scan.train(tables[0])
+    rows = [(1, "token = Zx9Qk27LmP4tVb81", "a")] * 3 + [(None, None, "a"), (None, "", None)]
+    found = secret_scan.scan(documents(spark, rows), model)
+    assert found.count() == 5 and found.where("doc_id = 1").distinct().count() == 1
+    assert found.where("doc_id IS NULL AND spans = ''").count() == 2
