@@ -90,17 +90,20 @@ class Landing:
                 extra_metadata={layout.id_field: F.col("_id"), "station_name": F.col("_name"), "province": F.col("province")})
         return self
 
-    def indicators(self) -> Landing:
-        """Each event in one of the 35 datasets, by its id; provinces, Spain or communities as places."""
+    def indicators(self, families: int = 3) -> Landing:
+        """Each event in one of the 35 datasets, by its id; provinces, Spain or communities as places.
+
+        ``families`` limits them to energy by hour, power and capacity, in this order.
+        """
         located = self.t.events.join(self._places(), "user_id").join(
             self.t.nation.select(F.col("n_name").alias("province"), "n_nationkey", "n_regionkey"), "province").join(
             self.t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        families = (
+        layouts = (
             (catalog.HOURLY_ENERGY_DATASETS, catalog.ENERGY_BY_HOUR, F.date_trunc("hour", "ts"), F.col("n_nationkey"), F.col("province")),
             (catalog.FIVE_MINUTE_POWER_DATASETS, catalog.POWER_BY_FIVE_MINUTES, F.col("ts"), F.lit(catalog.SPAIN_GEO_ID), F.lit("España")),
             (catalog.MONTHLY_CAPACITY_DATASETS, catalog.CAPACITY_BY_MONTH, F.date_trunc("month", "ts"),
              F.col("n_regionkey") + 100, F.col("r_name")))
-        for datasets, (magnitude, time), at, geo, name in families:
+        for datasets, (magnitude, time), at, geo, name in layouts[:families]:
             series = located.withColumn("number", F.pmod("event_id", F.lit(len(datasets)))).select(
                 "number", "event_id", "value", iso(at).alias("at"), geo.cast("bigint").alias("geo"), name.alias("name"))
             point = F.struct(
@@ -120,6 +123,28 @@ class Landing:
         return self
 
 
+_landed: dict[tuple[str, str], Landing] = {}
+_loaded: dict[tuple[str, str], str] = {}
+
+
+def whole_landing(t) -> Landing:
+    """The complete landing zone of a folder's tables; it never changes, so queries of a session share it."""
+    key = t.spark.sparkContext.applicationId, t.folder
+    if key not in _landed:
+        _landed[key] = Landing(t).masters().aemet().weather().indicators()
+    return _landed[key]
+
+
+def loaded_silver(t) -> str:
+    """A namespace with all Silver tables of the landing zone, loaded once in a session."""
+    key = t.spark.sparkContext.applicationId, t.folder
+    if key not in _loaded:
+        namespace = _namespace()
+        load.load_silver(t.spark, whole_landing(t).bronze, namespace)
+        _loaded[key] = namespace
+    return _loaded[key]
+
+
 def _counted(t, namespace: str, names) -> DataFrame:
     """Rows and distinct keys of the stored tables."""
     counts = None
@@ -168,9 +193,9 @@ def _sql_loaded(*tables: str) -> str:
 @query("load_silver_all", _sql_loaded(*catalog.SILVER_TABLES))
 def load_silver_all(t):
     """Every landed source through readers, builders, checks and merges, twice; read back from the tables."""
-    bronze, namespace = Landing(t).masters().aemet().weather().indicators().bronze, _namespace()
-    load.load_silver(t.spark, bronze, namespace)
-    load.load_silver(t.spark, bronze, namespace, tables=["silver_open_meteo_hourly", "silver_cnig_provinces"])
+    namespace = loaded_silver(t)
+    load.load_silver(
+        t.spark, whole_landing(t).bronze, namespace, tables=["silver_open_meteo_hourly", "silver_cnig_provinces"])
     return _counted(t, namespace, catalog.SILVER_TABLES)
 
 
@@ -203,7 +228,7 @@ _ENERGY_MODE = ("silver_esios_energy_hourly",)
     UNION ALL SELECT 'esios-geography-fix', "table", n, n FROM counted WHERE "table" = 'silver_esios_energy_hourly'""")
 def load_modes(t):
     """A corrected province master reaches the tables of each mode when that mode is loaded, and no others."""
-    landing, namespace = Landing(t).masters().aemet().weather().indicators(), _namespace()
+    landing, namespace = Landing(t).masters().aemet().weather().indicators(1), _namespace()
     placed = {*_WEATHER_MODE, *_ENERGY_MODE}
     load.load_silver(t.spark, landing.bronze, namespace, tables=placed)
     _moved(t, landing)
@@ -225,7 +250,7 @@ def load_modes(t):
     UNION ALL SELECT 'weather_15min', count(*) FROM e""")
 def bronze_readers(t):
     """Records that each reader finds in the landing zone; an instant from the file name where it holds one."""
-    bronze = Landing(t).masters().aemet().weather().bronze
+    bronze = whole_landing(t).bronze
     points = lambda frame, container: frame.select(F.explode(f"data.{container}.time"))
     stamped = lambda frame: frame.filter(F.col("ingestion_timestamp") == F.lit(LANDED))
     found = {
@@ -250,7 +275,7 @@ def bronze_readers(t):
     SELECT dataset, count(*) AS n FROM landed GROUP BY dataset""")
 def indicator_scan(t):
     """One scan over the 35 landed indicator datasets, deduplicated once."""
-    rows = silver.all_observations(Landing(t).indicators().bronze)
+    rows = silver.all_observations(whole_landing(t).bronze)
     return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -262,13 +287,16 @@ _FACTS = ("gold_fact_province_hourly", "gold_fact_installed_capacity_monthly", "
     SELECT unnest([{", ".join(repr(name) for name in _FACTS)}]) AS "table", true AS has_rows, CAST(0 AS BIGINT) AS n_bad""")
 def load_gold_windows(t):
     """Gold in one full load, and again in two windows: the stored facts hold the same rows."""
-    bronze, namespace = Landing(t).masters().aemet().weather().indicators().bronze, _namespace()
-    load.load_silver(t.spark, bronze, namespace)
-    created = dt.datetime(2024, 3, 1)
+    namespace, created = loaded_silver(t), dt.datetime(2024, 3, 1)
+
+    def clear() -> None:
+        for name in catalog.GOLD_TABLES:
+            tables.drop_table(t.spark, f"{namespace}.{name}")
+
+    clear()
     load.load_gold(t.spark, namespace, created_at=created)
     whole = {name: stage(t.spark.table(f"{namespace}.{name}"), name) for name in _FACTS}
-    for name in catalog.GOLD_TABLES:
-        tables.drop_table(t.spark, f"{namespace}.{name}")
+    clear()
     middle = dt.datetime(2024, 1, 16)
     for window in ((dt.datetime(2023, 12, 1), middle), (middle, dt.datetime(2024, 3, 1))):
         load.load_gold(t.spark, namespace, created_at=created, window=window)

@@ -32,7 +32,9 @@ def test_entry(spark):
 
 STORED = {
     "landing_envelopes", "landing_text", "landing_csv", "upsert_result", "backfill_range", "backfill_untouched",
-    "geography_fix", "incremental_silver", "upsert_unpartitioned", "table_upsert", "table_layout", "gold_incremental", "stream_upsert", "stream_dedup"}
+    "geography_fix", "incremental_silver", "upsert_unpartitioned", "table_upsert", "table_layout", "gold_incremental", "stream_upsert", "stream_dedup",
+    "upsert_bucketed", "upsert_unpublished", "stored_window", "load_silver_all", "load_modes", "bronze_readers", "indicator_scan",
+    "load_gold_windows", "key_combinations"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STORED))
