@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_has_a_query():
     names = driver.queries()
-    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)) and "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "near dedup", "mixing", "packing"]
 
@@ -38,7 +38,7 @@ def test_near_stage_keeps_one_of_each_group(spark):
     assert ids == {d for d, _, c in near_components(texts()) if d == c}
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_chat_format"])
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_chat_format", "op11_prefix_trie", "op12_decontamination"])
 def test_oracles(spark, name):
     from oracle import connect, differences
 

@@ -7,6 +7,13 @@ import pytest
 
 from meseta.llm import whitening as white
 
+
+
+@pytest.fixture(autouse=True)
+def few_groups(monkeypatch):
+    monkeypatch.setattr(white, "_FAN", 2)
+
+
 SCHEMA = "vec_id long, embedding array<double>, x string, component int, n string"
 
 
