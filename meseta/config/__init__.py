@@ -1,4 +1,7 @@
-"""Small JSON settings that ship with the package."""
+"""Small JSON settings that ship with the package.
+
+Their entries are fixed values: names and spellings that sources use.
+"""
 
 from __future__ import annotations
 
