@@ -10,7 +10,9 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +23,11 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from meseta.llm.common import arrow_map, arrow_stream, discard, stage
 from meseta.llm.registry import query, table
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
+# a word before A-Z is lower-cased: digits, letters and whatever isn't ASCII
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+# of UTF-8 bytes: A-Z to a-z, other bytes of words as they are, the rest to a space
+_NORMAL = bytes(
+    byte + 32 if 65 <= byte <= 90 else byte if byte >= 128 or chr(byte).isalnum() else 32 for byte in range(256))
 CHUNK = 1 << 20
 """Characters of a text split into words at once; longer texts go on at the next word."""
 
@@ -31,20 +36,16 @@ RESULT = (
     "spans:array<struct<word_from:long, word_to:long, start:long, end:long>>, items:array<string>>")
 
 
-def lowered(text: str) -> str:
-    return text.translate(_LOWER)
-
-
-def word_chunks(text: str, size: int = CHUNK) -> Iterator[list[str]]:
-    """The words of a lower-cased text, in order, in lists of bounded length."""
+def word_chunks(text: str, size: int = CHUNK) -> Iterator[list[bytes]]:
+    """The normalised words of a text, in order, in lists of bounded length."""
     at = 0
     while len(text) - at > size:
         end = at + size
         whole = WORD.match(text, end)  # a word that the cut would divide
         end = whole.end() if whole else end
-        yield WORD.findall(text, at, end)
+        yield text[at:end].encode().translate(_NORMAL).split()
         at = end
-    yield WORD.findall(text, at)
+    yield (text[at:] if at else text).encode().translate(_NORMAL).split()
 
 
 class Automaton:
@@ -53,28 +54,40 @@ class Automaton:
     def __init__(self, windows: list[str], owners: list[list[str]]):
         import ahocorasick
 
-        self.number: dict[str, int] = {}
+        self.number: dict[bytes, int] = {}
         self.widths: list[int] = []
         self.owners = owners
         self._machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for at, window in enumerate(windows):
-            words = window.split(" ")
+            words = window.encode().split(b" ")
             self._machine.add_word(
                 tuple(self.number.setdefault(word, len(self.number) + 1) for word in words), at)
             self.widths.append(len(words))
         self._machine.make_automaton()
         self._carry = max(self.widths, default=1) - 1
+        self._least = min(self.widths, default=1)
+
+    def _matches(self, numbers: list[int]) -> Iterator[tuple[int, int]]:
+        """(end, window) of each occurrence.
+
+        No window spans a word that none of them has, and there the automaton stands at its
+        root; so it runs over the stretches in between that are long enough for a window.
+        """
+        gaps = np.concatenate(([-1], np.flatnonzero(np.array(numbers) == 0), [len(numbers)]))
+        for at in np.flatnonzero(np.diff(gaps) > self._least):
+            start, stop = int(gaps[at]) + 1, int(gaps[at + 1])
+            for end, which in self._machine.iter(tuple(numbers[start:stop])):
+                yield start + end, which
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, int]], set[str]]:
         """Words of the text, merged ranges of hit words (end exclusive), and the items found."""
         known, seen, carry, ranges, items = self.number.get, 0, [], [], set()
-        for words in word_chunks(lowered(text)):
-            numbers = carry + [known(word, 0) for word in words]
+        for words in word_chunks(text):
+            numbers = carry + list(map(known, words, repeat(0)))
             first = seen - len(carry)
-            if any(numbers):
-                for end, which in self._machine.iter(tuple(numbers)):
-                    ranges.append((first + end + 1 - self.widths[which], first + end + 1))
-                    items.update(self.owners[which])
+            for end, which in self._matches(numbers) if self.widths else ():
+                ranges.append((first + end + 1 - self.widths[which], first + end + 1))
+                items.update(self.owners[which])
             seen += len(words)
             carry = numbers[-self._carry:] if self._carry else []
             ranges = merged(ranges)
@@ -97,7 +110,7 @@ def located(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
     spans, wanted = [], iter(ranges)
     low, high = next(wanted, (-1, -1))
     start = 0
-    for at, match in enumerate(WORD.finditer(lowered(text))):
+    for at, match in enumerate(WORD.finditer(text)):
         if at == low:
             start = match.start()
         if at == high - 1:
@@ -113,7 +126,7 @@ def item_windows(items: DataFrame, window: int, item_col: str, text_col: str) ->
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         for item, text in zip(batch.column("item").to_pylist(), batch.column("body").to_pylist()):
-            words = [word for chunk in word_chunks(lowered(text)) for word in chunk]
+            words = [word.decode() for chunk in word_chunks(text) for word in chunk]
             width = min(window, len(words))
             windows = list({" ".join(words[at:at + width]) for at in range(len(words) - width + 1)} if width else ())
             for at in range(0, len(windows), 10_000):
