@@ -347,6 +347,40 @@ def same_rows(first: DataFrame, second: DataFrame, table: str, by: Sequence[str]
     return verdict.withColumn("check", F.lit("idempotent"))
 
 
+def same_values(
+    first: DataFrame, second: DataFrame, keys: Sequence[str], table: str, *,
+    directions: Sequence[str] = (), tolerance: float = 1e-9,
+) -> DataFrame:
+    """Two runs gave the same rows by key; doubles may differ by summation noise.
+
+    A sum of doubles depends on the order in which shuffled parts arrive, so two runs of
+    one mean can differ in the last bits. Every other type must be equal, and a key must
+    occur once on both sides. ``directions`` are degrees, where 360 meets 0.
+    """
+    kinds = {name: kind for name, kind in first.dtypes if name not in keys}
+
+    def sided(df: DataFrame, side: int) -> DataFrame:
+        return df.select(*keys, F.lit(side).alias("_side"), F.struct(*kinds).alias("_row"))
+
+    def differs(name: str) -> Column:
+        a, b = F.col("_a")[name], F.col("_b")[name]
+        equal = a.eqNullSafe(b)
+        if kinds[name] == "double":
+            gap = F.abs(a - b)
+            if name in directions:
+                gap = F.least(gap, F.lit(360.0) - gap)
+            scale = F.greatest(F.lit(1.0), F.abs(a), F.abs(b))
+            equal = equal | F.coalesce(gap <= F.lit(tolerance) * scale, F.lit(False))
+        return ~equal
+
+    rows = [F.max(F.when(F.col("_side") == side, F.col("_row"))).alias(name) for side, name in enumerate(("_a", "_b"))]
+    counts = [F.count_if(F.col("_side") == side).alias(f"_n_{side}") for side in (0, 1)]
+    paired = sided(first, 0).unionByName(sided(second, 1)).groupBy(*keys).agg(*rows, *counts)
+    bad = reduce(lambda x, y: x | y, map(differs, kinds), (F.col("_n_0") != 1) | (F.col("_n_1") != 1))
+    counted = paired.agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("bad"))
+    return _verdict(counted, "idempotent", table, ERROR, F.col("total"), F.col("bad"))
+
+
 # Profiles ---------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meseta import catalog, schemas
+from meseta.functions import floor_grain
 from meseta.operators import quality
 from meseta.operators.clean import union_all
 from meseta.plans import load, silver
@@ -90,20 +91,25 @@ class Landing:
                 extra_metadata={layout.id_field: F.col("_id"), "station_name": F.col("_name"), "province": F.col("province")})
         return self
 
-    def indicators(self, families: int = 3) -> Landing:
+    def indicators(self, *families: str, power_minutes: str | None = None) -> Landing:
         """Each event in one of the 35 datasets, by its id; provinces, Spain or communities as places.
 
-        ``families`` limits them to energy by hour, power and capacity, in this order.
+        ``families`` limits them to some of energy, power and capacity. Power is landed at
+        the instants of the events, or with ``power_minutes`` once in each of such intervals,
+        as the facts of national power expect it.
         """
+        power_at = floor_grain(F.col("ts"), power_minutes) if power_minutes else F.col("ts")
         located = self.t.events.join(self._places(), "user_id").join(
             self.t.nation.select(F.col("n_name").alias("province"), "n_nationkey", "n_regionkey"), "province").join(
             self.t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        layouts = (
-            (catalog.HOURLY_ENERGY_DATASETS, catalog.ENERGY_BY_HOUR, F.date_trunc("hour", "ts"), F.col("n_nationkey"), F.col("province")),
-            (catalog.FIVE_MINUTE_POWER_DATASETS, catalog.POWER_BY_FIVE_MINUTES, F.col("ts"), F.lit(catalog.SPAIN_GEO_ID), F.lit("España")),
-            (catalog.MONTHLY_CAPACITY_DATASETS, catalog.CAPACITY_BY_MONTH, F.date_trunc("month", "ts"),
-             F.col("n_regionkey") + 100, F.col("r_name")))
-        for datasets, (magnitude, time), at, geo, name in layouts[:families]:
+        layouts = {
+            "energy": (catalog.HOURLY_ENERGY_DATASETS, catalog.ENERGY_BY_HOUR, F.date_trunc("hour", "ts"),
+                       F.col("n_nationkey"), F.col("province")),
+            "power": (catalog.FIVE_MINUTE_POWER_DATASETS, catalog.POWER_BY_FIVE_MINUTES, power_at,
+                      F.lit(catalog.SPAIN_GEO_ID), F.lit("España")),
+            "capacity": (catalog.MONTHLY_CAPACITY_DATASETS, catalog.CAPACITY_BY_MONTH, F.date_trunc("month", "ts"),
+                         F.col("n_regionkey") + 100, F.col("r_name"))}
+        for datasets, (magnitude, time), at, geo, name in (layouts[family] for family in families or layouts):
             series = located.withColumn("number", F.pmod("event_id", F.lit(len(datasets)))).select(
                 "number", "event_id", "value", iso(at).alias("at"), geo.cast("bigint").alias("geo"), name.alias("name"))
             point = F.struct(
@@ -228,7 +234,7 @@ _ENERGY_MODE = ("silver_esios_energy_hourly",)
     UNION ALL SELECT 'esios-geography-fix', "table", n, n FROM counted WHERE "table" = 'silver_esios_energy_hourly'""")
 def load_modes(t):
     """A corrected province master reaches the tables of each mode when that mode is loaded, and no others."""
-    landing, namespace = Landing(t).masters().aemet().weather().indicators(1), _namespace()
+    landing, namespace = Landing(t).masters().aemet().weather().indicators("energy"), _namespace()
     placed = {*_WEATHER_MODE, *_ENERGY_MODE}
     load.load_silver(t.spark, landing.bronze, namespace, tables=placed)
     _moved(t, landing)
@@ -283,24 +289,44 @@ _FACTS = ("gold_fact_province_hourly", "gold_fact_installed_capacity_monthly", "
           "gold_fact_country_5min")
 
 
+def _silver_on_grid(t) -> str:
+    """The loaded Silver tables with power of their own: one sample of a series in five minutes.
+
+    The shared landing holds power at the instants of the events. Two of them in one step
+    stop the facts of national power, as they should.
+    """
+    shared, namespace = loaded_silver(t), _namespace()
+    landing = Landing(t).indicators("power", power_minutes="FIVE_MINUTES")
+    load.load_silver(t.spark, landing.bronze, namespace, tables=[silver.POWER_5MIN.table])
+    for name in catalog.SILVER_TABLES:
+        if name != silver.POWER_5MIN.table:
+            t.spark.sql(f"CREATE VIEW {namespace}.{name} AS SELECT * FROM {shared}.{name}")
+    return namespace
+
+
 @query("load_gold_windows", f"""
     SELECT unnest([{", ".join(repr(name) for name in _FACTS)}]) AS "table", true AS has_rows, CAST(0 AS BIGINT) AS n_bad""")
 def load_gold_windows(t):
     """Gold in one full load, and again in two windows: the stored facts hold the same rows."""
-    namespace, created = loaded_silver(t), dt.datetime(2024, 3, 1)
+    namespace, created = _silver_on_grid(t), dt.datetime(2024, 3, 1)
 
     def clear() -> None:
         for name in catalog.GOLD_TABLES:
             tables.drop_table(t.spark, f"{namespace}.{name}")
 
-    clear()
     load.load_gold(t.spark, namespace, created_at=created)
     whole = {name: stage(t.spark.table(f"{namespace}.{name}"), name) for name in _FACTS}
     clear()
-    middle = dt.datetime(2024, 1, 16)
-    for window in ((dt.datetime(2023, 12, 1), middle), (middle, dt.datetime(2024, 3, 1))):
+    # all instants of the facts: months begin before their first event, energy is shifted by an hour
+    first, last = t.events.agg(
+        F.date_trunc("month", F.min("ts")).cast("timestamp_ntz"), F.max("ts").cast("timestamp_ntz")).first()
+    start, end = first - dt.timedelta(days=1), last + dt.timedelta(days=2)
+    middle = (start + (end - start) / 2).replace(hour=0, minute=0, second=0, microsecond=0)
+    for window in ((start, middle), (middle, end)):
         load.load_gold(t.spark, namespace, created_at=created, window=window)
     verdicts = [
-        quality.same_rows(whole[name], t.spark.table(f"{namespace}.{name}"), name).select(
-            "table", (F.col("n_total") > 0).alias("has_rows"), "n_bad") for name in _FACTS]
+        quality.same_values(
+            whole[name], t.spark.table(f"{namespace}.{name}"), catalog.GOLD_TABLES[name].keys, name,
+            directions=("wind_direction_80m", "wind_direction_120m"),
+        ).select("table", (F.col("n_total") > 0).alias("has_rows"), "n_bad") for name in _FACTS]
     return union_all(verdicts)

@@ -82,3 +82,17 @@ def test_gate(spark):
     bad = quality.row_checks(good, "t", {"wrong": (quality.ERROR, F.lit(True))})
     with pytest.raises(ValueError, match="t.wrong=1"):
         quality.require_passed([fine, bad])
+
+
+def test_same_values_tolerates_summation_noise_only(spark):
+    rows = [("a", 0.1 + 0.2, 359.9999999999999, "x"), ("b", 1.0, 10.0, "y"), ("c", None, None, None)]
+    schema = "k string, mean double, direction double, name string"
+    frame = spark.createDataFrame(rows, schema)
+    noisy = spark.createDataFrame([("a", 0.3, 0.0, "x"), *rows[1:]], schema)
+    assert verdict(quality.same_rows(frame, noisy, "t"))["idempotent"][1] > 0
+    same = lambda other: verdict(quality.same_values(frame, other, ["k"], "t", directions=["direction"]))["idempotent"]
+    assert same(noisy) == (3, 0)
+    for row in (("b", 1.0001, 10.0, "y"), ("b", None, 10.0, "y"), ("b", 1.0, 10.1, "y"), ("b", 1.0, 10.0, "z")):
+        assert same(spark.createDataFrame([rows[0], row, rows[2]], schema)) == (3, 1)
+    assert same(frame.where("k <> 'b'")) == (3, 1)
+    assert same(frame.unionByName(frame.where("k = 'b'"))) == (3, 1)
