@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from meseta.functions import bin_floor, sector
 from meseta.operators.clean import first_by_key
 
+# Sums of doubles in another order differ by less; values of their own are further apart.
+EDGE_NOISE = 1e-9
+
 
 def _correlation(x: Column, y: Column) -> Column:
     """Pearson correlation; NULL when a side does not vary or pairs are missing."""
@@ -69,10 +72,14 @@ def best_offset(scan: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def mean_by_bin(df: DataFrame, x: str, y: str, width: float, by: Sequence[str] = ()) -> DataFrame:
-    """Mean of ``y`` per range of ``x``."""
+    """Mean of ``y`` per range of ``x``.
+
+    ``x`` is often a mean itself: one that is the edge of a range up to summation noise
+    belongs to the range that begins there, whatever the order of its sum.
+    """
     return (
         df.filter(F.col(x).isNotNull())
-        .groupBy(*by, bin_floor(F.col(x), width).alias("bin_start"))
+        .groupBy(*by, bin_floor(F.col(x) + F.lit(EDGE_NOISE), width).alias("bin_start"))
         .agg(F.count(y).alias("n"), F.avg(y).alias("mean"))
     )
 

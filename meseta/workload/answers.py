@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from meseta.operators.analytics import EDGE_NOISE
 from meseta.plans import questions
 from meseta.workload import facts
 from meseta.workload.insight import sql_pearson
@@ -68,7 +69,10 @@ def cu02_wind_height(t):
     return rounded(_ask(t, "CU02").drop("rank"), "correlation")
 
 
-@query("cu03_wind_ranges", f"{_HOURLY} SELECT {_bins('wind_speed_80m', 'wind_generation_mwh', 5.0)}")
+# a mean that is the edge of a range up to summation noise begins that range
+@query("cu03_wind_ranges", f"""{_HOURLY},
+    edged AS (SELECT wind_speed_80m + {EDGE_NOISE} AS wind_speed_80m, wind_generation_mwh FROM fact)
+    SELECT {_bins('wind_speed_80m', 'wind_generation_mwh', 5.0, 'edged')}""")
 def cu03_wind_ranges(t):
     return rounded(_ask(t, "CU03"), "mean")
 
