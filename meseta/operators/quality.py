@@ -403,38 +403,57 @@ def key_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).withColumn("n_duplicates", F.col("n_filled") - F.col("n_distinct"))
 
 
+# a digest, and a row, in this many belongs to the parts that are searched for repeated values first
+_PARTS = 256
+
+
 def minimal_keys(df: DataFrame, columns: Sequence[str], most: int = 3) -> DataFrame:
     """Column combinations that no two rows share, and none of whose parts is unique already.
 
-    Combinations grow level by level up to ``most`` columns. A level is one pass over the
-    rows: all its candidates are counted together, on 128-bit digests of their values.
-    A candidate is left out if a part of it is unique, or if its parts have too few
-    distinct values to tell all rows apart. NULL is a value. Rows: columns (comma-joined),
-    n_columns, n_rows, n_distinct.
+    Combinations grow level by level up to ``most`` columns; one with a part that is unique
+    is left out. Values are compared as digests, and equal ones have equal digests. A value
+    that repeats anywhere proves that a candidate is no key, so two small parts come first:
+    one digest in 256, which finds values that repeat far apart, and one row in 256, which
+    finds the repeats of few values. Candidates without any are compared over all rows:
+    distinct 64-bit digests prove a key, repeated ones are looked at again with 128 bits.
+    NULL is a value. Rows: columns (comma-joined), n_columns, n_rows, n_distinct.
     """
     total = df.count()
-    distinct: dict[tuple[str, ...], int] = {}
     found: list[tuple[str, ...]] = []
+    # two digests of each column, made once; those of a combination are their exclusive or
+    digests = df.select(*[
+        F.xxhash64(F.lit(2 * i + bits), F.col(name).isNull(), F.col(name)).alias(f"_{bits}_{name}")
+        for i, name in enumerate(columns) for bits in (0, 1)])
+    of = lambda names, bits: reduce(Column.bitwiseXOR, [F.col(f"_{bits}_{name}") for name in names])
+    digests = digests.withColumn("row", of(columns, 0))
+
+    def repeated(candidates: Sequence[tuple[str, ...]], part: bool, wide: bool) -> set[tuple[str, ...]]:
+        """Candidates with a digest that occurs twice, in the parts or anywhere; 128 bits if ``wide``."""
+        if not candidates:
+            return set()
+        fields = ("a", "b") if wide else ("a",)
+        sets = [F.struct(*[of(names, bits).alias(field) for bits, field in enumerate(fields)]) for names in candidates]
+        values = digests.select("row", F.posexplode(F.array(*sets)).alias("which", "v")).select("row", "which", "v.*")
+        if part:
+            chosen = [F.col(name).bitwiseAND(_PARTS - 1) == 0 for name in ("a", "row")]
+            values = values.filter(chosen[0] | chosen[1])
+        else:  # hardly any digest repeats now, so combining them before the shuffle would only fill memory
+            values = values.repartition("which", *fields)
+        twice = values.groupBy("which", *fields).agg(F.count(F.lit(1)).alias("n")).groupBy("which").agg(
+            F.max("n").alias("n"))
+        return {candidates[row["which"]] for row in twice.collect() if row["n"] > 1}  # a row per candidate
+
     for size in range(1, min(most, len(columns)) + 1):
-        candidates = [
-            combination for combination in combinations(columns, size)
-            if not any(set(key) <= set(combination) for key in found)
-            and (size == 1 or min(
-                distinct.get(tuple(c for c in combination if c != left), total) * distinct[(left,)]
-                for left in combination) >= total)]
+        candidates = [names for names in combinations(columns, size) if not any(set(key) <= set(names) for key in found)]
         if not candidates or not total:
             break
-        sets = [
-            F.struct(F.lit(i).alias("which"), F.xxhash64(F.lit(i), *names).alias("a"), F.xxhash64(F.lit(-1 - i), *[
-                F.struct(F.col(name).isNull(), F.col(name)) for name in names]).alias("b"))
-            for i, names in enumerate(candidates)]
-        values = df.select(F.inline(F.array(*sets))).distinct()
-        for row in values.groupBy("which").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per candidate
-            distinct[candidates[row["which"]]] = row["n"]
-            if row["n"] == total:
-                found.append(candidates[row["which"]])
+        no_keys = repeated(candidates, part=True, wide=True)
+        candidates = [names for names in candidates if names not in no_keys]
+        doubtful = sorted(repeated(candidates, part=False, wide=False))
+        no_keys = repeated(doubtful, part=False, wide=True)
+        found += [names for names in candidates if names not in no_keys]
     return df.sparkSession.createDataFrame(
-        [(",".join(key), len(key), total, distinct[key]) for key in sorted(found)],
+        [(",".join(key), len(key), total, total) for key in sorted(found)],
         "columns string, n_columns int, n_rows bigint, n_distinct bigint")
 
 

@@ -109,3 +109,25 @@ def test_minimal_keys(spark):
     assert [tuple(r) for r in quality.minimal_keys(spark.range(5), ["id"]).collect()] == [("id", 1, 5, 5)]
     swapped = spark.createDataFrame([(None, "x"), ("x", None)], "p string, q string")
     assert {row["columns"] for row in quality.minimal_keys(swapped, ["p", "q"]).collect()} == {"p", "q"}
+
+
+def test_minimal_keys_finds_a_single_repeated_value(spark):
+    # one repeated pair among many rows, wherever its digest lies, and few shuffled rows otherwise
+    frame = spark.range(3000).select(
+        F.col("id").alias("a"), (F.col("id") % 60).alias("b"), F.floor(F.col("id") / 60).alias("c"), F.lit(1).alias("d"))
+    assert {row["columns"] for row in quality.minimal_keys(frame, ["a", "b", "c", "d"]).collect()} == {"a", "b,c"}
+    for again in (0, 7, 2999):
+        twice = frame.unionByName(frame.where(F.col("a") == again).withColumn("a", F.lit(-1).cast("bigint")))
+        assert [tuple(row) for row in quality.minimal_keys(twice, ["a", "b", "c", "d"]).collect()] == [("a", 1, 3001, 3001)]
+
+
+def test_minimal_keys_shuffles_few_digests_of_candidates_that_repeat(spark):
+    frame = spark.range(40_000).select(*[F.xxhash64(F.floor(F.col("id") / 2), F.lit(i)).alias(f"c{i}") for i in range(6)])
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+    stages = lambda: store.stageList(None, False, False, none, None)
+    last = max([stages().apply(i).stageId() for i in range(stages().size())], default=-1)
+    assert quality.minimal_keys(frame, frame.columns, 3).count() == 0
+    found = stages()
+    written = sum(found.apply(i).shuffleWriteRecords() for i in range(found.size()) if found.apply(i).stageId() > last)
+    assert written < 40_000  # 41 candidates have 820,000 distinct values
