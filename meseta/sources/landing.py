@@ -35,12 +35,14 @@ def land_envelopes(
     requested_end_date: str | None = None,
     extra_metadata: dict[str, Column] | None = None,
     payload: str = "data",
+    packed: int = 0,
 ) -> str:
     """Append one ``{"metadata", "data"}`` object per row of ``df``.
 
     Objects are written one per line, so the files stay splittable; read them
     back with ``multiline=False``. A second run over the same window adds
-    objects and never overwrites.
+    objects and never overwrites. With ``packed`` the files are compressed and
+    hold at most that many objects, as one task has to read a whole file.
     """
     fixed = {
         "source": source,
@@ -54,7 +56,10 @@ def land_envelopes(
     metadata += [column.alias(name) for name, column in (extra_metadata or {}).items()]
     path = _checked_path(root, source, dataset)
     rows = df.select(F.struct(*metadata).alias("metadata"), F.col(payload).alias("data"))
-    _dated(rows, ingested_at).write.mode("append").partitionBy(*_LAYOUT).json(path)
+    writer = _dated(rows, ingested_at).write.mode("append").partitionBy(*_LAYOUT)
+    if packed:
+        writer = writer.options(compression="gzip", maxRecordsPerFile=packed)
+    writer.json(path)
     return path
 
 

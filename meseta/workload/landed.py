@@ -28,6 +28,10 @@ _ENERGY, _POWER, _CAPACITY = (
         catalog.HOURLY_ENERGY_DATASETS, catalog.FIVE_MINUTE_POWER_DATASETS, catalog.MONTHLY_CAPACITY_DATASETS))
 
 
+_SERIES_BLOCK = 20 * BLOCK  # ids, each in one of the datasets of a family
+_FILE_POINTS = 100_000  # objects of a landed file, or the records in them where those are many
+
+
 class Landing:
     """A landing zone below a folder of its own."""
 
@@ -45,7 +49,9 @@ class Landing:
         record = F.struct(*[
             (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
         payload = rows.groupBy(F.floor(F.col(key) / BLOCK).alias("block")).agg(F.collect_list(record).alias("data"))
-        land_envelopes(payload, self.root, source="aemet", dataset=dataset, ingestion_mode="incremental", ingested_at=LANDED)
+        land_envelopes(
+            payload, self.root, source="aemet", dataset=dataset, ingestion_mode="incremental", ingested_at=LANDED,
+            packed=_FILE_POINTS // BLOCK)
 
     def masters(self) -> Landing:
         land_snapshot(provinces_csv(self.t).distinct(), self.root, source="cnig", dataset="provinces", ingested_at=LANDED)
@@ -88,6 +94,7 @@ class Landing:
             rows = given.join(self._places(), F.col("_id") == F.col("user_id").cast("string"))
             land_envelopes(
                 rows, self.root, source="open_meteo", dataset=dataset, ingestion_mode="incremental", ingested_at=LANDED,
+                packed=_FILE_POINTS,
                 extra_metadata={layout.id_field: F.col("_id"), "station_name": F.col("_name"), "province": F.col("province")})
         return self
 
@@ -116,8 +123,10 @@ class Landing:
                 F.col("at").alias("datetime"), F.col("at").alias("datetime_utc"), F.col("at").alias("tz_time"),
                 F.col("geo").alias("geo_id"), F.col("name").alias("geo_name"), "value")
             classes = [F.array(F.struct(F.lit(c).cast("bigint").alias("id"), F.lit("class").alias("name"))) for c in (magnitude, time)]
-            values = series.groupBy("number", "at", "geo", "name").agg(F.max("value").alias("value")).groupBy(
-                "number", F.xxhash64("at", "geo").bitwiseAND(7).alias("block")).agg(F.collect_list(point).alias("values"))
+            # a point takes the block of its first event, which has no other point: blocks bound the lists
+            values = series.groupBy("number", "at", "geo", "name").agg(
+                F.max("value").alias("value"), F.min("event_id").alias("event_id")).groupBy(
+                "number", F.floor(F.col("event_id") / _SERIES_BLOCK).alias("block")).agg(F.collect_list(point).alias("values"))
             values = stage(values, "indicator-values")
             for number, (key, dataset) in enumerate(datasets.items()):
                 indicator = F.struct(
@@ -125,20 +134,31 @@ class Landing:
                     classes[0].alias("magnitud"), classes[1].alias("tiempo"), F.lit("2024-02-01T00:00:00Z").alias("values_updated_at"), "values")
                 land_envelopes(
                     values.where(F.col("number") == number).select(F.struct(indicator.alias("indicator")).alias("data")),
-                    self.root, source="esios", dataset=dataset, ingestion_mode="incremental", ingested_at=LANDED)
+                    self.root, source="esios", dataset=dataset, ingestion_mode="incremental", ingested_at=LANDED,
+                    packed=_FILE_POINTS * len(datasets) // _SERIES_BLOCK)
         return self
 
 
-_landed: dict[tuple[str, str], Landing] = {}
+_PARTS = ("masters", "aemet", "weather", "indicators")
+_landed: dict[tuple[str, str], tuple[Landing, set[str]]] = {}
 _loaded: dict[tuple[str, str], str] = {}
 
 
-def whole_landing(t) -> Landing:
-    """The complete landing zone of a folder's tables; it never changes, so queries of a session share it."""
+def whole_landing(t, *parts: str) -> Landing:
+    """The landing zone of a folder's tables, complete or with the named parts at least.
+
+    It never changes, so queries of a session share it; each part is landed for the first
+    query that reads it.
+    """
     key = t.spark.sparkContext.applicationId, t.folder
-    if key not in _landed:
-        _landed[key] = Landing(t).masters().aemet().weather().indicators()
-    return _landed[key]
+    landing, done = _landed.get(key) or (Landing(t), set())
+    for part in parts or _PARTS:
+        if part not in done:
+            _landed.pop(key, None)  # a part that fails half way is not read by anyone
+            getattr(landing, part)()
+            done.add(part)
+    _landed[key] = landing, done
+    return landing
 
 
 def loaded_silver(t) -> str:
@@ -256,7 +276,7 @@ def load_modes(t):
     UNION ALL SELECT 'weather_15min', count(*) FROM e""")
 def bronze_readers(t):
     """Records that each reader finds in the landing zone; an instant from the file name where it holds one."""
-    bronze = whole_landing(t).bronze
+    bronze = whole_landing(t, "masters", "aemet", "weather").bronze
     points = lambda frame, container: frame.select(F.explode(f"data.{container}.time"))
     stamped = lambda frame: frame.filter(F.col("ingestion_timestamp") == F.lit(LANDED))
     found = {
@@ -281,7 +301,7 @@ def bronze_readers(t):
     SELECT dataset, count(*) AS n FROM landed GROUP BY dataset""")
 def indicator_scan(t):
     """One scan over the 35 landed indicator datasets, deduplicated once."""
-    rows = silver.all_observations(whole_landing(t).bronze)
+    rows = silver.all_observations(whole_landing(t, "indicators").bronze)
     return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -1,6 +1,8 @@
 """Landing zones and loads derived from the tables."""
 
 import datetime as dt
+import gzip
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -26,3 +28,26 @@ def test_gold_windows_with_several_events_in_one_step(spark, tmp_path):
     folder = folder_of(spark, tmp_path, events)
     found = registry.QUERIES["load_gold_windows"](spark, folder).collect()
     assert {tuple(row) for row in found} == {(name, True, 0) for name in landed._FACTS}
+
+
+def test_readers_land_what_they_read_in_packed_files(spark, monkeypatch):
+    monkeypatch.setattr(landed, "_landed", {})
+    tables = registry.Tables(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(landed, "_FILE_POINTS", 40)
+    landed.whole_landing(tables, "masters", "aemet", "weather")
+    zone = landed.whole_landing(tables, "masters")
+    assert {path.name for path in Path(zone.root).iterdir()} == {"cnig", "aemet", "open_meteo"}
+    files = list(Path(zone.root, "open_meteo").rglob("part-*"))
+    assert files and all(path.name.endswith(".json.gz") for path in files)
+    assert max(gzip.open(path).read().count(b"\n") for path in files) <= 40
+    landed.whole_landing(tables, "indicators")
+    assert landed.whole_landing(tables) is zone and Path(zone.root, "esios").exists()
+
+
+def test_lists_of_an_indicator_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landed, "_SERIES_BLOCK", 120)
+    start = dt.datetime(2024, 1, 1)
+    events = [(i, start + dt.timedelta(minutes=i), i % 7, "click", float(i), "{}") for i in range(2400)]
+    zone = landed.Landing(registry.Tables(spark, folder_of(spark, tmp_path, events))).indicators("power")
+    sizes = zone.bronze.indicators(landed._POWER).select(F.size("data.indicator.values").alias("n")).collect()
+    assert sum(row["n"] for row in sizes) == 2400 and max(row["n"] for row in sizes) == 10
