@@ -203,9 +203,16 @@ def prepare(
     if store.buckets and set(keys) != set(store.keys):
         raise ValueError(f"{store.name} is bucketed by {store.keys}, not by {tuple(keys)}.")
     incoming = source.frame.repartition(store.buckets, *store.keys) if store.buckets else source.frame
+    stored = store.of_partitions(source.partitions)
+    if not stored.inputFiles():  # nothing to merge with: the keys alone are shuffled to be checked
+        repeated = source.frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").count()
+        if repeated:
+            raise ValueError(f"{what}: {repeated} natural keys occur more than once.")
+        load = store.write(incoming if store.buckets else incoming.hint("rebalance", *store.partitions))
+        return PreparedMerge(store, load, UpsertReport(source.rows, source.rows))
     seen = Observation()
     merged = _merged(
-        store.of_partitions(source.partitions), incoming, store.keys if store.buckets else keys, newest_by, insert_only,
+        stored, incoming, store.keys if store.buckets else keys, newest_by, insert_only,
     ).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_copy") == 2).alias("repeated")).drop("_copy")
     if not store.buckets:  # even file sizes per partition, also when one partition is much larger
         merged = merged.hint("rebalance", *store.partitions)

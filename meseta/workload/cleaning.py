@@ -336,14 +336,18 @@ def silver_current_observations(t):
         "station_id", "observation_timestamp", "ta", "hr", "ubi", "source")
 
 
-def weather_envelopes(t, layout):
-    """Events as parallel-array payloads, one envelope per user and block of ids."""
+def weather_payloads(t):
+    """Events as lists of points, one per user and block of ids."""
+    points = F.array_sort(F.collect_list(F.struct("event_id", "ts", "value")))
+    return t.events.groupBy(
+        "user_id", F.floor(F.col("event_id") / BLOCK).alias("block")).agg(points.alias("points"))
+
+
+def weather_envelopes(t, layout, payloads=None, *carried):
+    """Payloads as parallel arrays, an envelope each; ``carried`` columns stay beside it."""
     from meseta import catalog
 
-    names = ["ts", "value"]
-    points = F.array_sort(F.collect_list(F.struct("event_id", *names)))
-    payloads = t.events.groupBy(
-        "user_id", F.floor(F.col("event_id") / BLOCK).alias("block")).agg(points.alias("points"))
+    payloads = weather_payloads(t) if payloads is None else payloads
     whole = F.transform("points.value", lambda v: F.floor(v).cast("bigint"))
     arrays = {"time": F.transform("points.ts", iso)}
     for name in layout.variables:
@@ -358,7 +362,7 @@ def weather_envelopes(t, layout):
             F.concat(F.lit("Point "), F.col("user_id")).alias("station_name"),
             F.lit("MADRID").alias("province"), F.lit("open_meteo").alias("source"),
             F.timestamp_seconds(F.col("block")).cast("string").alias("ingestion_timestamp"),
-        ).alias("metadata"))
+        ).alias("metadata"), *carried)
 
 
 def _weather_sql(columns):

@@ -17,7 +17,7 @@ from meseta.session import scratch_path, stage
 from meseta.sources import tables
 from meseta.sources.bronze import Bronze
 from meseta.sources.landing import land_envelopes, land_snapshot
-from meseta.workload.cleaning import _dms, provinces_csv, weather_envelopes
+from meseta.workload.cleaning import _dms, provinces_csv, weather_envelopes, weather_payloads
 from meseta.workload.derived import BLOCK, iso, metric
 from meseta.workload.registry import query
 
@@ -87,11 +87,13 @@ class Landing:
         return self
 
     def weather(self) -> Landing:
+        # points and places meet once, before each layout repeats the points in all of its arrays
+        payloads = stage(weather_payloads(self.t).join(self._places(), "user_id"), "weather-payloads")
         for layout, dataset in ((silver.HOURLY, "weather_hourly"), (silver.QUARTER_HOURLY, "weather_15min"),
                                 (silver.HISTORICAL_FORECAST, "weather_historical_forecast")):
-            given = weather_envelopes(self.t, layout).select(
-                "data", F.col(f"metadata.{layout.id_field}").alias("_id"), F.col("metadata.station_name").alias("_name"))
-            rows = given.join(self._places(), F.col("_id") == F.col("user_id").cast("string"))
+            rows = weather_envelopes(self.t, layout, payloads, "province").select(
+                "data", F.col(f"metadata.{layout.id_field}").alias("_id"), F.col("metadata.station_name").alias("_name"),
+                "province")
             land_envelopes(
                 rows, self.root, source="open_meteo", dataset=dataset, ingestion_mode="incremental", ingested_at=LANDED,
                 packed=_FILE_POINTS,
@@ -108,7 +110,10 @@ class Landing:
         power_at = floor_grain(F.col("ts"), power_minutes) if power_minutes else F.col("ts")
         located = self.t.events.join(self._places(), "user_id").join(
             self.t.nation.select(F.col("n_name").alias("province"), "n_nationkey", "n_regionkey"), "province").join(
-            self.t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+            self.t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+            "event_id", "ts", "value", "n_nationkey", "province", "n_regionkey", "r_name")
+        if len(families) != 1:  # places are looked up once for all families
+            located = stage(located, "located-events")
         layouts = {
             "energy": (catalog.HOURLY_ENERGY_DATASETS, catalog.ENERGY_BY_HOUR, F.date_trunc("hour", "ts"),
                        F.col("n_nationkey"), F.col("province")),

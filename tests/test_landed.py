@@ -4,8 +4,12 @@ import datetime as dt
 import gzip
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from meseta.operators import upsert as upserts
+from meseta.session import stage
+from meseta.sources.snapshots import SnapshotTable
 from meseta.workload import landed, registry
 
 
@@ -51,3 +55,28 @@ def test_lists_of_an_indicator_are_bounded(spark, tmp_path, monkeypatch):
     zone = landed.Landing(registry.Tables(spark, folder_of(spark, tmp_path, events))).indicators("power")
     sizes = zone.bronze.indicators(landed._POWER).select(F.size("data.indicator.values").alias("n")).collect()
     assert sum(row["n"] for row in sizes) == 2400 and max(row["n"] for row in sizes) == 10
+
+
+def test_first_load_of_a_table_joins_nothing(spark, monkeypatch, tmp_path):
+    def joined(*_):
+        raise AssertionError("a table without rows was joined")
+
+    monkeypatch.setattr(upserts, "_merged", joined)
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "k int, part string")
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS first_load")
+    for name, partition in (("plain", None), ("parted", "part")):
+        table = SnapshotTable.create(
+            spark, f"first_load.{name}", rows.schema, keys=("k",), partition_column=partition, location=f"{tmp_path}/{name}")
+        with pytest.raises(ValueError, match="more than once"):
+            upserts.upsert(table, rows.unionByName(rows.limit(1)), ["k"])
+        assert table.read().count() == 0
+        assert upserts.upsert(table, rows, ["k"]) == upserts.UpsertReport(3, 3)
+        assert sorted(row["k"] for row in spark.table(f"first_load.{name}").collect()) == [1, 2, 3]
+
+
+def test_weather_is_landed_from_points_that_know_their_place(spark, monkeypatch):
+    tables = registry.Tables(spark, "/root/testdata/sf0.001")
+    staged = []
+    monkeypatch.setattr(landed, "stage", lambda frame, purpose: staged.append(purpose) or stage(frame, purpose))
+    landed.Landing(tables).weather()
+    assert staged == ["weather-payloads"]
