@@ -126,12 +126,24 @@ class StagedSource:
     nulls: int  # rows without a complete key
     partitions: Sequence[Row]  # physical partitions that occur
     bad: Mapping[str, int]  # rows that meet each of the extra predicates
+    load: Load | None = None  # the rows as partitions of the table, where they were written as such
+
+    def discard(self, store: SnapshotTable) -> None:
+        if self.load:
+            store.abandon(self.load)
+        else:
+            discard(self.frame)
 
 
 def stage_source(
     source: DataFrame, store: SnapshotTable, keys: Sequence[str], checks: Mapping[str, Column] | None = None,
+    as_load: bool = False,
 ) -> StagedSource:
-    """Write the rows once; row count, missing keys, partitions and row checks are metrics of that write."""
+    """Write the rows once; row count, missing keys, partitions and row checks are metrics of that write.
+
+    With ``as_load`` they are written as partitions of the table that nothing reads yet. A merge publishes
+    them as they are where they replace all stored rows; the caller discards them if there is no merge.
+    """
     checks = checks or {}
     seen = Observation()
     located = store.located(source)
@@ -139,11 +151,16 @@ def stage_source(
     watched = located.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if(any_null(keys)).alias("nulls"), *places,
         *[F.count_if(predicate).alias(f"bad_{i}") for i, predicate in enumerate(checks.values())])
-    frame = stage(watched, "upsert-source")
+    load = None
+    if as_load and not store.buckets:
+        load = store.write(watched.hint("rebalance", *store.partitions))
+        frame = store.rows_of(load)
+    else:
+        frame = stage(watched, "upsert-source")
     found = seen.get
     return StagedSource(
         frame, found["rows"], found["nulls"], found.get("partitions") or [],
-        {name: found[f"bad_{i}"] for i, name in enumerate(checks)})
+        {name: found[f"bad_{i}"] for i, name in enumerate(checks)}, load)
 
 
 @dataclass(frozen=True)
@@ -164,12 +181,13 @@ class PreparedMerge:
             self.store.abandon(self.load)
 
 
-def _merged(
+def _sides(
     current: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str], insert_only: bool,
-) -> DataFrame:
-    """Rows of both sides by key, and ``_copy``: the number of a source row among those with its key.
+) -> tuple[DataFrame, Column]:
+    """Both sides by key as ``t`` and ``s``, and whether the source row is the one to take.
 
-    Only the source is numbered, in the partitioning of the join. A bucketed target joins as it lies.
+    Only the source is numbered, in the partitioning of the join: ``_copy`` is the number of a source
+    row among those with its key. A bucketed target joins as it lies.
     """
     columns = current.columns
     copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
@@ -183,10 +201,32 @@ def _merged(
         take = F.col("_copy").isNotNull() & (~stored | (new >= old))
     else:
         take = F.col("_copy").isNotNull()
-    return current.alias("t").join(sided, same, "full_outer").select(
+    return current.alias("t").join(sided, same, "full_outer"), take
+
+
+def _merged(
+    current: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str], insert_only: bool,
+) -> DataFrame:
+    """Rows of the target after the merge, with the ``_copy`` of those that have a source row."""
+    columns = current.columns
+    sides, take = _sides(current, source, keys, newest_by, insert_only)
+    return sides.select(
         *[F.when(take, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name) for name in columns], "_copy")
 
 
+def _stays(
+    current: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str], insert_only: bool, what: str,
+) -> bool:
+    """Whether any stored row outlasts the merge. Reads and shuffles what decides it, not whole rows."""
+    names = list(dict.fromkeys([*keys, *newest_by]))
+    sides, take = _sides(current.select(*names), source.select(*names), keys, newest_by, insert_only)
+    found = sides.agg(
+        F.count_if(F.col("_copy") == 2).alias("repeated"), F.count_if(~F.coalesce(take, F.lit(False))).alias("kept")).first()
+    if found["repeated"]:
+        raise ValueError(f"{what}: {found['repeated']} natural keys occur more than once.")
+    return found["kept"] > 0
+
+
 def prepare(
     store: SnapshotTable, source: StagedSource, keys: Sequence[str], *, newest_by: Sequence[str] = (),
     insert_only: bool = False, what: str = "upsert source",
@@ -195,6 +235,7 @@ def prepare(
 
     Raises for missing or repeated keys; then the table is as it was. Repeated keys and
     merged rows are counted by the write itself. With ``insert_only`` stored rows win.
+    Where the source replaces all stored rows of its partitions, whole rows aren't joined.
     """
     if source.nulls:
         raise ValueError(f"{what}: {source.nulls} rows contain NULL natural keys.")
@@ -208,8 +249,10 @@ def prepare(
         repeated = source.frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").count()
         if repeated:
             raise ValueError(f"{what}: {repeated} natural keys occur more than once.")
-        load = store.write(incoming if store.buckets else incoming.hint("rebalance", *store.partitions))
+        load = source.load or store.write(incoming if store.buckets else incoming.hint("rebalance", *store.partitions))
         return PreparedMerge(store, load, UpsertReport(source.rows, source.rows))
+    if source.load and not _stays(stored, incoming, keys, newest_by, insert_only, what):
+        return PreparedMerge(store, source.load, UpsertReport(source.rows, source.rows))
     seen = Observation()
     merged = _merged(
         stored, incoming, store.keys if store.buckets else keys, newest_by, insert_only,

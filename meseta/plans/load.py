@@ -15,7 +15,7 @@ from meseta.operators.geo import attach_station_place
 from meseta.operators.joins import new_members
 from meseta.operators.upsert import PreparedMerge, StagedSource, UpsertReport, prepare, stage_source, upsert_table
 from meseta.plans import gold, silver
-from meseta.session import discard, stage
+from meseta.session import stage
 from meseta.sources.bronze import Bronze
 from meseta.sources.snapshots import BUCKET, SnapshotTable, is_snapshot_table
 from meseta.sources.tables import create_namespace, create_table, with_partition
@@ -44,22 +44,38 @@ def create_tables(
 Checks = Mapping[str, tuple[str, Column]]
 
 
+def _discard(spark: SparkSession, namespace: str, staged: Mapping[str, StagedSource | DataFrame]) -> None:
+    """Remove rows that were written as partitions of their table and will not be part of it."""
+    for name, source in staged.items():
+        if isinstance(source, StagedSource) and source.load:
+            source.discard(SnapshotTable(spark, _qualified(namespace, name)))
+
+
 def _staged(
     spark: SparkSession, frames: Mapping[str, DataFrame], namespace: str, checks: Mapping[str, Checks],
+    as_loads: bool = False,
 ) -> tuple[dict[str, StagedSource | DataFrame], list[DataFrame]]:
-    """Evaluate each frame once and count its row checks in the same write where the table allows it."""
+    """Evaluate each frame once and count its row checks in the same write where the table allows it.
+
+    With ``as_loads`` the rows are written as partitions of their table, for callers that merge all of them.
+    """
     specs = catalog.SILVER_TABLES | catalog.GOLD_TABLES
     staged, verdicts = {}, []
-    for name, frame in frames.items():
-        rows, rules, target = with_partition(frame, specs[name]), checks.get(name, {}), _qualified(namespace, name)
-        if is_snapshot_table(spark, target):
-            staged[name] = source = stage_source(
-                rows, SnapshotTable(spark, target), specs[name].keys, {rule: bad for rule, (_, bad) in rules.items()})
-            found = [quality.counted(spark, name, rules, source.rows, source.bad)]
-        else:
-            staged[name] = rows = stage(rows, name)
-            found = [quality.row_checks(rows, name, rules)]
-        verdicts += found if rules else []
+    try:
+        for name, frame in frames.items():
+            rows, rules, target = with_partition(frame, specs[name]), checks.get(name, {}), _qualified(namespace, name)
+            if is_snapshot_table(spark, target):
+                staged[name] = source = stage_source(
+                    rows, SnapshotTable(spark, target), specs[name].keys, {rule: bad for rule, (_, bad) in rules.items()},
+                    as_load=as_loads)
+                found = [quality.counted(spark, name, rules, source.rows, source.bad)]
+            else:
+                staged[name] = rows = stage(rows, name)
+                found = [quality.row_checks(rows, name, rules)]
+            verdicts += found if rules else []
+    except Exception:
+        _discard(spark, namespace, staged)
+        raise
     return staged, verdicts
 
 
@@ -82,12 +98,14 @@ def _write(
     except Exception:
         for merge in merges.values():
             merge.abandon()
+        _discard(spark, namespace, staged)
         raise
     reports = {}
     for name, source in staged.items():
         if name in merges:
             reports[name] = merges[name].publish()
-            discard(source.frame)
+            if source.load is None or source.load is not merges[name].load:
+                source.discard(merges[name].store)
         else:  # the format merges and publishes by itself
             spec = specs[name]
             reports[name] = upsert_table(
@@ -121,8 +139,13 @@ def load_silver(
         raise ValueError(f"Unknown load mode {mode}; known: {sorted(catalog.LOAD_MODES)}")
     frames = silver.build_silver(bronze, catalog.LOAD_MODES[mode] if tables is None else tables)
     create_tables(spark, frames, namespace, provider)
-    staged, verdicts = _staged(spark, frames, namespace, {name: silver_checks(name) for name in frames})
-    quality.require_passed(verdicts)
+    staged, verdicts = _staged(
+        spark, frames, namespace, {name: silver_checks(name) for name in frames}, as_loads=True)
+    try:
+        quality.require_passed(verdicts)
+    except Exception:
+        _discard(spark, namespace, staged)
+        raise
     return _write(spark, namespace, staged, newest_by=("ingestion_timestamp",))
 
 

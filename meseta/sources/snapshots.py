@@ -61,6 +61,7 @@ class Load:
 
     root: str
     folders: Mapping[str, str]  # partition as in a path, such as part_day=2024-01-01, to its folder
+    schema: StructType | None = None  # of the rows written, where they have no buckets
 
 
 class SnapshotTable:
@@ -140,7 +141,7 @@ class SnapshotTable:
     def write(self, rows: DataFrame) -> Load:
         """Write rows, with their partition columns, to new folders that nothing reads yet."""
         root = f"{self._recorded['location']}/load-{uuid.uuid4().hex}"
-        written = f"{self.snapshot}_load"
+        written, schema = f"{self.snapshot}_load", None
         columns = [name for name in self.files().columns if name not in self.partitions]
         writer = rows.select(*columns, *self.partitions).write.format(self._recorded["provider"])
         if self.partitions:
@@ -152,9 +153,16 @@ class SnapshotTable:
             self.spark.sql(f"DROP TABLE {written}")
         else:
             writer.save(root)
-            stored = self.spark.read.schema(rows.select(*columns, *self.partitions).schema)
-            folders = self._folders(stored.format(self._recorded["provider"]).load(root))
-        return Load(root, folders)
+            schema = rows.select(*columns, *self.partitions).schema
+            folders = self._folders(self._written(root, schema))
+        return Load(root, folders, schema)
+
+    def _written(self, root: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).format(self._recorded["provider"]).load(root)
+
+    def rows_of(self, load: Load) -> DataFrame:
+        """Rows of a load without buckets."""
+        return self._written(load.root, load.schema)
 
     def abandon(self, load: Load) -> None:
         _delete(self.spark, [load.root])

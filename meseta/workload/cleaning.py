@@ -336,11 +336,11 @@ def silver_current_observations(t):
         "station_id", "observation_timestamp", "ta", "hr", "ubi", "source")
 
 
-def weather_payloads(t):
+def weather_payloads(t, size=BLOCK):
     """Events as lists of points, one per user and block of ids."""
     points = F.array_sort(F.collect_list(F.struct("event_id", "ts", "value")))
     return t.events.groupBy(
-        "user_id", F.floor(F.col("event_id") / BLOCK).alias("block")).agg(points.alias("points"))
+        "user_id", F.floor(F.col("event_id") / size).alias("block")).agg(points.alias("points"))
 
 
 def weather_envelopes(t, layout, payloads=None, *carried):

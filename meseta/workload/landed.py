@@ -28,7 +28,7 @@ _ENERGY, _POWER, _CAPACITY = (
         catalog.HOURLY_ENERGY_DATASETS, catalog.FIVE_MINUTE_POWER_DATASETS, catalog.MONTHLY_CAPACITY_DATASETS))
 
 
-_SERIES_BLOCK = 20 * BLOCK  # ids, each in one of the datasets of a family
+_SERIES_BLOCK = 20 * BLOCK  # ids, each in one of the datasets of a family, or of one of many users
 _FILE_POINTS = 100_000  # objects of a landed file, or the records in them where those are many
 
 
@@ -65,7 +65,13 @@ class Landing:
         land_snapshot(rows, self.root, source="cnig", dataset="municipalities", ingested_at=LANDED)
         return self
 
-    def aemet(self) -> Landing:
+    def aemet(self, *datasets: str) -> Landing:
+        """``datasets`` limits them to some of stations, daily and current."""
+        for dataset in datasets or ("stations", "daily", "current"):
+            getattr(self, f"_{dataset}")()
+        return self
+
+    def _stations(self) -> None:
         t, comma = self.t, lambda c: F.replace(c.cast("string"), F.lit("."), F.lit(","))
         text = _dms(F.col("c_custkey"))
         stations = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
@@ -73,6 +79,9 @@ class Landing:
             F.col("n_name").alias("provincia"), comma(F.col("c_acctbal")).alias("altitud"), text.alias("latitud"),
             text.alias("longitud"), F.col("c_mktsegment").alias("indsinop"))
         self._records(stations, "c_custkey", "stations", schemas.STATIONS)
+
+    def _daily(self) -> None:
+        t, comma = self.t, lambda c: F.replace(c.cast("string"), F.lit("."), F.lit(","))
         daily = t.events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
             F.max("value").alias("high"), F.min("value").alias("low"), F.min("event_id").alias("event_id")).join(
             self._places(), "user_id").select(
@@ -80,15 +89,18 @@ class Landing:
             F.col("province").alias("provincia"), comma(F.col("high")).alias("tmax"), comma(F.col("low")).alias("tmin"),
             F.lit("Ip").alias("prec"))
         self._records(daily, "event_id", "daily_climatological_values", schemas.DAILY_CLIMATOLOGY)
-        current = t.events.select(
+
+    def _current(self) -> None:
+        current = self.t.events.select(
             "event_id", F.col("user_id").cast("string").alias("idema"), iso(F.col("ts")).alias("fint"),
             metric("click").alias("ta"), metric("view").alias("hr"), F.col("event_type").alias("ubi"))
         self._records(current, "event_id", "current_observations", schemas.CURRENT_OBSERVATIONS)
-        return self
 
     def weather(self) -> Landing:
-        # points and places meet once, before each layout repeats the points in all of its arrays
-        payloads = stage(weather_payloads(self.t).join(self._places(), "user_id"), "weather-payloads")
+        # points and places meet once, before each layout repeats the points in all of its arrays; small files of
+        # points become large ones of text, so all tasks get some
+        payloads = weather_payloads(self.t, _SERIES_BLOCK).join(self._places(), "user_id")
+        payloads = stage(payloads.repartition("user_id", "block"), "weather-payloads")
         for layout, dataset in ((silver.HOURLY, "weather_hourly"), (silver.QUARTER_HOURLY, "weather_15min"),
                                 (silver.HISTORICAL_FORECAST, "weather_historical_forecast")):
             rows = weather_envelopes(self.t, layout, payloads, "province").select(
@@ -96,7 +108,7 @@ class Landing:
                 "province")
             land_envelopes(
                 rows, self.root, source="open_meteo", dataset=dataset, ingestion_mode="incremental", ingested_at=LANDED,
-                packed=_FILE_POINTS,
+                packed=max(1, _FILE_POINTS * BLOCK // _SERIES_BLOCK),
                 extra_metadata={layout.id_field: F.col("_id"), "station_name": F.col("_name"), "province": F.col("province")})
         return self
 
@@ -259,7 +271,7 @@ _ENERGY_MODE = ("silver_esios_energy_hourly",)
     UNION ALL SELECT 'esios-geography-fix', "table", n, n FROM counted WHERE "table" = 'silver_esios_energy_hourly'""")
 def load_modes(t):
     """A corrected province master reaches the tables of each mode when that mode is loaded, and no others."""
-    landing, namespace = Landing(t).masters().aemet().weather().indicators("energy"), _namespace()
+    landing, namespace = Landing(t).masters().aemet("stations", "daily").weather().indicators("energy"), _namespace()
     placed = {*_WEATHER_MODE, *_ENERGY_MODE}
     load.load_silver(t.spark, landing.bronze, namespace, tables=placed)
     _moved(t, landing)

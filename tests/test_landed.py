@@ -80,3 +80,69 @@ def test_weather_is_landed_from_points_that_know_their_place(spark, monkeypatch)
     monkeypatch.setattr(landed, "stage", lambda frame, purpose: staged.append(purpose) or stage(frame, purpose))
     landed.Landing(tables).weather()
     assert staged == ["weather-payloads"]
+
+
+def test_weather_envelopes_hold_a_block_of_their_users_points(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landed, "_SERIES_BLOCK", 5000)
+    start = dt.datetime(2024, 1, 1)
+    events = [(50 * i, start + dt.timedelta(minutes=i), i % 7, "click", float(i), "{}") for i in range(700)]
+    zone = landed.Landing(registry.Tables(spark, folder_of(spark, tmp_path, events))).weather()
+    for frame, container in ((zone.bronze.weather_hourly(), "hourly"), (zone.bronze.weather_15min(), "minutely_15")):
+        sizes = [row["n"] for row in frame.select(F.size(f"data.{container}.time").alias("n")).collect()]
+        assert sum(sizes) == 700 and len(sizes) == 7 * 7 and max(sizes) <= 15
+
+
+def test_modes_land_the_datasets_they_load(spark):
+    zone = landed.Landing(registry.Tables(spark, "/root/testdata/sf0.001")).aemet("stations", "daily")
+    assert {path.name for path in Path(zone.root, "aemet").iterdir()} == {"stations", "daily_climatological_values"}
+
+
+@pytest.mark.parametrize("partition", [None, "part"])
+def test_rows_that_replace_all_stored_ones_are_published_as_staged(spark, monkeypatch, tmp_path, partition):
+    schema = "k int, part string, v int, at int"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    old = [(1, "a", 10, 1), (2, "b", 20, 1), (3, "b", 30, 1)]
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS whole_load")
+    name = f"whole_load.t_{partition}"
+    SnapshotTable.create(
+        spark, name, frame(old).schema, keys=("k",), partition_column=partition, location=f"{tmp_path}/t")
+
+    def load(rows):
+        table = SnapshotTable(spark, name)
+        source = upserts.stage_source(frame(rows), table, ["k"], as_load=True)
+        try:
+            merge = upserts.prepare(table, source, ["k"], newest_by=["at"])
+        except ValueError:
+            source.discard(table)
+            raise
+        merge.publish()
+        return merge.load is source.load, merge.report
+
+    stored = lambda: sorted(tuple(row) for row in spark.table(name).select("k", "part", "v", "at").collect())
+    merged = upserts._merged
+    monkeypatch.setattr(upserts, "_merged", None)  # whole rows are not joined
+    assert load(old) == (True, upserts.UpsertReport(3, 3))
+    again = [(1, "a", 11, 1), (2, "b", 21, 2), (3, "b", 31, 2), (4, "c", 41, 2)]
+    assert load(again) == (True, upserts.UpsertReport(4, 4)) and stored() == again
+    with pytest.raises(ValueError, match="more than once"):
+        load(again + again[:1])
+    assert stored() == again
+    monkeypatch.setattr(upserts, "_merged", merged)
+    # a stored row is newer, another one is not delivered again
+    mixed, report = load([(2, "b", 22, 1), (4, "c", 42, 3)])
+    assert not mixed and report.source_rows == 2
+    assert stored() == [*again[:3], (4, "c", 42, 3)]
+
+
+def test_a_rejected_load_leaves_no_rows_behind(spark, tmp_path, monkeypatch):
+    zone = landed.Landing(registry.Tables(spark, "/root/testdata/sf0.001")).masters().aemet("stations")
+    load = landed.load
+    warehouse = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
+    written = lambda: {path for path in warehouse.rglob("part-*") if "rejected_load" in str(path)}
+    monkeypatch.setattr(load, "silver_checks", lambda name: {"any": (landed.quality.ERROR, F.lit(True))})
+    with pytest.raises(ValueError):
+        load.load_silver(spark, zone.bronze, "rejected_load", tables=["silver_aemet_stations"])
+    assert not written() and spark.table("rejected_load.silver_aemet_stations").count() == 0
+    monkeypatch.undo()
+    load.load_silver(spark, zone.bronze, "rejected_load", tables=["silver_aemet_stations"])
+    assert written() and spark.table("rejected_load.silver_aemet_stations").count() > 0
