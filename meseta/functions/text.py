@@ -57,10 +57,11 @@ def plain_name(name: Column) -> Column:
     """Comparable form of a place name: trimmed, upper case, no diacritics.
 
     Precomposed letters go through a translate table; combining marks of
-    decomposed input are dropped.
+    decomposed input are dropped. ASCII names have neither and skip both.
     """
-    upper = F.translate(F.upper(F.trim(name)), _COMPOSED, _PLAIN)
-    return F.regexp_replace(upper, r"\p{M}+", "")
+    upper = F.upper(F.trim(name))
+    plain = F.regexp_replace(F.translate(upper, _COMPOSED, _PLAIN), r"\p{M}+", "")
+    return F.when(F.octet_length(upper) == F.char_length(upper), upper).otherwise(plain)
 
 
 def surrogate_key(*parts: Column) -> Column:

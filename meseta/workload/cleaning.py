@@ -343,15 +343,21 @@ def weather_payloads(t, size=BLOCK):
         "user_id", F.floor(F.col("event_id") / size).alias("block")).agg(points.alias("points"))
 
 
-def weather_envelopes(t, layout, payloads=None, *carried):
+def weather_arrays(payloads, *carried):
+    """The arrays that the layouts repeat: times as text, values, and values as whole numbers."""
+    return payloads.select(
+        "user_id", "block", F.transform("points.ts", iso).alias("time"), F.col("points.value").alias("value"),
+        F.transform("points.value", lambda v: F.floor(v).cast("bigint")).alias("whole"), *carried)
+
+
+def weather_envelopes(t, layout, arrays_of=None, *carried):
     """Payloads as parallel arrays, an envelope each; ``carried`` columns stay beside it."""
     from meseta import catalog
 
-    payloads = weather_payloads(t) if payloads is None else payloads
-    whole = F.transform("points.value", lambda v: F.floor(v).cast("bigint"))
-    arrays = {"time": F.transform("points.ts", iso)}
+    payloads = weather_arrays(weather_payloads(t)) if arrays_of is None else arrays_of
+    arrays = {"time": F.col("time")}
     for name in layout.variables:
-        arrays[name] = whole if name in catalog.INTEGER_VARIABLES else F.col("points.value")
+        arrays[name] = F.col("whole" if name in catalog.INTEGER_VARIABLES else "value")
     series = F.struct(*[column.alias(name) for name, column in arrays.items()])
     return payloads.select(
         F.struct(

@@ -17,7 +17,7 @@ from meseta.session import scratch_path, stage
 from meseta.sources import tables
 from meseta.sources.bronze import Bronze
 from meseta.sources.landing import land_envelopes, land_snapshot
-from meseta.workload.cleaning import _dms, provinces_csv, weather_envelopes, weather_payloads
+from meseta.workload.cleaning import _dms, provinces_csv, weather_arrays, weather_envelopes, weather_payloads
 from meseta.workload.derived import BLOCK, iso, metric
 from meseta.workload.registry import query
 
@@ -100,7 +100,7 @@ class Landing:
         # points and places meet once, before each layout repeats the points in all of its arrays; small files of
         # points become large ones of text, so all tasks get some
         payloads = weather_payloads(self.t, _SERIES_BLOCK).join(self._places(), "user_id")
-        payloads = stage(payloads.repartition("user_id", "block"), "weather-payloads")
+        payloads = stage(weather_arrays(payloads.repartition("user_id", "block"), "province"), "weather-payloads")
         for layout, dataset in ((silver.HOURLY, "weather_hourly"), (silver.QUARTER_HOURLY, "weather_15min"),
                                 (silver.HISTORICAL_FORECAST, "weather_historical_forecast")):
             rows = weather_envelopes(self.t, layout, payloads, "province").select(

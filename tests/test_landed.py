@@ -146,3 +146,10 @@ def test_a_rejected_load_leaves_no_rows_behind(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     load.load_silver(spark, zone.bronze, "rejected_load", tables=["silver_aemet_stations"])
     assert written() and spark.table("rejected_load.silver_aemet_stations").count() > 0
+
+
+def test_arrays_of_the_layouts_are_computed_once(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(landed, "stage", lambda frame, purpose: staged.append(frame.columns) or stage(frame, purpose))
+    landed.Landing(registry.Tables(spark, "/root/testdata/sf0.001")).weather()
+    assert staged == [["user_id", "block", "time", "value", "whole", "province"]]
