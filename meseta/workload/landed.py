@@ -235,10 +235,13 @@ def _sql_loaded(*tables: str) -> str:
 
 @query("load_silver_all", _sql_loaded(*catalog.SILVER_TABLES))
 def load_silver_all(t):
-    """Every landed source through readers, builders, checks and merges, twice; read back from the tables."""
-    namespace = loaded_silver(t)
-    load.load_silver(
-        t.spark, whole_landing(t).bronze, namespace, tables=["silver_open_meteo_hourly", "silver_cnig_provinces"])
+    """Every landed source through readers, builders, checks and merges, twice; read back from the tables.
+
+    Landing and tables are its own: what other queries of the session landed or loaded doesn't stand in for them.
+    """
+    landing, namespace = Landing(t).masters().aemet().weather().indicators(), _namespace()
+    for _ in range(2):
+        load.load_silver(t.spark, landing.bronze, namespace)
     return _counted(t, namespace, catalog.SILVER_TABLES)
 
 

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from meseta import catalog
 from meseta.operators import upsert as upserts
 from meseta.session import stage
 from meseta.sources.snapshots import SnapshotTable
@@ -153,3 +154,25 @@ def test_arrays_of_the_layouts_are_computed_once(spark, monkeypatch):
     monkeypatch.setattr(landed, "stage", lambda frame, purpose: staged.append(frame.columns) or stage(frame, purpose))
     landed.Landing(registry.Tables(spark, "/root/testdata/sf0.001")).weather()
     assert staged == [["user_id", "block", "time", "value", "whole", "province"]]
+
+
+def test_all_tables_are_landed_and_loaded_twice_by_the_query_itself(spark, tmp_path, monkeypatch):
+    start = dt.datetime(2024, 1, 1)
+    events = [(i, start + dt.timedelta(minutes=7 * i), i % 7, "click", float(i), "{}") for i in range(40)]
+    folder = folder_of(spark, tmp_path, events)
+    loads, load_silver = [], landed.load.load_silver
+
+    def noted(spark, bronze, namespace, **options):
+        reports = load_silver(spark, bronze, namespace, **options)
+        loads.append((bronze.root, namespace, {name: report.source_rows for name, report in reports.items()}))
+        return reports
+
+    monkeypatch.setattr(landed.load, "load_silver", noted)
+    # what another query of the session left for this folder is not taken
+    session = spark.sparkContext.applicationId, folder
+    monkeypatch.setitem(landed._landed, session, (landed.Landing(registry.Tables(spark, folder)), set(landed._PARTS)))
+    monkeypatch.setitem(landed._loaded, session, "left_by_another_query")
+    found = {row["table"]: row["n_rows"] for row in registry.QUERIES["load_silver_all"](spark, folder).collect()}
+    assert set(found) == set(catalog.SILVER_TABLES) and [rows for *_, rows in loads] == [found, found]
+    assert found["silver_open_meteo_15min"] == found["silver_esios_power_5min"] == 40
+    assert len({(root, namespace) for root, namespace, _ in loads}) == 1
